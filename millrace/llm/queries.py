@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import sql
+from . import langid, quality, sql, toxicity
 from .bpe import encode_decode
-from .common import table
+from .common import fold, table
 from .token_files import tokenize_to_orc
 from .urls import filter_urls
 
@@ -20,6 +21,25 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality")
+    model = quality.learn(docs, labels.where(fold("doc_id", 4) != 2), "quality")
+    return quality.score(docs, model).select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    profiles = langid.learn_profiles(docs.where(fold("doc_id", 5) != 0))
+    return langid.identify(docs.select("doc_id", "text"), profiles).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic")
+    model = toxicity.learn(docs, labels.where(fold("doc_id", 3) != 1), "toxic")
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize_to_orc(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path("word_bpe_49k.json"))
 
@@ -33,7 +53,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op6_token_files, op8_bpe_roundtrip, op10_url_filter)
+    own = (op1_quality, op2_language, op4_toxicity, op6_token_files, op8_bpe_roundtrip, op10_url_filter)
     return {f.__name__: f for f in own}
 
 
