@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from . import langid, quality, sql, toxicity
 from .bpe import encode_decode
 from .common import fold, table
+from .decontaminate import find_items
+from .jaccard import jaccard_components
 from .token_files import tokenize_to_orc
 from .urls import filter_urls
 
@@ -40,6 +42,14 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_items(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize_to_orc(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path("word_bpe_49k.json"))
 
@@ -53,9 +63,9 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_quality, op2_language, op4_toxicity, op6_token_files, op8_bpe_roundtrip, op10_url_filter)
+    own = (op1_quality, op2_language, op3_decontaminate, op4_toxicity, op5_jaccard_join, op6_token_files, op8_bpe_roundtrip, op10_url_filter)
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_url_filter": sql.op10_url_filter()}
+    return {"op5_jaccard_join": sql.op5_jaccard_join(), "op10_url_filter": sql.op10_url_filter()}

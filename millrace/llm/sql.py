@@ -41,3 +41,29 @@ select page_id, host, path, rule,
        case {by_rule} when strict_hits >= 1 or soft_hits >= 2 then 'block' else 'allow' end as verdict,
        strict_hits, soft_hits
 from counted"""
+
+
+def op5_jaccard_join() -> str:
+    return f"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') as w
+  from documents
+), sets as (
+  select doc_id, list_distinct(case when len(w) = 0 then [] else
+           list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s
+  from words
+), shingles as (
+  select doc_id, len(s) as n, unnest(s) as shingle from sets
+), shared as (
+  select a.doc_id as x, b.doc_id as y, any_value(a.n) as nx, any_value(b.n) as ny, count(*) as c
+  from shingles a join shingles b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+  group by 1, 2
+), links as (
+  select x, y from shared where 100 * c >= 80 * (nx + ny - c)
+), reach as (
+  select doc_id as x, doc_id as y from documents
+  union
+  select r.x, l.y from reach r join links l on r.y = l.x
+)
+select s.doc_id, cast(len(s.s) as bigint) as n_shingles, r.component_id
+from sets s join (select x, min(y) as component_id from reach group by x) r on s.doc_id = r.x"""
