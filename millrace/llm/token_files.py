@@ -20,6 +20,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,9 @@ from .common import text_batches, work_path
 #: Encoded words that a worker keeps.
 CACHE_WORDS = 700_000
 
+#: ASCII signs that are neither letters, digits nor white space.
+_SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
 _ENCODERS: dict[str, tuple] = {}
 _ENDS: dict[int, np.ndarray] = {}
 
@@ -47,29 +51,53 @@ def _encoder(path: str):
 def _words(text: str | None) -> list[bytes]:
     if not text:
         return []
-    data = text.encode()
-    # ASCII texts may be lower-cased before the tokenizer does it; a special token's upper-case look-alike may not
-    return (data.lower() if data.isascii() and b"<|" not in data else data).split()
-
-
-def _encode_words(tokenizer, words: list[bytes]) -> Iterator[bytes]:
-    """Ids of each word, many words in one call."""
-    texts = [w.decode() for w in words]
-    done: dict[str, bytes] = {}
-    letters = [t for t in texts if t.isalpha()]
-    ends = _word_ends(tokenizer)
-    for start in range(0, len(letters), 1000):
-        # a word of letters is one unit of this tokenizer, so it ends with its only end-of-word token
-        part = letters[start : start + 1000]
-        ids = np.asarray(tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+    if "<|" not in text:  # else a special token's upper-case look-alike would become one
+        try:
+            # the tokenizer lower-cases too, after composing characters, of which Latin-1 text has none left to compose
+            text.encode("latin-1")
+            text = text.lower()
+        except UnicodeEncodeError:
+            pass
+    return text.encode().split()
+
+
+def _encode_words(tokenizer, words: list[bytes], cache: dict[bytes, bytes]) -> dict[bytes, bytes]:
+    """Ids of each word, many words in one call.
+
+    A run of letters is one unit of this tokenizer and a run of other signs is another, so a word
+    with punctuation around its letters is the ids of its parts, which other words share.
+    """
+    letters, rest, parts = set(), [], {}
+    for w in words:
+        if w.isalpha() or w.decode().isalpha():
+            letters.add(w)
+            continue
+        core = w.strip(_SIGNS)
+        if core and core != w and b"<|" not in w and (core.isalpha() or normalize("NFC", core.decode()).lower().isalpha()):
+            at = w.index(core)
+            parts[w] = (w[:at], core, w[at + len(core) :])
+            if core not in cache:
+                letters.add(core)
+        else:
+            rest.append(w)
+    done: dict[bytes, bytes] = {}
+    runs, ends = list(letters), _word_ends(tokenizer)
+    for start in range(0, len(runs), 1000):
+        # each word of letters ends with its only end-of-word token
+        some = runs[start : start + 1000]
+        ids = np.asarray(tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, "<u4")
         cuts = np.flatnonzero(ends[ids]) + 1
-        if len(cuts) == len(part):
+        if len(cuts) == len(some):
             data, cuts = ids.tobytes(), (4 * cuts).tolist()
-            done.update(zip(part, (data[x:y] for x, y in zip([0, *cuts], cuts)), strict=False))
-    rest = [t for t in texts if t not in done]
-    for t, e in zip(rest, tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-        done[t] = np.asarray(e.ids, "<u4").tobytes()
-    return map(done.__getitem__, texts)
+            done.update(zip(some, [data[x:y] for x, y in zip([0, *cuts], cuts)]))
+        else:
+            rest += some
+    rest += {x for head, _, tail in parts.values() for x in (head, tail) if x and x not in cache}
+    for w, e in zip(rest, tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False), strict=True):
+        done[w] = np.asarray(e.ids, "<u4").tobytes()
+    get = lambda x: (done.get(x) or cache[x]) if x else b""
+    done |= {w: get(head) + get(core) + get(tail) for w, (head, core, tail) in parts.items()}
+    return done
 
 
 def _word_ends(tokenizer) -> np.ndarray:
@@ -88,8 +116,9 @@ def encode_texts(tokenizer, cache: dict[bytes, bytes], texts: list[str | None])
     words = [_words(t) for t in texts]
     if len(cache) > CACHE_WORDS:
         cache.clear()
-    new = [w for w in {w for ws in words for w in ws} if w not in cache]
-    cache.update(zip(new, _encode_words(tokenizer, new), strict=True))
+    new = set().union(*words).difference(cache)
+    if new:
+        cache.update(_encode_words(tokenizer, list(new), cache))
     get = cache.__getitem__
     return [b"".join(map(get, ws)) for ws in words]
 
