@@ -12,6 +12,7 @@ from .bpe import encode_decode
 from .common import fold, table
 from .decontaminate import find_items
 from .jaccard import jaccard_components
+from .pii import find_pii, pii_digest
 from .token_files import tokenize_to_orc
 from .urls import filter_urls
 
@@ -58,12 +59,16 @@ def op8_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_digest(find_pii(table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages", "page_id", "url"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_quality, op2_language, op3_decontaminate, op4_toxicity, op5_jaccard_join, op6_token_files, op8_bpe_roundtrip, op10_url_filter)
+    own = (op1_quality, op2_language, op3_decontaminate, op4_toxicity, op5_jaccard_join, op6_token_files, op8_bpe_roundtrip, op9_pii, op10_url_filter)
     return {f.__name__: f for f in own}
 
 
