@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from .common import text_batches
 
 BUCKETS = 1 << 18
-SAMPLE_DOCS = 6000
+SAMPLE_DOCS = 2500
 DIMENSIONS = 8
-EPOCHS = 6
+EPOCHS = 8
 #: Words whose feature sums a worker keeps.
 CACHE_WORDS = 400_000
 
