@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import langid, quality, sql, toxicity
+from .ann import nearest
 from .bpe import encode_decode
 from .common import fold, table
 from .decontaminate import find_items
@@ -55,6 +56,10 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize_to_orc(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op8_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -68,7 +73,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_quality, op2_language, op3_decontaminate, op4_toxicity, op5_jaccard_join, op6_token_files, op8_bpe_roundtrip, op9_pii, op10_url_filter)
+    own = (op1_quality, op2_language, op3_decontaminate, op4_toxicity, op5_jaccard_join, op6_token_files, op7_nearest, op8_bpe_roundtrip, op9_pii, op10_url_filter)
     return {f.__name__: f for f in own}
 
 
