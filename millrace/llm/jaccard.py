@@ -10,18 +10,19 @@ everything below works on classes, so copies cost one comparison at most.
    total order is right, a rare-first one is fast), as many as two linked sets can
    not both do without.  Shingles of one class only are dropped; the others are the
    token-group matrix's rows.
-3. Classes are partitioned into groups: all classes with the same smallest hash
-   that are linked to their group's first class (verified) form one group, others stand alone.
-4. The matrix, token by group, bounds a query's overlap with each other group: two sets
-   that link must share a certain number of prefix tokens, which follows from their
-   sizes.  Groups below the bound stay closed.
-5. A qualifying group is opened in two steps: the query is compared with the group's
-   first class; only where that does not join the two, with each member that
-   meets the bound by itself.
+3. Classes are partitioned into groups of at most about ``GROUP_CLASSES``: those with the same smallest
+   hash, split by whether they link to that hash's hub, the class whose prefix holds the
+   most common shingles (edits make shingles rare, so the hub is near the original).
+4. The matrix, token by group, bounds a query's overlap with each group: two sets that
+   link must share a certain number of prefix tokens, which follows from their sizes.
+   Groups below the bound stay closed, and so do groups that the query already belongs with.
+5. A qualifying group is opened: one task counts the overlaps of a block of queries with
+   all its members through an inverted list, and returns a link only where it joins
+   two components that it has not seen joined.
 
 Every link between different sets is found or lies inside a component already
 known, so components are exact; 64-bit hashes stand for shingles and sets.
-Links are never expanded inside a group of copies.
+Pairs inside a group are never made rows.
 
 Null, empty and blank texts have an empty set, link with nothing and are their own
 component.  Rows with the same id and text give equal rows; a component id is the smallest id
@@ -33,6 +34,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -47,6 +49,8 @@ PERCENT = 80
 SKETCH, SKETCH_ROW = 1 << 20, 1 << 12
 #: Word hashes that a worker keeps.
 CACHE_WORDS = 500_000
+#: Classes of a group, and queries that one task compares with it.
+GROUP_CLASSES, BLOCK_QUERIES = 64, 64
 #: A table of so many short rows may be broadcast; larger ones are joined by shuffling.
 BROADCAST_ROWS = 500_000
 
@@ -87,12 +91,39 @@ def needed(n, percent: int = PERCENT):
     return -(-n * percent // 100)
 
 
-def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
-    """100 * intersection >= percent * union, for ascending distinct arrays."""
+def linked(shared, n, m, percent: int = PERCENT):
+    """100 * intersection >= percent * union, from an intersection and two sizes."""
+    return (shared > 0) & (100 * shared >= percent * (n + m - shared))
+
+
+def shared_count(a: np.ndarray, b: np.ndarray) -> int:
+    """Size of the intersection of ascending distinct arrays."""
     both = np.concatenate((a, b))
     both.sort(kind="stable")
-    shared = int((both[1:] == both[:-1]).sum())
-    return shared > 0 and 100 * shared >= percent * (len(a) + len(b) - shared)
+    return int((both[1:] == both[:-1]).sum())
+
+
+class Group:
+    """An opened group: its members' sets as an inverted list."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(s) for s in sets])
+        tokens, owners = np.concatenate(sets), np.repeat(np.arange(len(sets)), self.sizes)
+        order = np.argsort(tokens, kind="stable")
+        tokens, self.owners = tokens[order], owners[order]
+        first = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
+        self.tokens, self.bounds = tokens[first], np.append(first, len(tokens))
+
+    def links(self, query: np.ndarray, percent: int) -> np.ndarray:
+        """Indexes of the members that the query links with."""
+        at = np.minimum(np.searchsorted(self.tokens, query), len(self.tokens) - 1)
+        at = at[self.tokens[at] == query]
+        if not len(at):
+            return at
+        sizes = self.bounds[at + 1] - self.bounds[at]
+        places = np.repeat(self.bounds[at] - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
+        shared = np.bincount(self.owners[places], minlength=len(self.sizes))
+        return np.flatnonzero(linked(shared, len(query), self.sizes, percent))
 
 
 def _scan(docs: DataFrame, size: int) -> DataFrame:
@@ -146,13 +177,13 @@ def _ranks(sketch: DataFrame) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, ranks: np.ndarray, size: int, percent: int) -> DataFrame:
-    """(token, key, n) for the prefix of every document; a task writes each set once."""
+    """(token, key) for the prefix of every document; a task writes each set once."""
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for _, texts in text_batches(batches, "text"):
-            tokens, keys, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+            tokens, keys = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for text in texts:
                 s = shingle_set(text, size)
                 if not len(s) or (key := set_key(s)) in seen:
@@ -162,16 +193,16 @@ def _prefixes(docs: DataFrame, ranks: np.ndarray, size: int, percent: int) -> Da
                 order = np.argsort(shared.value[(s % np.uint64(SKETCH)).astype(np.int64)], kind="stable")[:take]  # ties stay in hash order
                 tokens.append(s[order])
                 keys.append(np.full(take, key, np.int64))
-                sizes.append(np.full(take, len(s), np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(keys)), pa.array(np.concatenate(sizes))], ["token", "key", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(keys))], ["token", "key"])
 
-    return docs.select("text").mapInArrow(run, "token long, key long, n int")
+    return docs.select("text").mapInArrow(run, "token long, key long")
 
 
-def _verify(docs: DataFrame, pairs: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of class keys whose sets link."""
-    keys = materialize(pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct().join(reps, "key"), "wanted")
-    wanted = F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+def _sets(docs: DataFrame, keys: DataFrame, reps: DataFrame, size: int) -> DataFrame:
+    """(key, shingles) of the wanted classes, each read from one document."""
+    wanted = materialize(keys.distinct().join(reps, "key"), "wanted")
+    if wanted.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_batches(batches, "text"):
@@ -183,18 +214,60 @@ def _verify(docs: DataFrame, pairs: DataFrame, reps: DataFrame, size: int, perce
                     sets.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int64()), pa.array(sets, pa.binary())], ["key", "shingles"])
 
-    sets = materialize(docs.join(wanted, "id").select("key", "text").mapInArrow(read, "key long, shingles binary"), "sets")
+    return materialize(docs.join(wanted, "id").select("key", "text").mapInArrow(read, "key long, shingles binary"), "sets")
+
+
+def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of class keys whose sets link."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, x, y = (batch.column(batch.schema.get_field_index(c)) for c in ("a", "b", "x", "y"))
-            keep = [linked(np.frombuffer(p.as_buffer(), np.uint64), np.frombuffer(q.as_buffer(), np.uint64), percent) for p, q in zip(x, y)]
+            keep = []
+            for p, q in zip(x, y):
+                s, t = np.frombuffer(p.as_buffer(), np.uint64), np.frombuffer(q.as_buffer(), np.uint64)
+                keep.append(bool(linked(shared_count(s, t), len(s), len(t), percent)))
             yield pa.RecordBatch.from_arrays([a, b], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     both = pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
     return materialize(both.mapInArrow(compare, "a long, b long").distinct(), "links")
 
 
+def _open(opened: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between queries (grp, q, comp) and members (grp, key, comp) of their groups.
+
+    A task gets one group and one block of its queries, so neither a large group nor a much-asked one meets in one place.
+    """
+    blocks = opened.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("blocks"))
+    blocks = materialize(blocks, "blocks")
+    asked = opened.join(blocks, "grp").select("grp", F.pmod(F.xxhash64("q", "grp"), F.col("blocks")).cast("int").alias("block"), F.col("q").alias("key"), "comp")
+    held = members.join(blocks, "grp").select("grp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "key", "comp")
+    asked = asked.join(sets, "key")
+    held = held.join(sets, "key").select(*(F.col(c).alias(f"{c}_") for c in ("grp", "block", "key", "comp", "shingles")))
+
+    def compare(queries, group):
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        out = []
+        if len(queries) and len(group):
+            keys, comps = group["key_"].tolist(), group["comp_"].tolist()
+            index = Group([np.frombuffer(s, np.uint64) for s in group["shingles_"]])
+            for q, comp, shingles in zip(queries["key"].tolist(), queries["comp"].tolist(), queries["shingles"]):
+                for i in index.links(np.frombuffer(shingles, np.uint64), percent).tolist():
+                    x, y = root(comp), root(comps[i])
+                    if keys[i] != q and x != y:
+                        parent[max(x, y)] = min(x, y)
+                        out.append((q, keys[i]))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return materialize(asked.groupBy("grp", "block").cogroup(held.groupBy("grp_", "block_")).applyInPandas(compare, "a long, b long"), "links")
+
+
 def _fewest(n: Column, m: Column, percent: int) -> Column:
     """Fewest prefix tokens that linked sets of sizes n and m share.
 
@@ -216,46 +289,43 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # token-group matrix, one row per token and class, of tokens that several classes have
     by_token = Window.partitionBy("token")
     prefixes = _prefixes(docs, ranks, size, percent)
-    some = prefixes.withColumn("first", F.min("key").over(by_token)).withColumn("last", F.max("key").over(by_token))
-    matrix = materialize(some.where("first <> last").select("token", "key", "n").distinct(), "matrix")
-
-    # groups: the classes linked to the first class with the same smallest hash
-    met = materialize(matrix.select("key").distinct().join(classes, "key"), "met")
-    first = materialize(met.groupBy("low").agg(F.min("key").alias("b"), F.count("*").alias("members")).where("members > 1").select("low", "b"), "first")
-    sizes = met.select(F.col("key").alias("b"), F.col("n").alias("m"))
-    near = lambda n, m: (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
-    pairs = met.join(first, "low").where("key <> b").join(sizes, "b").where(near(F.col("n"), F.col("m"))).select(F.col("key").alias("a"), "b")
+    some = prefixes.distinct().withColumn("f", F.count("*").over(by_token))
+    matrix = materialize(some.where("f > 1").select("token", "key", "f"), "matrix")
+
+    # hubs: of the classes with one smallest hash, the one with the most common prefix
+    weights = matrix.groupBy("key").agg(F.sum(F.log("f")).alias("weight"))
+    met = materialize(weights.join(classes, "key").select("key", "n", "low", (F.col("weight") / (F.col("n") - F.ceil(F.col("n") * percent / 100 - 1e-9) + 1)).alias("weight")), "met")
+    hubs = met.groupBy("low").agg(F.max_by(F.struct("key", "n"), F.struct(F.col("weight"), F.col("key"))).alias("hub"), F.count("*").alias("members")).where("members > 1")
+    hubs = materialize(hubs.select("low", F.col("hub.key").alias("b"), F.col("hub.n").alias("m")), "hubs")
+    near = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
+    pairs = materialize(met.join(hubs, "low").where("key <> b").where(near).select(F.col("key").alias("a"), "b"), "pairs")
     reps = classes.select("key", "id")
-    inside = _verify(docs, materialize(pairs, "pairs"), reps, size, percent)
-
-    grouped = matrix.join(inside.select(F.col("a").alias("key"), F.col("b").alias("grp")), "key", "left").select("token", "key", "n", F.coalesce("grp", "key").alias("grp"))
-    several = grouped.withColumn("first", F.min("grp").over(by_token)).withColumn("last", F.max("grp").over(by_token)).where("first <> last").select("token", "key", "n", "grp")
-    several = materialize(several, "several")
-
-    # a query's shared tokens with each group, against the least that any member's size allows
-    columns = several.groupBy("token", "grp").agg(F.min("n").alias("low_n"), F.max("n").alias("high_n"))
-    own = several.select("token", F.col("key").alias("q"), F.col("n").alias("nq"), F.col("grp").alias("own"))
-    shared = own.join(columns, "token").where("own <> grp").groupBy("q", "nq", "own", "grp").agg(F.count("*").alias("c"), F.min("low_n").alias("low_n"), F.max("high_n").alias("high_n"))
+    inside = _verify(pairs, _sets(docs, pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))), reps, size), percent)
+
+    # groups: linked classes of a hub, and the others of a smallest hash, in parts of bounded size
+    comps = met.join(inside.select(F.col("a").alias("key"), F.col("b").alias("comp")), "key", "left").join(inside.select(F.col("b").alias("key"), F.col("b").alias("own")).distinct(), "key", "left")
+    comps = comps.select("key", "n", F.coalesce("comp", "own").alias("hub"), "low").withColumn("comp", F.coalesce("hub", "key")).withColumn("base", F.xxhash64(F.coalesce("hub", "low"), F.col("hub").isNull()))
+    comps = materialize(comps.select("key", "n", "comp", "base", F.col("hub").isNotNull().alias("joined")), "comps")
+    parts = materialize(comps.groupBy("base").agg(F.ceil(F.count("*") / GROUP_CLASSES).alias("parts"), F.count("*").alias("members")), "parts")
+    members = comps.join(parts, "base").withColumn("grp", F.xxhash64("base", F.pmod(F.xxhash64("key"), F.col("parts")))).select("key", "n", "comp", "grp", "joined", "members")
+    members = materialize(members, "members")
+
+    # a query's shared tokens with each later group, against the least that any member's size allows
+    rows_of = materialize(matrix.select("token", "key").join(members.select("key", "n", "grp"), "key"), "rows")
+    columns = rows_of.groupBy("token", "grp").agg(F.min("n").alias("low_n"), F.max("n").alias("high_n"))
+    queries = rows_of.select("token", F.col("key").alias("q"), F.col("n").alias("nq"), F.col("grp").alias("own"))
+    shared = queries.join(columns, "token").where("own < grp").groupBy("q", "nq", "grp").agg(F.count("*").alias("c"), F.min("low_n").alias("low_n"), F.max("high_n").alias("high_n"))
     low_n, high_n = F.greatest(F.col("low_n"), F.ceil(F.col("nq") * percent / 100)), F.least(F.col("high_n"), F.floor(F.col("nq") * 100 / percent))
     # the bound rises and then falls with the member's size, up to one for rounding
     least = F.greatest(F.lit(1), F.least(_fewest(F.col("nq"), low_n, percent), _fewest(F.col("nq"), high_n, percent)) - 1)
-    opened = materialize(shared.where(low_n <= high_n).where(F.col("c") >= least).select("q", "nq", "own", "grp"), "opened")
-
-    # first step: the group's first class stands for it
-    ordered = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-    heads = opened.join(sizes.select(F.col("b").alias("grp"), "m"), "grp").where(near(F.col("nq"), F.col("m"))).select(*ordered("q", "grp")).distinct()
-    between = _verify(docs, materialize(heads, "heads"), reps, size, percent)
-    links = inside.unionByName(between)
-    known = components(links)
-
-    # second step: members of groups that are still apart from the query
-    root = lambda c, name: known.select(F.col("node").alias(c), F.col("root").alias(name))
-    apart = opened.join(root("q", "rq"), "q", "left").join(root("grp", "rg"), "grp", "left").where(F.coalesce("rq", "q") != F.coalesce("rg", "grp")).select("q", "nq", "grp")
-    members = several.select("token", F.col("key").alias("d"), F.col("n").alias("nd"), "grp")
-    tokens = several.select("token", F.col("key").alias("q"))
-    met_by = apart.join(tokens, "q").join(members, ["token", "grp"]).where(near(F.col("nq"), F.col("nd"))).groupBy("q", "nq", "d", "nd").agg(F.count("*").alias("c"))
-    rest = met_by.where(F.col("c") >= _fewest(F.col("nq"), F.col("nd"), percent)).select(*ordered("q", "d")).distinct().join(heads.select("a", "b"), ["a", "b"], "left_anti")
-    final = components(links.unionByName(_verify(docs, materialize(rest, "rest"), reps, size, percent)))
+    across = shared.where(low_n <= high_n).where(F.col("c") >= least).select("q", "grp")
+    within = members.where("not joined and members > 1").select(F.col("key").alias("q"), "grp")
+    joined_to = members.where("joined").select("grp", F.col("comp").alias("grp_comp")).distinct()
+    opened = across.unionByName(within).join(members.select(F.col("key").alias("q"), "comp"), "q").join(joined_to, "grp", "left").where("grp_comp is null or grp_comp <> comp").select("grp", "q", "comp")
+    opened = materialize(opened, "opened")
+    targets = materialize(members.join(opened.select("grp").distinct(), "grp").select("grp", "key", "comp"), "targets")
+    sets = _sets(docs, opened.select(F.col("q").alias("key")).union(targets.select("key")), reps, size)
+    final = components(inside.unionByName(_open(opened, targets, sets, percent)))
 
     named = materialize(classes.join(final.withColumnRenamed("node", "key"), "key", "left").select("key", "id", F.coalesce("root", "key").alias("root")), "named")
     smallest = materialize(named.groupBy("root").agg(F.min("id").alias("component_id")), "smallest")
@@ -263,3 +333,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     full = rows.where("n > 0").join(of_class, "key").select("id", "n", "component_id")
     empty = rows.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
     return full.unionByName(empty).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows, all columns, whose id is their component's smallest; of rows with equal ids one stays, rows without an id all stay."""
+    found = materialize(jaccard_components(docs, id_col, text_col, size, percent).select(id_col, "component_id"), "found")
+    copies = materialize(found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), "copies")
+    repeated = materialize(found.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col), "repeated")
+    checked = lambda ids: F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+    kept = docs.join(checked(copies), id_col, "left_anti")
+    if not repeated.isEmpty():
+        side = checked(repeated)
+        kept = kept.join(side, id_col, "left_anti").unionByName(kept.join(side, id_col, "left_semi").dropDuplicates([id_col]))
+    return kept.select(*docs.columns)
