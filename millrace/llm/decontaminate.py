@@ -26,6 +26,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import text_batches
 
@@ -135,29 +136,45 @@ class ItemIndex:
         return [(i, d) for k, d in sorted(best.items()) for i in self.ids[self.texts[k]]]
 
 
+def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, least_chars: int, block_chars: int) -> Iterator[list[tuple[int, str]]]:
+    """Searched items as (id, normal text), in blocks of about block_chars characters; one block at least."""
+    items = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text")).where("text is not null")
+    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = max(1, math.ceil(chars / block_chars))
+    for block in range(blocks):
+        rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()
+        yield [(r["item"], t) for r in rows if len(t := normal_text(r["text"])) >= least_chars]
+
+
 def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", rate: float = RATE, least_chars: int = LEAST_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Rows (id, item, distance) of every document and item that it holds within the budget."""
     id_type, item_type = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
-    items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text")).where("text is not null")
-    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(chars / block_chars))
-    schema = f"{id_col} {id_type}, {item_col} {item_type}, distance int"
-    spark = docs.sparkSession
+    item_arrow = to_arrow_type(benchmark.schema[item_col].dataType)
     found = None
-    for block in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()  # block_chars characters on average
-        held = spark.sparkContext.broadcast([(r["item"], t) for r in rows if len(t := normal_text(r["text"])) >= least_chars])
+    for block in item_blocks(benchmark, item_col, item_text_col, least_chars, block_chars):
+        held = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             index = ItemIndex(held.value, rate)
             for part, texts in text_batches(batches, text_col):
                 hits = [(row, i, d) for row, t in enumerate(texts) for i, d in index.search(normal_text(t))]
-                ids = part.column(part.schema.get_field_index(id_col))
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array([h[0] for h in hits], pa.int64())), pa.array([h[1] for h in hits], held_type), pa.array([h[2] for h in hits], pa.int32())], [id_col, item_col, "distance"])
+                ids = part.column(part.schema.get_field_index(id_col)).take(pa.array([h[0] for h in hits], pa.int64()))
+                yield pa.RecordBatch.from_arrays([ids, pa.array([h[1] for h in hits], item_arrow), pa.array([h[2] for h in hits], pa.int32())], [id_col, item_col, "distance"])
 
-        from pyspark.sql.pandas.types import to_arrow_type
-
-        held_type = to_arrow_type(benchmark.schema[item_col].dataType)
-        hits = docs.select(id_col, text_col).mapInArrow(run, schema)
+        hits = docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {id_type}, {item_col} {item_type}, distance int")
         found = hits if found is None else found.unionByName(hits)
     return found
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", rate: float = RATE, least_chars: int = LEAST_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows, all columns, that hold no item within its budget."""
+    for block in item_blocks(benchmark, item_col, item_text_col, least_chars, block_chars):
+        held = docs.sparkSession.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            index = ItemIndex(held.value, rate)
+            for part, texts in text_batches(batches, text_col):
+                yield part.filter(pa.array([not index.search(normal_text(t)) for t in texts], pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

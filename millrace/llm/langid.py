@@ -143,3 +143,19 @@ def identify(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> Dat
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "lang_pred string, score double, margin double"])
     return docs.mapInArrow(run, schema)
+
+
+def keep_identified(docs: DataFrame, profiles: Profiles, text_col: str = "text", least_margin: float = 0.005) -> DataFrame:
+    """The rows, all columns, whose language can be told.
+
+    Rejected: text that is null or has no letter, and text whose two nearest languages lie within
+    least_margin of each other, as shares of the largest distance.
+    """
+    model = docs.sparkSession.sparkContext.broadcast(profiles)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in text_batches(batches, text_col):
+            keep = [lang != UNDETERMINED and margin >= least_margin for lang, _, margin in map(model.value.predict, texts)]
+            yield part.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

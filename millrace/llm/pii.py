@@ -40,6 +40,8 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
+#: Documents with spans that may be broadcast; more are joined by shuffling.
+BROADCAST_ROWS = 100_000
 #: Matches whose places are summed up at once.
 CHUNK = 256
 SPAN = "array<struct<start: int, end: int, text: string>>"
@@ -187,19 +189,31 @@ def pii_digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return found.select(id_col, *counts, F.sha2(_joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), _joined(F.col("found")).alias("spans"))
 
 
-def mask(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """docs with every found span replaced by its kind in angle brackets; needs unique ids."""
-    found = find_pii(docs, id_col, text_col, **options).where(F.size("found") > 0).select(id_col, "found")
+def mask(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """docs with every found span replaced by its kind in angle brackets; ``n_chars``, if there, follows the text.
+
+    Spans depend on the text alone, so they are found once per distinct text and joined by its hash.
+    """
+    digest = F.sha2(F.col(text_col).cast("binary"), 256)
+    texts = docs.where(F.col(text_col).isNotNull()).select(digest.alias("id"), F.col(text_col).alias("text"))
+    found = materialize(find_pii(texts, "id", "text", **options).where(F.size("found") > 0).groupBy("id").agg(F.first("found").alias("_found")), "pii_found")
+    side = found.withColumnRenamed("id", "_digest")
+    if found.count() <= BROADCAST_ROWS:
+        side = F.broadcast(side)
     text = F.col(text_col)
     names = F.array(*map(F.lit, KINDS))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
 
     def step(acc: Column, s: Column) -> Column:
-        # a span inside an earlier one adds nothing
+        # a span that begins inside an earlier one only lengthens it
         gap = F.when(s["start"] >= acc["at"], F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("<"), F.element_at(names, s["kind"] + 1), F.lit(">"))).otherwise("")
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["text"], gap).alias("text"))
 
-    by_place = F.array_sort(F.transform("found", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    done = F.aggregate(by_place, start, step)
-    masked = F.concat(done["text"], F.substring(text, done["at"] + 1, F.length(text)))
-    return docs.join(found, id_col, "left").select(*(F.when(F.col("found").isNull(), text).otherwise(masked).alias(text_col) if c == text_col else F.col(c) for c in docs.columns))
+    by_place = F.array_sort(F.transform("_found", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    tail = lambda done: F.concat(done["text"], F.substring(text, done["at"] + 1, F.length(text)))
+    masked = F.aggregate(by_place, start, step, tail)
+    out = docs.withColumn("_digest", digest).join(side, "_digest", "left").withColumn("_masked", F.when(F.col("_found").isNull(), text).otherwise(masked))
+    new = {text_col: F.col("_masked")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.col("_found").isNull(), F.col("n_chars")).otherwise(F.length("_masked").cast(docs.schema["n_chars"].dataType))
+    return out.select(*(new.get(c, F.col(c)).alias(c) for c in docs.columns))
