@@ -50,7 +50,7 @@ SKETCH, SKETCH_ROW = 1 << 20, 1 << 12
 #: Word hashes that a worker keeps.
 CACHE_WORDS = 500_000
 #: Classes of a group, and queries that one task compares with it.
-GROUP_CLASSES, BLOCK_QUERIES = 64, 64
+GROUP_CLASSES, BLOCK_QUERIES = 256, 64
 #: A table of so many short rows may be broadcast; larger ones are joined by shuffling.
 BROADCAST_ROWS = 500_000
 
