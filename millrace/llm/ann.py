@@ -93,12 +93,21 @@ class CentroidGraph:
             found[rows, cols] = np.sqrt(((x[rows] - self.centroids[cols]) ** 2).sum(1))
 
 
-def exact_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Inner products summed in component order."""
-    total = np.zeros((len(q), len(x)))
+def best_of(q: np.ndarray, x: np.ndarray, allowed: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, member row, score) of at least the ``most`` allowed members with the largest inner products.
+
+    A matrix product picks them, with a margin far above its rounding; their scores are then summed
+    in component order, so equal vectors score equal wherever they lie.
+    """
+    rough = np.where(allowed, q @ x.T, -np.inf)
+    most = min(most, len(x))
+    least = np.partition(rough, -most, axis=1)[:, -most]
+    margin = 1e-9 * np.sqrt((q**2).sum(1) * (x**2).sum(1).max())
+    rows, cols = np.nonzero((rough >= (least - margin)[:, None]) & np.isfinite(rough))
+    total = np.zeros(len(rows))
     for j in range(q.shape[1]):
-        total += q[:, j, None] * x[None, :, j]
-    return total
+        total += q[rows, j] * x[cols, j]
+    return rows, cols, total
 
 
 def _vectors(batch: pa.RecordBatch, name: str) -> np.ndarray:
@@ -167,26 +176,30 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     def compare(queries: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(queries) and len(held):
-            x, ids, member_of = np.stack(held["v_"].to_numpy()), held["cls_"].to_numpy(), held["list_"].to_numpy()
-            q, wanted = np.stack(queries["v"].to_numpy()), queries["lists"].to_numpy()
+            x, ids = np.stack(held["v_"].to_numpy()), held["cls_"].to_numpy()
+            lists, member_of = np.unique(held["list_"].to_numpy(), return_inverse=True)
+            q, names = np.stack(queries["v"].to_numpy()), queries["cls"].to_numpy()
+            wanted = np.stack([np.isin(lists, w) for w in queries["lists"]])
             for start in range(0, len(q), 128):
-                scores = exact_scores(q[start : start + 128], x)
-                for i, own in enumerate(scores):
-                    own = np.where(np.isin(member_of, wanted[start + i]), own, -np.inf)
-                    least = np.partition(own, -min(2 * k + 2, len(own)))[-min(2 * k + 2, len(own))]  # a boundary vector may be here twice
-                    near = np.flatnonzero((own >= least) & np.isfinite(own))
-                    near = near[np.lexsort((ids[near], -own[near]))]
-                    near = near[np.sort(np.unique(ids[near], return_index=True)[1])][: k + 1]
-                    out.append((queries["cls"].iloc[start + i], [{"away": -own[j], "cls": ids[j]} for j in near]))
+                # a boundary vector may be in two lists of the bin
+                rows, cols, scores = best_of(q[start : start + 128], x, wanted[start : start + 128][:, member_of], 2 * (k + 1))
+                order = np.lexsort((ids[cols], -scores, rows))
+                rows, near, scores = rows[order], ids[cols[order]], scores[order]
+                bounds = np.searchsorted(rows, np.arange(min(128, len(q) - start) + 1))
+                for i, (a, b) in enumerate(zip(bounds, bounds[1:])):
+                    once = np.sort(np.unique(near[a:b], return_index=True)[1])[: k + 1] + a
+                    out.append((names[start + i], [{"away": -s, "cls": c} for s, c in zip(scores[once].tolist(), near[once].tolist())]))
         return pd.DataFrame(out, columns=["q", "near"])
 
     found_type = f"array<struct<away: double, cls: {id_type}>>"
     near = left.groupBy("bin", "block", "chunk").cogroup(right.groupBy("bin_", "block_", "chunk_")).applyInPandas(compare, f"q {id_type}, near {found_type}")
-    best = near.groupBy("q").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("near")))), 1, k + 1).alias("near"))
+    # a class comes at most once per list it is in, so the first replicas * (k + 1) hold k + 1 different ones
+    first = F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, replicas * (k + 1))
+    best = near.groupBy("q").agg(F.slice(F.array_distinct(first), 1, k + 1).alias("near"))
     # ids of equal vectors come in again; each query class needs its k + 1 first
     ids = best.select("q", F.explode("near").alias("n")).select("q", F.col("n.away").alias("away"), F.col("n.cls").alias("cls")).join(classes.select("cls", "ids"), "cls")
     ids = ids.select("q", F.transform("ids", lambda i: F.struct(F.col("away").alias("away"), i.alias("vec_id"))).alias("hits"))
-    answers = ids.groupBy("q").agg(F.slice(F.array_sort(F.flatten(F.collect_list("hits"))), 1, k + 1).alias("hits"))
+    answers = ids.groupBy("q").agg(F.slice(F.sort_array(F.flatten(F.collect_list("hits"))), 1, k + 1).alias("hits"))
     own = F.slice(F.filter("hits", lambda h: h["vec_id"] != F.col("query_id")), 1, k)
     out = asked.join(materialize(answers, "answers"), F.col("cls") == F.col("q")).select("query_id", F.posexplode(own).alias("at", "hit"))
     return out.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), (-F.col("hit.away")).alias("score"))
