@@ -138,7 +138,7 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
         lists *= 2
     sample = classes.orderBy(F.xxhash64("cls"), "cls").limit(SAMPLE).select("v").collect()
     norm = float(np.sqrt(stats["square"] or 0.0)) * (1 + 1e-12)
-    seen = np.array([r["v"] for r in sample], np.float64).reshape(len(sample), -1)
+    seen = np.array([r["v"] for r in sample], np.float64) if sample else np.zeros((0, 1))
     lifted = np.concatenate((seen, np.sqrt(np.maximum(norm**2 - (seen**2).sum(1), 0))[:, None]), 1)
     graph = CentroidGraph.build(balanced_centroids(lifted, min(lists, max(1, len(lifted) // 4))), norm) if len(lifted) else None
     shared = spark.sparkContext.broadcast(graph)

@@ -14,7 +14,8 @@ documents turns it into a probability.
 Learned from at most ``sample_docs`` labelled rows, at most ``max_tokens`` weighted
 tokens.  Null, empty and blank texts have no segment: their score is that of the
 statistic 0.  Repeated rows get equal scores.  With fewer than two classes of
-labels every score is the share of label 1 (0 without labels).
+labels every score is the share of label 1 (0 without labels); without a token in any labelled
+document as well.
 """
 
 from __future__ import annotations
@@ -92,6 +93,8 @@ class ToxicityModel:
         return float(sum(max(0.0, self.decay * s - cost) for s, _, _ in segments))
 
     def probability(self, statistic: float) -> float:
+        if np.isinf(self.offset):
+            return float(self.offset > 0)
         return float(1 / (1 + np.exp(-np.clip(self.slope * statistic + self.offset, -500, 500))))
 
 
@@ -178,6 +181,8 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc
         return ToxicityModel({}, gap, offset=np.inf if totals["toxic"] else -np.inf)
     sums = counts.agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).first()
     n1, n0 = float(sums["toxic"] or 0), float(sums["other"] or 0)
+    if not n1 + n0:  # no labelled document has a token
+        return ToxicityModel({}, gap, offset=float(np.log(totals["toxic"] / (totals["n"] - totals["toxic"]))))
     odds, z = log_odds(F.col("toxic"), F.col("other"), n1, n0, prior, constant)
     scored = counts.select("token", "other", odds.alias("odds"), z.alias("z")).where((F.col("z") >= least_z) & (F.col("odds") > margin))
     best = scored.orderBy(F.col("z").desc(), "token").limit(max_tokens).collect()
