@@ -441,13 +441,13 @@ h as (select *, case when i % 3 <> 0 then value end as v from s),
 w as (select *, last_value(case when v is not null then i end ignore nulls) over p as i0, last_value(v ignore nulls) over p as v0,
   first_value(case when v is not null then i end ignore nulls) over f as i1, first_value(v ignore nulls) over f as v1 from h
   window p as (partition by user_id order by i rows between unbounded preceding and current row), f as (partition by user_id order by i rows between current row and unbounded following))
-select event_id, round(case when v is not null then v when i0 is null then v1 when i1 is null then v0 else v0 + (i - i0) * (v1 - v0) / (i1 - i0) end, 4) as filled from w""")
+select event_id, case when v is not null then v when i0 is null then v1 when i1 is null then v0 else v0 + (i - i0) * (v1 - v0) / (i1 - i0) end as filled from w""")
 def gap_fill(spark, sf_dir):
     from pyspark.sql import Window
 
     i = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id"))
     s = table(spark, sf_dir, "events").select("user_id", "event_id", i.alias("i"), "value").withColumn("v", F.when(F.col("i") % 3 != 0, F.col("value")))
-    return ordered.fill_gaps(s, "user_id", "i", "v").select("event_id", F.round("filled", 4).alias("filled"))
+    return ordered.fill_gaps(s, "user_id", "i", "v").select("event_id", "filled")
 
 
 @query("""
@@ -464,13 +464,13 @@ def ema_series(spark, sf_dir):
 with k as (select user_id, event_id::double as t, value as v, lead(event_id::double) over w as t1, lead(value) over w as v1 from events where event_id % 5 = 0 window w as (partition by user_id order by event_id)),
 b as (select user_id, min(t) as lo, max(t) as hi, arg_min(v, t) as vlo, arg_max(v, t) as vhi from k group by 1),
 q as (select user_id, event_id::double + 0.5 as at from events where event_id % 7 = 0)
-select q.user_id, q.at, round(case when q.at < b.lo then b.vlo when q.at >= b.hi then b.vhi else k.v + (q.at - k.t) / (k.t1 - k.t) * (k.v1 - k.v) end, 4) as value
+select q.user_id, q.at, case when q.at < b.lo then b.vlo when q.at >= b.hi then b.vhi else k.v + (q.at - k.t) / (k.t1 - k.t) * (k.v1 - k.v) end as value
 from q left join b using (user_id) left join k on k.user_id = q.user_id and k.t <= q.at and q.at < k.t1""")
 def keyframe_values(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     marks = e.where("event_id % 5 = 0").select("user_id", F.col("event_id").cast("double").alias("t"), "value")
     asked = e.where("event_id % 7 = 0").select("user_id", (F.col("event_id") + F.lit(0.5)).cast("double").alias("at"))
-    return ordered.interpolate_at(marks, asked, "user_id", "t", "value", "at").withColumn("value", F.round("value", 4))
+    return ordered.interpolate_at(marks, asked, "user_id", "t", "value", "at")
 
 
 @query(None)
