@@ -27,9 +27,10 @@ from pyspark.sql import DataFrame
 
 from .common import text_batches
 
-#: Pieces encoded at once, and encoded pieces that a worker keeps.
+#: Pieces encoded at once; encoded pieces and judged pairs that a task keeps.
 CHUNK_PIECES = 200_000
-CACHE_PIECES = 400_000
+CACHE_PIECES = 250_000
+CACHE_PAIRS = 400_000
 
 PIECES = r"'(?:[stmd]|re|ve|ll)| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 
@@ -42,7 +43,7 @@ def byte_letters() -> dict[str, int]:
 
 
 class BytePairCoder:
-    """Vocabulary, merge ranks and the caches of one worker."""
+    """Vocabulary and merge ranks of one worker, and the caches of its task."""
 
     def __init__(self, spec: dict):
         letters = byte_letters()
@@ -82,7 +83,7 @@ class BytePairCoder:
     def may_follow(self, a: int, b: int) -> bool:
         found = self.follows.get((a, b))
         if found is None:
-            if len(self.follows) > 1_000_000:
+            if len(self.follows) > CACHE_PAIRS:
                 self.follows.clear()
             found = self.follows[a, b] = self.merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
         return found
@@ -127,6 +128,10 @@ class BytePairCoder:
             out[word] = found[::-1]
         return out
 
+    def forget(self) -> None:
+        """Let the caches go, so that an idle worker holds little."""
+        self.cache, self.follows = {}, {}
+
     def learn(self, pieces: Iterable[str]) -> None:
         """Encode the pieces that are not in the cache."""
         cache = self.cache
@@ -200,22 +205,25 @@ def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(tokenizer)
-        for part, texts in text_batches(batches, text_col):
-            n, ids_sha, text_sha, all_ids, decoded = [], [], [], [], []
-            for ids in own.encode_batch([text or "" for text in texts]):
-                back = own.decode(ids)
-                n.append(len(ids) // 4)
-                ids_sha.append(hashlib.sha256(ids).hexdigest())
-                text_sha.append(hashlib.sha256(back.encode()).hexdigest())
+        try:
+            for part, texts in text_batches(batches, text_col):
+                n, ids_sha, text_sha, all_ids, decoded = [], [], [], [], []
+                for ids in own.encode_batch([text or "" for text in texts]):
+                    back = own.decode(ids)
+                    n.append(len(ids) // 4)
+                    ids_sha.append(hashlib.sha256(ids).hexdigest())
+                    text_sha.append(hashlib.sha256(back.encode()).hexdigest())
+                    if keep_ids:
+                        all_ids.append(memoryview(ids).cast("I").tolist())
+                        decoded.append(back)
+                arrays = [part.column(part.schema.get_field_index(id_col)), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
+                names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
                 if keep_ids:
-                    all_ids.append(memoryview(ids).cast("I").tolist())
-                    decoded.append(back)
-            arrays = [part.column(part.schema.get_field_index(id_col)), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
-            names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
-            if keep_ids:
-                arrays += [pa.array(all_ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
-                names += ["ids", "decoded"]
-            yield pa.RecordBatch.from_arrays(arrays, names)
+                    arrays += [pa.array(all_ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
+                    names += ["ids", "decoded"]
+                yield pa.RecordBatch.from_arrays(arrays, names)
+        finally:
+            own.forget()
 
     more = ", ids array<int>, decoded string" if keep_ids else ""
     return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")

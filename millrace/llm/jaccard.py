@@ -47,8 +47,8 @@ WORDS = 5
 PERCENT = 80
 #: Counters of the shingle sketch, and how many make one row of it.
 SKETCH, SKETCH_ROW = 1 << 20, 1 << 12
-#: Word hashes that a worker keeps.
-CACHE_WORDS = 500_000
+#: Word hashes that a task keeps.
+CACHE_WORDS = 200_000
 #: Classes of a group, and queries that one task compares with it.
 GROUP_CLASSES, BLOCK_QUERIES = 256, 64
 #: A table of so many short rows may be broadcast; larger ones are joined by shuffling.
@@ -56,22 +56,22 @@ BROADCAST_ROWS = 500_000
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _M = np.uint64(0xFF51AFD7ED558CCD)
-_HASHES: dict[bytes, int] = {}
 
 
-def shingle_set(text: str | None, size: int = WORDS) -> np.ndarray:
-    """Ascending distinct shingle hashes; a shorter text is one shingle as a whole."""
+def shingle_set(text: str | None, size: int = WORDS, cache: dict[bytes, int] | None = None) -> np.ndarray:
+    """Ascending distinct shingle hashes; a shorter text is one shingle as a whole.  cache: a task's word hashes."""
     words = text.encode().lower().split() if text else []
     if not words:
         return np.zeros(0, np.uint64)
+    cache = {} if cache is None else cache
     try:
-        h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+        h = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
     except KeyError:
-        if len(_HASHES) > CACHE_WORDS:
-            _HASHES.clear()
-        for w in set(words).difference(_HASHES):
-            _HASHES[w] = xxhash.xxh3_64_intdigest(w)
-        h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+        if len(cache) > CACHE_WORDS:
+            cache.clear()
+        for w in set(words).difference(cache):
+            cache[w] = xxhash.xxh3_64_intdigest(w)
+        h = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
     n = min(size, len(h))
     count = len(h) - n + 1
     total = h[:count].copy()
@@ -133,6 +133,7 @@ def _scan(docs: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SKETCH, np.uint16)
         seen: set[int] = set()
+        cache: dict[bytes, int] = {}
         names = ["id", "n", "key", "low", "block", "counts"]
         id_arrow = None
         for part, texts in text_batches(batches, "text"):
@@ -140,7 +141,7 @@ def _scan(docs: DataFrame, size: int) -> DataFrame:
             id_arrow = ids.type
             n, keys, low = [], [], []
             for text in texts:
-                s = shingle_set(text, size)
+                s = shingle_set(text, size, cache)
                 n.append(len(s))
                 key = set_key(s) if len(s) else None
                 keys.append(key)
@@ -182,10 +183,11 @@ def _prefixes(docs: DataFrame, ranks: np.ndarray, size: int, percent: int) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        cache: dict[bytes, int] = {}
         for _, texts in text_batches(batches, "text"):
             tokens, keys = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for text in texts:
-                s = shingle_set(text, size)
+                s = shingle_set(text, size, cache)
                 if not len(s) or (key := set_key(s)) in seen:
                     continue
                 seen.add(key)
@@ -205,10 +207,11 @@ def _sets(docs: DataFrame, keys: DataFrame, reps: DataFrame, size: int) -> DataF
         wanted = F.broadcast(wanted)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache: dict[bytes, int] = {}
         for part, texts in text_batches(batches, "text"):
             kept, sets = [], []
             for key, text in zip(part.column(part.schema.get_field_index("key")).to_pylist(), texts):
-                s = shingle_set(text, size)
+                s = shingle_set(text, size, cache)
                 if len(s) and set_key(s) == key:  # another row may bear the same id
                     kept.append(key)
                     sets.append(s.tobytes())

@@ -29,13 +29,13 @@ from pyspark.sql import functions as F
 
 from .common import text_batches, work_path
 
-#: Encoded words that a worker keeps.
+#: Encoded words that a task keeps.
 CACHE_WORDS = 700_000
 
 #: ASCII signs that are neither letters, digits nor white space.
 _SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
-_ENCODERS: dict[str, tuple] = {}
+_ENCODERS: dict[str, object] = {}
 _ENDS: dict[int, np.ndarray] = {}
 
 
@@ -44,7 +44,7 @@ def _encoder(path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
-        _ENCODERS[path] = (Tokenizer.from_file(path), {})
+        _ENCODERS[path] = Tokenizer.from_file(path)
     return _ENCODERS[path]
 
 
@@ -130,7 +130,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, id
     spark = docs.sparkSession
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, cache = _encoder(tokenizer)
+        own, cache = _encoder(tokenizer), {}
         for part, texts in text_batches(batches, text_col):
             ids = [x + end for x in encode_texts(own, cache, texts)]
             flat = pa.py_buffer(b"".join(ids))
