@@ -162,3 +162,60 @@ def scalar_or_list(value: Column, empty: Sequence[str] = ("", "none", "null", "n
 
 def first_segment(path: Column) -> Column:
     return F.split_part(path, F.lit("/"), F.lit(1))
+
+
+#: Ordered ladders of substrings for enumerated traits.
+EXPRESSIONS = [(v, v) for v in ("neutral", "smiling", "laughing", "serious", "determined")]
+HAIR_TEXTURES = [(v, v) for v in ("curly", "wavy", "straight", "coily")]
+BODY_VISIBILITY = [
+    ("full", "full_body"),
+    ("leg", "three_quarter_body"),
+    ("three-quarter", "three_quarter_body"),
+    ("upper", "upper_body"),
+    ("torso", "upper_body"),
+    ("arm", "upper_body"),
+    ("head", "head_and_shoulders"),
+    ("neck", "head_and_shoulders"),
+    ("shoulder", "head_and_shoulders"),
+]
+
+
+def view_name(text: Column) -> Column:
+    """Profile, three-quarter and frontal views from free text."""
+    t = F.lower(F.coalesce(text, F.lit("")))
+    has = lambda *parts: _all(t, parts)
+    return (
+        F.when(has("profile", "left"), "left_profile")
+        .when(has("profile", "right"), "right_profile")
+        .when(has("three", "left"), "left_three_quarter")
+        .when(has("three", "right"), "right_three_quarter")
+        .when(has("front") | has("portrait") | has("interior"), "frontal")
+        .otherwise("uncertain")
+    )
+
+
+def _all(text: Column, parts: Sequence[str]) -> Column:
+    out = F.lit(True)
+    for p in parts:
+        out = out & F.contains(text, F.lit(p))
+    return out
+
+
+def facial_viewpoint(left_eye: Column, right_eye: Column, nose: Column) -> Column:
+    """Coarse yaw from horizontal places of eyes and nose; null marks an unseen one."""
+    low, high = F.least(left_eye, right_eye), F.greatest(left_eye, right_eye)
+    at = (nose - low) / (high - low)
+    return (
+        F.when(left_eye.isNull() | right_eye.isNull() | nose.isNull(), "undetermined")
+        .when(high - low <= 0.02, "profile_or_occluded")
+        .when(at.between(0.38, 0.62), "frontal")
+        .when(at.between(-0.15, 1.15), F.when(at < 0.5, "left_three_quarter").otherwise("right_three_quarter"))
+        .otherwise("profile")
+    )
+
+
+def keyword_flags(text: Column, flags: Mapping[str, Sequence[str]], always: Sequence[str] = ()) -> Column:
+    """Names whose keywords the lower-cased text holds, with those always set, sorted."""
+    t = F.lower(text)
+    hits = [F.when(t.rlike("|".join(f"(?:{w})" for w in words)), F.lit(name)) for name, words in flags.items()]
+    return F.array_sort(F.array_distinct(F.array_compact(F.array(*map(F.lit, always), *hits))))
