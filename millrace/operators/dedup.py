@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import itertools
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,23 +14,27 @@ def content_hash(content: Column) -> Column:
 
 
 def duplicate_groups(df: DataFrame, hash_col: str, id_col: str) -> DataFrame:
-    """(hash, n, ids) of content that more than one row has, ids ascending."""
-    return df.groupBy(hash_col).agg(F.count("*").alias("n"), F.array_sort(F.collect_list(id_col)).alias("ids")).where("n > 1")
+    """(hash, n, first) of content that more than one row has; partial sums, so a hot content costs no task more."""
+    return df.groupBy(hash_col).agg(F.count("*").alias("n"), F.min(id_col).alias("first")).where("n > 1")
+
+
+def duplicate_members(df: DataFrame, hash_col: str, id_col: str) -> DataFrame:
+    """(id, hash, n, first) of every row whose content another row has too: groups as rows, not as lists of any length."""
+    return df.select(id_col, hash_col).join(duplicate_groups(df, hash_col, id_col), hash_col)
 
 
 def first_per_hash(df: DataFrame, hash_col: str, order_col: str, merge: tuple[str, ...] = ()) -> DataFrame:
-    """The first row of each content by order_col; listed array columns become the union over its rows, in row order."""
+    """The first row of each content by order_col; listed array columns become the union over its rows, in row order.
+
+    A union holds distinct values only, each found by its first row, so copies add nothing to a task.
+    """
     first = Window.partitionBy(hash_col).orderBy(order_col)
     kept = df.withColumn("_r", F.row_number().over(first)).where("_r = 1").drop("_r", *merge)
-    if not merge:
-        return kept
-    merged = df.groupBy(hash_col).agg(*(_ordered_union(order_col, c) for c in merge))
-    return kept.join(merged, hash_col).select(*df.columns)
-
-
-def _ordered_union(order_col: str, c: str) -> Column:
-    rows = F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("o"), F.col(c).alias("v"))))
-    return F.array_distinct(F.flatten(F.transform(rows, lambda x: F.coalesce(x["v"], F.array().cast("array<string>"))))).alias(c)
+    for c in merge:
+        values = df.select(hash_col, order_col, F.posexplode(c).alias("_at", "_v")).groupBy(hash_col, "_v").agg(F.min(F.struct(F.col(order_col).alias("o"), F.col("_at").alias("i"))).alias("_first"))
+        union = values.groupBy(hash_col).agg(F.transform(F.array_sort(F.collect_list(F.struct("_first", "_v"))), lambda x: x["_v"]).alias(c))
+        kept = kept.join(union, hash_col, "left").withColumn(c, F.coalesce(c, F.array().cast(df.schema[c].dataType)))
+    return kept.select(*df.columns)
 
 
 def best_per_group(df: DataFrame, group: str | list[str], *order: Column) -> DataFrame:
@@ -47,16 +52,19 @@ def hamming(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def near_pairs(df: DataFrame, id_col: str, hash_col: str, distance: int) -> DataFrame:
-    """(a, b, distance) with a < b of 64-bit hashes at most so far apart.
+def near_pairs(df: DataFrame, hash_col: str, distance: int, agree: int = 2) -> DataFrame:
+    """(x, y, distance) with x < y of distinct 64-bit hashes at most so far apart.
 
-    Hashes within d agree on at least one of d + 1 bit bands, so pairs come from an equi-join on
-    bands and a check.  Rows with equal hashes are joined once per distinct hash, not per row pair
-    inside a band: bands hold distinct hashes.
+    Of ``distance + agree`` bit blocks, hashes within the distance agree on at least ``agree``, so
+    pairs come from an equi-join on every choice of that many blocks and a check.  More blocks to
+    agree on make longer keys with fewer chance partners, for more rows; 3 suits billions of hashes.
     """
     distinct = df.where(F.col(hash_col).isNotNull()).select(F.col(hash_col).alias("h")).distinct()
-    bands = [(64 * i // (distance + 1), 64 * (i + 1) // (distance + 1)) for i in range(distance + 1)]
-    keys = [F.struct(F.lit(i).alias("band"), F.shiftrightunsigned("h", low).bitwiseAND(F.lit((1 << (high - low)) - 1 if high - low < 64 else -1)).alias("bits")) for i, (low, high) in enumerate(bands)]
+    n = min(64, distance + agree)
+    blocks = [(64 * i // n, 64 * (i + 1) // n) for i in range(n)]
+    masks = [sum((1 << high) - (1 << low) for low, high in chosen) for chosen in itertools.combinations(blocks, n - distance)]
+    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
+    keys = [F.struct(F.lit(i).alias("band"), F.col("h").bitwiseAND(F.lit(m).cast("long")).alias("bits")) for i, m in enumerate(signed)]
     banded = distinct.select("h", F.explode(F.array(*keys)).alias("k")).select("h", "k.band", "k.bits")
     x, y = banded.withColumnRenamed("h", "x"), banded.withColumnRenamed("h", "y")
     close = x.join(y, ["band", "bits"]).where("x < y").where(hamming(F.col("x"), F.col("y")) <= distance).select("x", "y").distinct()
@@ -67,7 +75,7 @@ def near_duplicate_clusters(df: DataFrame, id_col: str, hash_col: str, distance:
     """(id, cluster): cluster is the smallest id connected by hashes within the distance.  Rows without a hash stand alone."""
     own = df.select(F.col(id_col).alias("id"), F.col(hash_col).alias("h"))
     heads = own.where("h is not null").groupBy("h").agg(F.min("id").alias("head"))
-    pairs = near_pairs(df, id_col, hash_col, distance)
+    pairs = near_pairs(df, hash_col, distance)
     edges = pairs.join(heads.select(F.col("h").alias("x"), F.col("head").alias("a")), "x").join(heads.select(F.col("h").alias("y"), F.col("head").alias("b")), "y").select("a", "b")
     roots = connected_components(edges)
     named = own.join(heads, "h", "left").select("id", F.coalesce("head", "id").alias("head"))

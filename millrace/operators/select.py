@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .dedup import reliable
+
 
 def round_robin(df: DataFrame, strata: Sequence[str], order: Sequence[Column], most: int) -> DataFrame:
     """Up to ``most`` rows, taken in turn from the strata in key order, each stratum in the given order.
@@ -17,6 +19,19 @@ def round_robin(df: DataFrame, strata: Sequence[str], order: Sequence[Column], m
     return df.withColumn("turn", turn).where(F.col("turn") <= most).orderBy("turn", *strata).limit(most)
 
 
+def global_rank(df: DataFrame, *order: str, out: str = "place") -> DataFrame:
+    """df with each row's place in a total order, from 1, without a single-task sort.
+
+    Rows are range-partitioned and numbered inside their partition; only one count per partition
+    meets in one task.  The partitioned rows are checkpointed, so counts and numbers see the same rows.
+    """
+    parts = reliable(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    counts = parts.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return parts.withColumn("_r", inside).join(before, "_part").withColumn(out, F.col("_r") + F.col("_before")).drop("_part", "_r", "_before")
+
+
 def group_safe_splits(df: DataFrame, group: Column, fractions: Mapping[str, float]) -> DataFrame:
     """(group_id, split): distinct groups in order of their SHA-256, cut into held-out splits and train.
 
@@ -35,13 +50,11 @@ def group_safe_splits(df: DataFrame, group: Column, fractions: Mapping[str, floa
             bounds.append((n - left, name))
     if not bounds:
         return groups.withColumn("split", F.lit("train"))
-    # the held-out groups are those with the smallest hashes: a bounded top-k, not a sort of all
-    ordered = groups.withColumn("h", F.sha2("group_id", 256))
-    held = ordered.orderBy("h").limit(bounds[-1][0]).withColumn("place", F.row_number().over(Window.orderBy("h")))
     split = F.lit("train")
     for bound, name in reversed(bounds):
         split = F.when(F.col("place") <= bound, name).otherwise(split)
-    return groups.join(held.select("group_id", split.alias("split")), "group_id", "left").select("group_id", F.coalesce("split", F.lit("train")).alias("split"))
+    ranked = global_rank(groups.withColumn("h", F.sha2("group_id", 256)), "h")
+    return ranked.select("group_id", split.alias("split"))
 
 
 def split_leakage(df: DataFrame, split_col: str, key_col: str) -> DataFrame:

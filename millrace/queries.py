@@ -39,20 +39,18 @@ def query(sql: str | None) -> Callable:
 # -- inventory, exact duplicates, gates -----------------------------------------------------------
 
 
-@query("""
-select sha256(text) as sha256, min(doc_id) as doc_id, count(*) as copies, list(doc_id order by doc_id) as doc_ids
-from documents group by 1""")
+@query("select sha256(text) as sha256, min(doc_id) as doc_id, count(*) as copies from documents group by 1")
 def dedup_exact(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", dedup.content_hash(F.col("text")).alias("sha256"))
-    return docs.groupBy("sha256").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.array_sort(F.collect_list("doc_id")).alias("doc_ids"))
+    return docs.groupBy("sha256").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
 
 
 @query("""
-select sha256(text) as sha256, count(*) as n, list(doc_id order by doc_id) as ids
-from documents group by 1 having count(*) > 1""")
+with g as (select sha256(text) as sha256, count(*) as n, min(doc_id) as first from documents group by 1 having count(*) > 1)
+select doc_id, g.sha256, n, first from documents join g on sha256(text) = g.sha256""")
 def duplicate_groups(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", dedup.content_hash(F.col("text")).alias("sha256"))
-    return dedup.duplicate_groups(docs, "sha256", "doc_id")
+    return dedup.duplicate_members(docs, "sha256", "doc_id")
 
 
 @query("""
@@ -592,7 +590,7 @@ def _hashes(spark, sf_dir):
 
 @query(f"with {_HASH}, d as (select distinct h from h where h is not null) select x.h as x, y.h as y, bit_count(xor(x.h, y.h))::integer as distance from d x join d y on x.h < y.h and bit_count(xor(x.h, y.h)) <= 3")
 def hamming_pairs(spark, sf_dir):
-    return dedup.near_pairs(_hashes(spark, sf_dir), "doc_id", "h", 3).withColumn("distance", F.col("distance").cast("int"))
+    return dedup.near_pairs(_hashes(spark, sf_dir), "h", 3).withColumn("distance", F.col("distance").cast("int"))
 
 
 @query(f"""

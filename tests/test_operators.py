@@ -91,7 +91,7 @@ def test_near_pairs_match_brute_force(spark):
     df = spark.createDataFrame([(i, h) for i, h in enumerate(signed)], "id int, h long")
     for d in (0, 1, 3, 7):
         want = sorted((min(x, y), max(x, y), bin((x ^ y) & (1 << 64) - 1).count("1")) for i, x in enumerate(signed) for y in signed[:i] if bin((x ^ y) & (1 << 64) - 1).count("1") <= d)
-        plan = dedup.near_pairs(df, "id", "h", d)
+        plan = dedup.near_pairs(df, "h", d)
         assert rows(plan) == want
         assert "CartesianProduct" not in plan._jdf.queryExecution().executedPlan().toString()
 
