@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_batches
+from .common import materialize, text_batches
 
 SAMPLE_DOCS = 20_000
 MAX_TOKENS = 20_000
@@ -164,7 +164,8 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc
     """
     truth = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id is not null and label is not null").groupBy("id").agg(F.max("label").alias("label"))
     sample = truth.orderBy(F.xxhash64("id"), "id").limit(sample_docs)  # at most sample_docs short rows, so it is broadcast
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id").select("label", "text")
+    # written once: the texts are scanned for the sample a single time
+    rows = materialize(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id").select("label", "text"), "sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_batches(batches, "text"):
