@@ -521,7 +521,7 @@ with {_CENTROID}, d as (select vec_id, 1 - list_dot_product(embedding::double[],
   from embeddings join cent using (label))
 select vec_id, round(d, 5) as distance, case when d < 0.45 then 'HOLDS' when d < 0.65 then 'DRIFTS' else 'NO MATCH' end as band from d""")
 def cosine_band(spark, sf_dir):
-    rows = table(spark, sf_dir, "embeddings").join(F.broadcast(_centroids(spark, sf_dir)), "label")  # one row per label, ten labels
+    rows = table(spark, sf_dir, "embeddings").join(_centroids(spark, sf_dir), "label")
     d = rows.select("vec_id", S.cosine_distance(F.col("embedding"), F.col("c")).alias("d"))
     return d.select("vec_id", F.round("d", 5).alias("distance"), gates.similarity_band(F.col("d")).alias("band"))
 
