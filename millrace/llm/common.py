@@ -9,6 +9,8 @@ all executors share, so that a lost executor costs only its own tasks.
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import tempfile
 import uuid
 import weakref
@@ -84,6 +86,22 @@ def text_batches(batches: Iterator[pa.RecordBatch], text: str, chars: int = SLIC
 
     Texts become Python strings only part by part, which bounds a worker's memory.
     """
+    try:
+        yield from _cut(batches, text, chars)
+    finally:
+        release()
+
+
+def release() -> None:
+    """Give freed memory back at a task's end: its worker may stay idle beside others."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def _cut(batches: Iterator[pa.RecordBatch], text: str, chars: int) -> Iterator[tuple[pa.RecordBatch, list]]:
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(text))), 0).to_pylist()
         start, size = 0, 0

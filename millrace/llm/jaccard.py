@@ -49,8 +49,10 @@ PERCENT = 80
 SKETCH, SKETCH_ROW = 1 << 20, 1 << 12
 #: Word hashes that a task keeps.
 CACHE_WORDS = 200_000
-#: Classes of a group, and queries that one task compares with it.
-GROUP_CLASSES, BLOCK_QUERIES = 256, 64
+#: Classes of a group, queries that are compared with it at once, and shingles that either may hold (one set may hold more).
+GROUP_CLASSES, BLOCK_QUERIES, MOST_SHINGLES = 256, 64, 1_000_000
+#: Postings that a comparison expands at once.
+POSTINGS = 500_000
 #: A table of so many short rows may be broadcast; larger ones are joined by shuffling.
 BROADCAST_ROWS = 500_000
 
@@ -108,7 +110,7 @@ class Group:
 
     def __init__(self, sets: list[np.ndarray]):
         self.sizes = np.array([len(s) for s in sets])
-        tokens, owners = np.concatenate(sets), np.repeat(np.arange(len(sets)), self.sizes)
+        tokens, owners = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.int32), self.sizes)
         order = np.argsort(tokens, kind="stable")
         tokens, self.owners = tokens[order], owners[order]
         first = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
@@ -118,11 +120,14 @@ class Group:
         """Indexes of the members that the query links with."""
         at = np.minimum(np.searchsorted(self.tokens, query), len(self.tokens) - 1)
         at = at[self.tokens[at] == query]
-        if not len(at):
-            return at
         sizes = self.bounds[at + 1] - self.bounds[at]
-        places = np.repeat(self.bounds[at] - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
-        shared = np.bincount(self.owners[places], minlength=len(self.sizes))
+        shared = np.zeros(len(self.sizes), np.int64)
+        # postings of so many tokens at once that they stay small, whatever the sets' sizes
+        step = max(1, POSTINGS // len(self.sizes))
+        for k in range(0, len(at), step):
+            n = sizes[k : k + step]
+            places = np.repeat(self.bounds[at[k : k + step]] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+            shared += np.bincount(self.owners[places], minlength=len(self.sizes))
         return np.flatnonzero(linked(shared, len(query), self.sizes, percent))
 
 
@@ -236,12 +241,17 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return materialize(both.mapInArrow(compare, "a long, b long").distinct(), "links")
 
 
+def _parts(classes: int, n: str) -> Column:
+    """How many parts rows of sets make, by their number and by their shingles."""
+    return F.greatest(F.ceil(F.count("*") / classes), F.ceil(F.sum(n) / MOST_SHINGLES))
+
+
 def _open(opened: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between queries (grp, q, comp) and members (grp, key, comp) of their groups.
+    """Links (a, b) between queries (grp, q, n, comp) and members (grp, key, comp) of their groups.
 
     A task gets one group and one block of its queries, so neither a large group nor a much-asked one meets in one place.
     """
-    blocks = opened.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("blocks"))
+    blocks = opened.groupBy("grp").agg(_parts(BLOCK_QUERIES, "n").cast("int").alias("blocks"))
     blocks = materialize(blocks, "blocks")
     asked = opened.join(blocks, "grp").select("grp", F.pmod(F.xxhash64("q", "grp"), F.col("blocks")).cast("int").alias("block"), F.col("q").alias("key"), "comp")
     held = members.join(blocks, "grp").select("grp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "key", "comp")
@@ -309,7 +319,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     comps = met.join(inside.select(F.col("a").alias("key"), F.col("b").alias("comp")), "key", "left").join(inside.select(F.col("b").alias("key"), F.col("b").alias("own")).distinct(), "key", "left")
     comps = comps.select("key", "n", F.coalesce("comp", "own").alias("hub"), "low").withColumn("comp", F.coalesce("hub", "key")).withColumn("base", F.xxhash64(F.coalesce("hub", "low"), F.col("hub").isNull()))
     comps = materialize(comps.select("key", "n", "comp", "base", F.col("hub").isNotNull().alias("joined")), "comps")
-    parts = materialize(comps.groupBy("base").agg(F.ceil(F.count("*") / GROUP_CLASSES).alias("parts"), F.count("*").alias("members")), "parts")
+    parts = materialize(comps.groupBy("base").agg(_parts(GROUP_CLASSES, "n").alias("parts"), F.count("*").alias("members")), "parts")
     members = comps.join(parts, "base").withColumn("grp", F.xxhash64("base", F.pmod(F.xxhash64("key"), F.col("parts")))).select("key", "n", "comp", "grp", "joined", "members")
     members = materialize(members, "members")
 
@@ -324,7 +334,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     across = shared.where(low_n <= high_n).where(F.col("c") >= least).select("q", "grp")
     within = members.where("not joined and members > 1").select(F.col("key").alias("q"), "grp")
     joined_to = members.where("joined").select("grp", F.col("comp").alias("grp_comp")).distinct()
-    opened = across.unionByName(within).join(members.select(F.col("key").alias("q"), "comp"), "q").join(joined_to, "grp", "left").where("grp_comp is null or grp_comp <> comp").select("grp", "q", "comp")
+    opened = across.unionByName(within).join(members.select(F.col("key").alias("q"), "n", "comp"), "q").join(joined_to, "grp", "left").where("grp_comp is null or grp_comp <> comp").select("grp", "q", "n", "comp")
     opened = materialize(opened, "opened")
     targets = materialize(members.join(opened.select("grp").distinct(), "grp").select("grp", "key", "comp"), "targets")
     sets = _sets(docs, opened.select(F.col("q").alias("key")).union(targets.select("key")), reps, size)
