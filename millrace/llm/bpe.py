@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame
 
 from .common import text_batches
 
-#: Pieces encoded at once; encoded pieces and judged pairs that a task keeps.
+#: Characters of text whose new pieces share one trie; pieces encoded at once; encoded pieces and judged pairs that a task keeps.
+TRIE_CHARS = 2_000_000
 CHUNK_PIECES = 200_000
 CACHE_PIECES = 250_000
 CACHE_PAIRS = 400_000
@@ -57,8 +58,9 @@ class BytePairCoder:
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", ())}
         self.bytes_of |= {i: t.encode() for t, i in self.special.items()}
         self.longest = max(map(len, self.ids))
-        self.follows: dict[tuple[int, int], bool] = {}
-        self.alone: dict[int, bool] = {}
+        self.sizes = {i: len(t) for i, t in self.bytes_of.items()}
+        self.packed = {i: i.to_bytes(4, "little") for i in self.bytes_of}
+        self.follows: dict[int, bool] = {}
         self.cache: dict[str, bytes] = {}
         import regex
 
@@ -80,23 +82,14 @@ class BytePairCoder:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return [self.ids[p] for p in parts]
 
-    def may_follow(self, a: int, b: int) -> bool:
-        found = self.follows.get((a, b))
-        if found is None:
-            if len(self.follows) > CACHE_PAIRS:
-                self.follows.clear()
-            found = self.follows[a, b] = self.merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
-        return found
-
-    def is_own(self, a: int) -> bool:
-        found = self.alone.get(a)
-        if found is None:
-            found = self.alone[a] = self.merge(self.bytes_of[a]) == [a]
-        return found
-
-    def traverse(self, words: Iterable[bytes]) -> dict[bytes, list[int]]:
-        """Ids of distinct words, by the depth-first traversal of their trie."""
-        ids, longest = self.ids, self.longest
+    def _judge(self, a: int, b: int) -> bool:
+        """Whether token b may follow token a; a of -1 stands for the start of a piece."""
+        before = self.bytes_of[a] if a >= 0 else b""
+        return self.merge(before + self.bytes_of[b]) == ([a, b] if a >= 0 else [b])
+
+    def traverse(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
+        """Ids of distinct words as little-endian 32-bit integers, by the depth-first traversal of their trie."""
+        ids, longest, follows, sizes, packed = self.ids.get, self.longest, self.follows, self.sizes, self.packed
         last: list[int] = [-1]  # last[i]: last token of the current prefix of length i
         before, out = b"", {}
         for word in sorted(words):
@@ -106,11 +99,17 @@ class BytePairCoder:
             del last[same + 1 :]
             for end in range(same + 1, len(word) + 1):
                 state = -1
-                for start in range(max(0, end - longest), end):
-                    token = ids.get(word[start:end])
+                for start in range(end - longest if end > longest else 0, end):
+                    token = ids(word[start:end])
                     if token is None:
                         continue
-                    if self.may_follow(last[start], token) if start else self.is_own(token):
+                    pair = (last[start] + 1) << 20 | token
+                    fits = follows.get(pair)
+                    if fits is None:
+                        if len(follows) > CACHE_PAIRS:
+                            follows.clear()
+                        fits = follows[pair] = self._judge(last[start], token)
+                    if fits:
                         state = token
                         break
                 if state < 0:
@@ -118,14 +117,15 @@ class BytePairCoder:
                 last.append(state)
             before = word
             if len(last) <= len(word):
-                out[word] = self.merge(word)
+                out[word] = b"".join([packed[t] for t in self.merge(word)])
                 continue
             found, at = [], len(word)
             while at:
                 token = last[at]
-                found.append(token)
-                at -= len(self.bytes_of[token])
-            out[word] = found[::-1]
+                found.append(packed[token])
+                at -= sizes[token]
+            found.reverse()
+            out[word] = b"".join(found)
         return out
 
     def forget(self) -> None:
@@ -137,11 +137,10 @@ class BytePairCoder:
         cache = self.cache
         if len(cache) > CACHE_PIECES:
             cache.clear()
-        new = {p for p in set(pieces) if p not in cache}
+        new = set(pieces).difference(cache)
         if new:
             encoded = self.traverse({p.encode() for p in new})
-            for p in new:
-                cache[p] = b"".join(i.to_bytes(4, "little") for i in encoded[p.encode()])
+            cache.update((p, encoded[p.encode()]) for p in new)
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
@@ -206,7 +205,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(tokenizer)
         try:
-            for part, texts in text_batches(batches, text_col):
+            for part, texts in text_batches(batches, text_col, TRIE_CHARS):
                 n, ids_sha, text_sha, all_ids, decoded = [], [], [], [], []
                 for ids in own.encode_batch([text or "" for text in texts]):
                     back = own.decode(ids)
