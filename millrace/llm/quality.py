@@ -17,6 +17,7 @@ every score is the share of label 1 (0.5 without labels).
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_batches
+from .common import materialize, text_batches
 
 BUCKETS = 1 << 18
-SAMPLE_DOCS = 2500
+SAMPLE_DOCS = 6000
 DIMENSIONS = 8
 EPOCHS = 8
 #: Words whose feature sums a worker keeps.
@@ -144,9 +145,15 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc
                 ["id", "label", "buckets", "counts"],
             )
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id").mapInArrow(features, "id long, label int, buckets binary, counts binary").collect()
-    rows.sort(key=lambda r: (r["id"], bytes(r["buckets"])))
-    return train([(int(r["label"] == 1), np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["counts"], np.int32)) for r in rows], buckets)
+    rows = materialize(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id").mapInArrow(features, "id long, label int, buckets binary, counts binary"), "quality_rows")
+    # partition by partition, and counts in few bytes, so that the driver holds little more than the sample's arrays
+    found = []
+    for r in rows.toLocalIterator():
+        n = np.frombuffer(r["counts"], np.int32)
+        n = n.astype(np.min_scalar_type(n.max(initial=0)))
+        found.append((r["id"], hashlib.sha256(r["buckets"]).digest(), int(r["label"] == 1), np.frombuffer(r["buckets"], np.int32), n))
+    found.sort(key=lambda r: r[:2])
+    return train([r[2:] for r in found], buckets)
 
 
 class _Scorer:
