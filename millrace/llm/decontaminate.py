@@ -12,15 +12,18 @@ its own budget) and given up at the first that fails; the last run is the item.
 Items are taken in blocks of about ``block_chars`` characters, one pass over the
 documents per block, so an automaton's size does not grow with the benchmark.
 
-Null and empty texts match nothing.  Items with fewer than ``least_chars``
-characters (null and empty ones too) are not searched: such strings occur by
-chance.  Items with equal texts are each reported; repeated documents are reported
+Items with fewer than ``least_chars`` characters must occur unchanged and as whole
+words, since parts and variants of such strings occur by chance; the same automaton
+finds them.  Letters of scripts without spaces between words bound a word.
+
+Null and empty texts, of documents and items, match nothing.  Items with equal texts are each reported; repeated documents are reported
 row by row.  An empty benchmark or document table gives no rows.
 """
 
 from __future__ import annotations
 
 import math
+import unicodedata
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -39,6 +42,20 @@ def normal_text(text: str | None) -> str:
     return " ".join(text.lower().split()) if text else ""
 
 
+#: Letters of scripts without spaces: Thai and Lao, Myanmar, Khmer, kana, Han.
+UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+
+
+def word_character(c: str) -> bool:
+    """A letter, mark or digit that belongs to one word with such neighbours."""
+    return unicodedata.category(c)[0] in "LMN" and not any(a <= ord(c) <= b for a, b in UNSPACED)
+
+
+def whole_words(text: str, start: int, end: int) -> bool:
+    """Whether no word of the text crosses either end of the stretch."""
+    return not any(0 < at < len(text) and word_character(text[at - 1]) and word_character(text[at]) for at in (start, end))
+
+
 def pieces(length: int, parts: int) -> list[tuple[int, int]]:
     """Bounds of so many pieces of nearly equal length."""
     return [(length * i // parts, length * (i + 1) // parts) for i in range(parts)]
@@ -85,9 +102,9 @@ def enclosing_runs(bounds: list[tuple[int, int]], piece: int) -> list[tuple[int,
 
 
 class ItemIndex:
-    """Automaton and bit patterns of one block of items."""
+    """Automaton and bit patterns of one block of items; those under least_chars are matched as whole words."""
 
-    def __init__(self, items: Iterable[tuple[int, str]], rate: float):
+    def __init__(self, items: Iterable[tuple[int, str]], rate: float, least_chars: int = 0):
         import ahocorasick
 
         self.ids: dict[str, list[int]] = {}
@@ -95,8 +112,11 @@ class ItemIndex:
             self.ids.setdefault(text, []).append(i)
         self.texts = sorted(self.ids)
         self.bits: dict[tuple[int, int, int], dict[str, int]] = {}
-        where: dict[str, list[tuple[int, int, list]]] = {}
+        where: dict[str, list[tuple[int, int, list | None]]] = {}
         for k, text in enumerate(self.texts):
+            if len(text) < least_chars:
+                where.setdefault(text, []).append((k, 0, None))
+                continue
             bounds = pieces(len(text), int(rate * len(text)) + 1)
             for j, (a, b) in enumerate(bounds):
                 where.setdefault(text[a:b], []).append((k, a, enclosing_runs(bounds, j) or [(a, b, 0)]))
@@ -124,6 +144,10 @@ class ItemIndex:
                 start = end + 1 - n - a  # where the item would start
                 if best.get(k) == 0 or k in done and done[k][0] <= start <= done[k][1]:
                     continue
+                if runs is None:
+                    if whole_words(text, start, end + 1):
+                        best[k] = 0
+                    continue
                 for x, y, budget in runs:
                     if y - x == len(self.texts[k]):
                         # all starts within the budget of this one are covered at once
@@ -136,14 +160,14 @@ class ItemIndex:
         return [(i, d) for k, d in sorted(best.items()) for i in self.ids[self.texts[k]]]
 
 
-def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, least_chars: int, block_chars: int) -> Iterator[list[tuple[int, str]]]:
+def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple[int, str]]]:
     """Searched items as (id, normal text), in blocks of about block_chars characters; one block at least."""
     items = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text")).where("text is not null")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(chars / block_chars))
     for block in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()
-        yield [(r["item"], t) for r in rows if len(t := normal_text(r["text"])) >= least_chars]
+        yield [(r["item"], t) for r in rows if (t := normal_text(r["text"]))]
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", rate: float = RATE, least_chars: int = LEAST_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -151,11 +175,11 @@ def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     id_type, item_type = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
     item_arrow = to_arrow_type(benchmark.schema[item_col].dataType)
     found = None
-    for block in item_blocks(benchmark, item_col, item_text_col, least_chars, block_chars):
+    for block in item_blocks(benchmark, item_col, item_text_col, block_chars):
         held = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            index = ItemIndex(held.value, rate)
+            index = ItemIndex(held.value, rate, least_chars)
             for part, texts in text_batches(batches, text_col):
                 hits = [(row, i, d) for row, t in enumerate(texts) for i, d in index.search(normal_text(t))]
                 ids = part.column(part.schema.get_field_index(id_col)).take(pa.array([h[0] for h in hits], pa.int64()))
@@ -168,11 +192,11 @@ def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", rate: float = RATE, least_chars: int = LEAST_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows, all columns, that hold no item within its budget."""
-    for block in item_blocks(benchmark, item_col, item_text_col, least_chars, block_chars):
+    for block in item_blocks(benchmark, item_col, item_text_col, block_chars):
         held = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            index = ItemIndex(held.value, rate)
+            index = ItemIndex(held.value, rate, least_chars)
             for part, texts in text_batches(batches, text_col):
                 yield part.filter(pa.array([not index.search(normal_text(t)) for t in texts], pa.bool_()))
 
