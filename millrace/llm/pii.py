@@ -10,7 +10,10 @@ and candidate strings form a bipartite graph whose scores are computed in turn:
 * a seed string has confidence 1 for its kind, any other string the noisy-or of
   its patterns' confidences;
 * a pattern's confidence for a kind is the confidence of its distinct strings over
-  their number plus ``smoothing``, if it holds at least ``least_seeds`` seed strings of that kind.
+  their number plus ``smoothing``, once it holds at least ``least_seeds`` believed strings of that
+  kind: seeds, and from the first round on strings of at least ``least_confidence``.
+
+So each round may admit patterns through strings that the round before discovered.
 
 After ``rounds`` rounds, candidates behind patterns of at least ``least_confidence``
 become spans of the pattern's kind, unless they overlap a base span.
@@ -145,19 +148,22 @@ def _seed(token: Column) -> Column:
 def score_patterns(edges: DataFrame, rounds: int = 3, least_seeds: int = 3, smoothing: float = 1.0, least_confidence: float = 0.6) -> DataFrame:
     """(left, kind, confidence) of patterns, from distinct edges (left, text, seed): seed is a kind or null."""
     edges = materialize(edges, "pii_edges")
+    pairs = edges.select("left", "text").distinct()
     kinds = edges.groupBy("text").agg(F.min("seed").alias("seed"))
-    size = edges.select("left", "text").distinct().groupBy("left").agg(F.count("*").alias("n"))
+    size = pairs.groupBy("left").agg(F.count("*").alias("n"))
     seeds = edges.where("seed is not null").groupBy("left", F.col("seed").alias("kind")).agg(F.countDistinct("text").alias("seeds")).where(F.col("seeds") >= least_seeds)
-    patterns = seeds.join(size, "left").select("left", "kind", "n", (F.col("seeds") / (F.col("n") + smoothing)).alias("confidence"))
+    patterns = seeds.join(size, "left").select("left", "kind", (F.col("seeds") / (F.col("n") + smoothing)).alias("confidence"))
+    # a seed string counts for its own kind alone
+    own = kinds.where("seed is not null").select("text", F.col("seed").alias("kind"), F.lit(1.0).alias("belief"))
     for _ in range(rounds):
         patterns = materialize(patterns, "pii_patterns")
-        new = edges.select("left", "text").distinct().join(patterns, "left").join(kinds, "text")
-        # noisy-or of patterns that are believed; a seed string counts for its own kind alone
-        trusted = F.when(F.col("confidence") >= least_confidence, F.col("confidence")).otherwise(0.0)
-        strings = new.groupBy("text", "kind", "seed").agg((1 - F.product(1 - trusted)).alias("belief"))
-        belief = F.when(F.col("seed").isNull(), F.col("belief")).when(F.col("seed") == F.col("kind"), 1.0).otherwise(0.0)
-        strings = strings.select("text", "kind", belief.alias("belief"))
-        patterns = new.select("left", "text", "kind", "n").join(strings, ["text", "kind"]).groupBy("left", "kind", "n").agg((F.sum("belief") / (F.max("n") + smoothing)).alias("confidence"))
+        # noisy-or of patterns that are believed
+        found = pairs.join(patterns.where(F.col("confidence") >= least_confidence), "left").join(kinds.where("seed is null"), "text").groupBy("text", "kind").agg((1 - F.product(1 - F.col("confidence"))).alias("belief"))
+        # believed strings meet all their patterns, so discovered ones admit new patterns too
+        held = pairs.join(own.unionByName(found), "text").groupBy("left", "kind").agg(F.sum("belief").alias("total"), F.count_if(F.col("belief") >= least_confidence).alias("believed"))
+        known = patterns.select("left", "kind", F.lit(True).alias("known"))
+        grown = held.join(known, ["left", "kind"], "full").where(F.col("known") | (F.col("believed") >= least_seeds))
+        patterns = grown.join(size, "left").select("left", "kind", (F.coalesce("total", F.lit(0.0)) / (F.col("n") + smoothing)).alias("confidence"))
     best = Window.partitionBy("left").orderBy(F.col("confidence").desc(), F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")))
     return patterns.where(F.col("confidence") >= least_confidence).withColumn("r", F.row_number().over(best)).where("r = 1").select("left", "kind", "confidence")
 
