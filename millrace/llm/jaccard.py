@@ -26,7 +26,8 @@ Pairs inside a group are never made rows.
 
 Null, empty and blank texts have an empty set, link with nothing and are their own
 component.  Rows with the same id and text give equal rows; a component id is the smallest id
-in the component, so ties need no rule.  An empty table gives an empty table.
+in the component, so ties need no rule.  Rows with a null id link like others; a component without
+any id has a null component id.  An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -206,10 +207,10 @@ def _prefixes(docs: DataFrame, ranks: np.ndarray, size: int, percent: int) -> Da
 
 
 def _sets(docs: DataFrame, keys: DataFrame, reps: DataFrame, size: int) -> DataFrame:
-    """(key, shingles) of the wanted classes, each read from one document."""
+    """(key, shingles) of the wanted classes, each read from one document; those without any id by their keys."""
     wanted = materialize(keys.distinct().join(reps, "key"), "wanted")
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
+    count, nameless = wanted.agg(F.count("*"), F.count_if(F.col("id").isNull())).first()
+    checked = F.broadcast if count <= BROADCAST_ROWS else lambda df: df
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[bytes, int] = {}
@@ -222,7 +223,25 @@ def _sets(docs: DataFrame, keys: DataFrame, reps: DataFrame, size: int) -> DataF
                     sets.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int64()), pa.array(sets, pa.binary())], ["key", "shingles"])
 
-    return materialize(docs.join(wanted, "id").select("key", "text").mapInArrow(read, "key long, shingles binary"), "sets")
+    def read_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        cache: dict[bytes, int] = {}
+        for _, texts in text_batches(batches, "text"):
+            kept, sets = [], []
+            for text in texts:
+                s = shingle_set(text, size, cache)
+                if len(s) and (key := set_key(s)) not in seen:
+                    seen.add(key)
+                    kept.append(key)
+                    sets.append(s.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int64()), pa.array(sets, pa.binary())], ["key", "shingles"])
+
+    schema = "key long, shingles binary"
+    sets = docs.join(checked(wanted), "id").select("key", "text").mapInArrow(read, schema)
+    if nameless:
+        rest = docs.where("id is null").select("text").mapInArrow(read_all, schema).join(checked(wanted.where("id is null").select("key")), "key")
+        sets = sets.unionByName(rest.dropDuplicates(["key"]))
+    return materialize(sets, "sets")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
