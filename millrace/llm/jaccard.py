@@ -4,20 +4,22 @@ A document's set holds the 64-bit hashes of its five-word shingles (words split
 ASCII white space, A-Z lower-cased).  Documents with equal sets form one class;
 everything below works on classes, so copies cost one comparison at most.
 
-1. One pass over the texts gives each document's set size, class key and smallest
-   hash, and a fixed-size counting sketch of all shingles.
+1. One pass over the texts gives each document's set size and class key, and a
+   fixed-size counting sketch of all shingles.
 2. A second pass writes each class's prefix: its rarest shingles by the sketch (any
    total order is right, a rare-first one is fast), as many as two linked sets can
    not both do without.  Shingles of one class only are dropped; the others are the
    token-group matrix's rows.
-3. Classes are partitioned into groups of at most about ``GROUP_CLASSES``: those with the same smallest
-   hash, split by whether they link to that hash's hub, the class whose prefix holds the
-   most common shingles (edits make shingles rare, so the hub is near the original).
-4. The matrix, token by group, bounds a query's overlap with each group: two sets that
+3. Each class has a hub: the class with the most common prefix among those that share
+   most of its prefix tokens (edits make shingles rare, so a hub is near the original).
+   Classes that link with their hubs make components.  A component is one column of the
+   matrix, and so are the classes of a hub that don't link with it.
+4. The matrix, token by column, bounds a query's overlap with each column: two sets that
    link must share a certain number of prefix tokens, which follows from their sizes.
-   Groups below the bound stay closed, and so do groups that the query already belongs with.
-5. A qualifying group is opened: one task counts the overlaps of a block of queries with
-   all its members through an inverted list, and returns a link only where it joins
+   Columns below the bound stay closed; of two columns the smaller one's classes ask,
+   and no class asks its own component.
+5. A qualifying column is opened in groups of about ``GROUP_CLASSES``: one task counts the overlaps of a block of queries with
+   all members of a group through an inverted list, and returns a link only where it joins
    two components that it has not seen joined.
 
 Every link between different sets is found or lies inside a component already
@@ -25,21 +27,24 @@ known, so components are exact; 64-bit hashes stand for shingles and sets.
 Pairs inside a group are never made rows.
 
 Null, empty and blank texts have an empty set, link with nothing and are their own
-component.  Rows with the same id and text give equal rows; a component id is the smallest id
+component.  Very long texts are sets like others; a group that holds one holds few others.  Rows with the same id and text give equal rows; a component id is the smallest id
 in the component, so ties need no rule.  Rows with a null id link like others; a component without
 any id has a null component id.  An empty table gives an empty table.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import materialize, text_batches
 from .graphs import components
@@ -133,36 +138,35 @@ class Group:
 
 
 def _scan(docs: DataFrame, size: int) -> DataFrame:
-    """Per document: id, n, key, low (smallest hash); and per task the rows of a shingle sketch."""
+    """Per document: id, n, key; and per task the rows of a shingle sketch."""
     id_type = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SKETCH, np.uint16)
         seen: set[int] = set()
         cache: dict[bytes, int] = {}
-        names = ["id", "n", "key", "low", "block", "counts"]
+        names = ["id", "n", "key", "block", "counts"]
         id_arrow = None
         for part, texts in text_batches(batches, "text"):
             ids = part.column(part.schema.get_field_index("id"))
             id_arrow = ids.type
-            n, keys, low = [], [], []
+            n, keys = [], []
             for text in texts:
                 s = shingle_set(text, size, cache)
                 n.append(len(s))
                 key = set_key(s) if len(s) else None
                 keys.append(key)
-                low.append(int(s[0].astype(np.int64)) if len(s) else None)
                 if len(s) and key not in seen:
                     seen.add(key)
                     at = (s % np.uint64(SKETCH)).astype(np.int64)
                     counts[at] += counts[at] < 65535
             empty = pa.nulls(len(texts), pa.int32())
-            yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(keys, pa.int64()), pa.array(low, pa.int64()), empty, pa.nulls(len(texts), pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(keys, pa.int64()), empty, pa.nulls(len(texts), pa.binary())], names)
         if seen:
             blocks = SKETCH // SKETCH_ROW
-            yield pa.RecordBatch.from_arrays([pa.nulls(blocks, id_arrow), pa.nulls(blocks, pa.int64()), pa.nulls(blocks, pa.int64()), pa.nulls(blocks, pa.int64()), pa.array(range(blocks), pa.int32()), pa.array([c.tobytes() for c in counts.reshape(blocks, -1)], pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(blocks, id_arrow), pa.nulls(blocks, pa.int64()), pa.nulls(blocks, pa.int64()), pa.array(range(blocks), pa.int32()), pa.array([c.tobytes() for c in counts.reshape(blocks, -1)], pa.binary())], names)
 
-    return docs.mapInArrow(run, f"id {id_type}, n long, key long, low long, block int, counts binary")
+    return docs.mapInArrow(run, f"id {id_type}, n long, key long, block int, counts binary")
 
 
 def _ranks(sketch: DataFrame) -> np.ndarray:
@@ -241,7 +245,8 @@ def _sets(docs: DataFrame, keys: DataFrame, reps: DataFrame, size: int) -> DataF
     if nameless:
         rest = docs.where("id is null").select("text").mapInArrow(read_all, schema).join(checked(wanted.where("id is null").select("key")), "key")
         sets = sets.unionByName(rest.dropDuplicates(["key"]))
-    return materialize(sets, "sets")
+    found = materialize(sets, "sets")
+    return found if found.count() <= count else found.dropDuplicates(["key"])  # repeated rows give their set again
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -310,71 +315,135 @@ def _fewest(n: Column, m: Column, percent: int) -> Column:
     return F.greatest(F.lit(1), least - F.ceil(F.greatest(n, m) * percent / 100 - 1e-9) + 1)
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per document: id, n_shingles, component_id."""
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+def _matrix(docs: DataFrame, ranks: np.ndarray, size: int, percent: int) -> DataFrame:
+    """(token, key, f) of prefix tokens that f > 1 classes have.
+
+    Counts combine before their shuffle, and the join's skewed partitions can be split, so a token of very
+    many classes meets in no single task.
+    """
+    some = _prefixes(docs, ranks, size, percent).distinct()
+    counts = some.groupBy("token").agg(F.count("*").alias("f")).where("f > 1")
+    return materialize(some.join(counts, "token"), "matrix")
+
+
+def _hubs(matrix: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(key, n, hub, m) of the classes in the matrix: each class's hub, and the hub's size.
+
+    A token's hub is its class with the most common prefix; a class's hub is that of most of its
+    tokens, one whose size allows a link if there is any.  A class may be its own hub.
+    """
+    weights = matrix.groupBy("key").agg(F.sum(F.log("f")).alias("weight")).join(classes.select("key", "n"), "key")
+    met = materialize(weights.select("key", "n", (F.col("weight") / (F.col("n") - F.ceil(F.col("n") * percent / 100 - 1e-9) + 1)).alias("weight")), "met")
+    best = F.max_by(F.struct(F.col("key").alias("hub"), F.col("n").alias("m"), "weight"), F.struct("weight", "key"))
+    hubs = matrix.join(met, "key").groupBy("token").agg(best.alias("h")).select("token", "h.*")
+    votes = matrix.join(hubs, "token").groupBy("key", "hub").agg(F.count("*").alias("votes"), F.first("m").alias("m"), F.first("weight").alias("weight"))
+    votes = votes.join(met.select("key", "n"), "key").withColumn("near", F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)
+    chosen = votes.groupBy("key", "n").agg(F.max_by(F.struct("hub", "m"), F.struct("near", "votes", "weight", "hub")).alias("h"))
+    return materialize(chosen.select("key", "n", "h.*"), "hubs")
+
+
+def _groups(hubs: DataFrame, inside: DataFrame) -> DataFrame:
+    """(key, n, comp, base, joined, members): a base is one component that hubs made, or the other classes of a hub."""
+    ends = inside.select(F.col("a").alias("key")).union(inside.select(F.col("b").alias("key"))).distinct().withColumn("joined", F.lit(True))
+    comps = hubs.join(components(inside).withColumnRenamed("node", "key"), "key", "left").join(ends, "key", "left")
+    comps = comps.select("key", "n", F.coalesce("root", "key").alias("comp"), F.coalesce("joined", F.lit(False)).alias("joined"), "hub")
+    comps = materialize(comps.withColumn("base", F.xxhash64(F.when(F.col("joined"), F.col("comp")).otherwise(F.col("hub")), "joined")).drop("hub"), "comps")
+    sizes = comps.groupBy("base").agg(F.count("*").alias("members"), _parts(GROUP_CLASSES, "n").cast("int").alias("parts"))
+    return materialize(comps.join(sizes, "base"), "grouped")
+
+
+def _overlaps(matrix: DataFrame, grouped: DataFrame) -> DataFrame:
+    """Rows (token, q, nq, base, low_n, high_n): a query's token that another base holds.
+
+    The matrix has one entry per token and base, not per token and member: the base's token union.  Of two
+    bases the smaller one asks, and nothing asks its own base, so a group of near copies makes no rows by itself.
+    """
+    rows_of = materialize(matrix.select("token", "key").join(grouped.select("key", "n", "base", "members"), "key"), "rows")
+    columns = rows_of.groupBy("token", "base", "members").agg(F.min("n").alias("low_n"), F.max("n").alias("high_n"))
+    asking = rows_of.select("token", F.col("key").alias("q"), F.col("n").alias("nq"), F.col("base").alias("own"), F.col("members").alias("own_members"))
+    return asking.join(columns, "token").where(F.struct("own_members", "own") < F.struct("members", "base")).select("token", "q", "nq", "base", "low_n", "high_n")
+
+
+def _qualifying(overlaps: DataFrame, percent: int) -> DataFrame:
+    """(q, base) whose shared tokens reach the least that any member's size allows."""
+    shared = overlaps.groupBy("q", "nq", "base").agg(F.count("*").alias("c"), F.min("low_n").alias("low_n"), F.max("high_n").alias("high_n"))
+    low_n, high_n = F.greatest(F.col("low_n"), F.ceil(F.col("nq") * percent / 100)), F.least(F.col("high_n"), F.floor(F.col("nq") * 100 / percent))
+    # the bound rises and then falls with the member's size, up to one for rounding
+    least = F.greatest(F.lit(1), F.least(_fewest(F.col("nq"), low_n, percent), _fewest(F.col("nq"), high_n, percent)) - 1)
+    return shared.where(low_n <= high_n).where(F.col("c") >= least).select("q", "base")
+
+
+def _solve(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """From (id, text): rows (id, n, key), and classes (key, id, root, component_id), id the smallest of the class."""
     scanned = materialize(_scan(docs, size), "scan")
-    rows = scanned.where("block is null").select("id", "n", "key", "low")
-    classes = materialize(rows.where("n > 0").groupBy("key", "n", "low").agg(F.min("id").alias("id")), "classes")
-    ranks = _ranks(scanned.where("block is not null"))
-
-    # token-group matrix, one row per token and class, of tokens that several classes have
-    by_token = Window.partitionBy("token")
-    prefixes = _prefixes(docs, ranks, size, percent)
-    some = prefixes.distinct().withColumn("f", F.count("*").over(by_token))
-    matrix = materialize(some.where("f > 1").select("token", "key", "f"), "matrix")
-
-    # hubs: of the classes with one smallest hash, the one with the most common prefix
-    weights = matrix.groupBy("key").agg(F.sum(F.log("f")).alias("weight"))
-    met = materialize(weights.join(classes, "key").select("key", "n", "low", (F.col("weight") / (F.col("n") - F.ceil(F.col("n") * percent / 100 - 1e-9) + 1)).alias("weight")), "met")
-    hubs = met.groupBy("low").agg(F.max_by(F.struct("key", "n"), F.struct(F.col("weight"), F.col("key"))).alias("hub"), F.count("*").alias("members")).where("members > 1")
-    hubs = materialize(hubs.select("low", F.col("hub.key").alias("b"), F.col("hub.n").alias("m")), "hubs")
+    rows = scanned.where("block is null").select("id", "n", "key")
+    classes = materialize(rows.where("n > 0").groupBy("key", "n").agg(F.min("id").alias("id")), "classes")
+    matrix = _matrix(docs, _ranks(scanned.where("block is not null")), size, percent)
+    hubs = _hubs(matrix, classes, percent)
     near = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
-    pairs = materialize(met.join(hubs, "low").where("key <> b").where(near).select(F.col("key").alias("a"), "b"), "pairs")
+    pairs = materialize(hubs.where("key <> hub").where(near).select(F.col("key").alias("a"), F.col("hub").alias("b")), "pairs")
     reps = classes.select("key", "id")
     inside = _verify(pairs, _sets(docs, pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))), reps, size), percent)
 
-    # groups: linked classes of a hub, and the others of a smallest hash, in parts of bounded size
-    comps = met.join(inside.select(F.col("a").alias("key"), F.col("b").alias("comp")), "key", "left").join(inside.select(F.col("b").alias("key"), F.col("b").alias("own")).distinct(), "key", "left")
-    comps = comps.select("key", "n", F.coalesce("comp", "own").alias("hub"), "low").withColumn("comp", F.coalesce("hub", "key")).withColumn("base", F.xxhash64(F.coalesce("hub", "low"), F.col("hub").isNull()))
-    comps = materialize(comps.select("key", "n", "comp", "base", F.col("hub").isNotNull().alias("joined")), "comps")
-    parts = materialize(comps.groupBy("base").agg(_parts(GROUP_CLASSES, "n").alias("parts"), F.count("*").alias("members")), "parts")
-    members = comps.join(parts, "base").withColumn("grp", F.xxhash64("base", F.pmod(F.xxhash64("key"), F.col("parts")))).select("key", "n", "comp", "grp", "joined", "members")
-    members = materialize(members, "members")
-
-    # a query's shared tokens with each later group, against the least that any member's size allows
-    rows_of = materialize(matrix.select("token", "key").join(members.select("key", "n", "grp"), "key"), "rows")
-    columns = rows_of.groupBy("token", "grp").agg(F.min("n").alias("low_n"), F.max("n").alias("high_n"))
-    queries = rows_of.select("token", F.col("key").alias("q"), F.col("n").alias("nq"), F.col("grp").alias("own"))
-    shared = queries.join(columns, "token").where("own < grp").groupBy("q", "nq", "grp").agg(F.count("*").alias("c"), F.min("low_n").alias("low_n"), F.max("high_n").alias("high_n"))
-    low_n, high_n = F.greatest(F.col("low_n"), F.ceil(F.col("nq") * percent / 100)), F.least(F.col("high_n"), F.floor(F.col("nq") * 100 / percent))
-    # the bound rises and then falls with the member's size, up to one for rounding
-    least = F.greatest(F.lit(1), F.least(_fewest(F.col("nq"), low_n, percent), _fewest(F.col("nq"), high_n, percent)) - 1)
-    across = shared.where(low_n <= high_n).where(F.col("c") >= least).select("q", "grp")
-    within = members.where("not joined and members > 1").select(F.col("key").alias("q"), "grp")
-    joined_to = members.where("joined").select("grp", F.col("comp").alias("grp_comp")).distinct()
-    opened = across.unionByName(within).join(members.select(F.col("key").alias("q"), "n", "comp"), "q").join(joined_to, "grp", "left").where("grp_comp is null or grp_comp <> comp").select("grp", "q", "n", "comp")
-    opened = materialize(opened, "opened")
+    grouped = _groups(hubs, inside)
+    across = _qualifying(_overlaps(matrix, grouped), percent)
+    within = grouped.where("not joined and members > 1").select(F.col("key").alias("q"), "base")
+    # groups are parts of bases, of bounded size
+    parts = grouped.select("base", "parts").distinct().select("base", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    grp = F.xxhash64("base", "part").alias("grp")
+    opened = across.unionByName(within).join(parts, "base").select("q", grp).join(grouped.select(F.col("key").alias("q"), "n", "comp"), "q")
+    opened = materialize(opened.select("grp", "q", "n", "comp"), "opened")
+    members = grouped.select("key", "comp", "base", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part")).select("key", "comp", grp)
     targets = materialize(members.join(opened.select("grp").distinct(), "grp").select("grp", "key", "comp"), "targets")
     sets = _sets(docs, opened.select(F.col("q").alias("key")).union(targets.select("key")), reps, size)
     final = components(inside.unionByName(_open(opened, targets, sets, percent)))
 
     named = materialize(classes.join(final.withColumnRenamed("node", "key"), "key", "left").select("key", "id", F.coalesce("root", "key").alias("root")), "named")
     smallest = materialize(named.groupBy("root").agg(F.min("id").alias("component_id")), "smallest")
-    of_class = materialize(named.join(smallest, "root").select("key", "component_id"), "components")
-    full = rows.where("n > 0").join(of_class, "key").select("id", "n", "component_id")
+    return rows, materialize(named.join(smallest, "root"), "components")
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row per document: id, n_shingles, component_id.  Other columns of docs are not read."""
+    rows, of_class = _solve(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), size, percent)
+    full = rows.where("n > 0").join(of_class.select("key", "component_id"), "key").select("id", "n", "component_id")
     empty = rows.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
     return full.unionByName(empty).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
+def _keyed(docs: DataFrame, text_col: str, key_col: str, size: int) -> DataFrame:
+    """docs with the class key of every text as one more, last column; null for an empty set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache: dict[bytes, int] = {}
+        for part, texts in text_batches(batches, text_col):
+            sets = [shingle_set(t, size, cache) for t in texts]
+            yield part.append_column(key_col, pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()))
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(key_col, T.LongType())]))
+
+
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows, all columns, whose id is their component's smallest; of rows with equal ids one stays, rows without an id all stay."""
-    found = materialize(jaccard_components(docs, id_col, text_col, size, percent).select(id_col, "component_id"), "found")
-    copies = materialize(found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), "copies")
-    repeated = materialize(found.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col), "repeated")
+    """One row, all columns, of each component: that of its smallest id.  Rows with an empty set all stay.
+
+    Of several rows with that id in one component, and of a component without any id, one row stays: of the
+    smallest class key, then the smallest text.  Rows with equal ids and different texts are told apart.
+    """
+    rows, of_class = _solve(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), size, percent)
+    copies = materialize(rows.join(of_class.select("key", "component_id"), "key").where("id <> component_id").select(F.col("id").alias(id_col)).distinct(), "copies")
+    repeated = materialize(rows.where("id is not null").groupBy(F.col("id").alias(id_col)).count().where("count > 1").select(id_col), "repeated")
     checked = lambda ids: F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-    kept = docs.join(checked(copies), id_col, "left_anti")
+    kept = docs.where(F.col(id_col).isNotNull()).join(checked(copies), id_col, "left_anti")
+    odd = [docs.where(F.col(id_col).isNull())] if rows.where("id is null").limit(1).count() else []
     if not repeated.isEmpty():
-        side = checked(repeated)
-        kept = kept.join(side, id_col, "left_anti").unionByName(kept.join(side, id_col, "left_semi").dropDuplicates([id_col]))
-    return kept.select(*docs.columns)
+        kept = kept.join(checked(repeated), id_col, "left_anti")
+        odd.append(docs.join(checked(repeated), id_col, "left_semi").select(*docs.columns))
+    kept = kept.select(*docs.columns)
+    if not odd:
+        return kept
+    key, row = f"_key_{uuid.uuid4().hex}", f"_row_{uuid.uuid4().hex}"
+    keyed = materialize(_keyed(reduce(DataFrame.unionByName, odd), text_col, key, size), "keyed")
+    chosen = of_class.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min("key").alias(key), F.first("component_id").alias(row))
+    own = keyed.join(chosen.select(key, row), key).where(F.col(id_col).eqNullSafe(F.col(row))).drop(row)
+    one = own.groupBy(key).agg(F.min_by(F.struct(*docs.columns), F.col(text_col)).alias(row)).select(f"{row}.*")
+    return kept.unionByName(one).unionByName(keyed.where(F.col(key).isNull()).select(*docs.columns))
