@@ -17,7 +17,7 @@ everything below works on classes, so copies cost one comparison at most.
 4. The matrix, token by column, bounds a query's overlap with each column: two sets that
    link must share a certain number of prefix tokens, which follows from their sizes.
    Columns below the bound stay closed; of two columns the smaller one's classes ask,
-   and no class asks its own component.
+   no class asks its own component, and classes that no hub joined ask their own column too.
 5. A qualifying column is opened in groups of about ``GROUP_CLASSES``: one task counts the overlaps of a block of queries with
    all members of a group through an inverted list, and returns a link only where it joins
    two components that it has not seen joined.
@@ -188,26 +188,31 @@ def _ranks(sketch: DataFrame) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, ranks: np.ndarray, size: int, percent: int) -> DataFrame:
-    """(token, key) for the prefix of every document; a task writes each set once."""
+    """(token, key, n, weight) for the prefix of every document; a task writes each set once.  weight: how common its tokens are."""
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         cache: dict[bytes, int] = {}
         for _, texts in text_batches(batches, "text"):
-            tokens, keys = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            tokens, keys, sizes, weights, takes = [np.zeros(0, np.uint64)], [], [], [], []
             for text in texts:
                 s = shingle_set(text, size, cache)
                 if not len(s) or (key := set_key(s)) in seen:
                     continue
                 seen.add(key)
                 take = len(s) - needed(len(s), percent) + 1
-                order = np.argsort(shared.value[(s % np.uint64(SKETCH)).astype(np.int64)], kind="stable")[:take]  # ties stay in hash order
+                rank = shared.value[(s % np.uint64(SKETCH)).astype(np.int64)]
+                order = np.argsort(rank, kind="stable")[:take]  # ties stay in hash order
                 tokens.append(s[order])
-                keys.append(np.full(take, key, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(keys))], ["token", "key"])
+                keys.append(key)
+                sizes.append(len(s))
+                weights.append(1000 * int(rank[order].sum(dtype=np.int64)) // take)
+                takes.append(take)
+            columns = [np.repeat(np.array(x, np.int64), np.array(takes, np.int64)) for x in (keys, sizes, weights)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.concatenate(tokens).view(np.int64), *columns)], ["token", "key", "n", "weight"])
 
-    return docs.select("text").mapInArrow(run, "token long, key long")
+    return docs.select("text").mapInArrow(run, "token long, key long, n long, weight long")
 
 
 def _sets(docs: DataFrame, keys: DataFrame, reps: DataFrame, size: int) -> DataFrame:
@@ -316,30 +321,28 @@ def _fewest(n: Column, m: Column, percent: int) -> Column:
 
 
 def _matrix(docs: DataFrame, ranks: np.ndarray, size: int, percent: int) -> DataFrame:
-    """(token, key, f) of prefix tokens that f > 1 classes have.
+    """(token, key, n, weight) of prefix tokens that several classes have.
 
     Counts combine before their shuffle, and the join's skewed partitions can be split, so a token of very
     many classes meets in no single task.
     """
-    some = _prefixes(docs, ranks, size, percent).distinct()
-    counts = some.groupBy("token").agg(F.count("*").alias("f")).where("f > 1")
-    return materialize(some.join(counts, "token"), "matrix")
+    some = materialize(_prefixes(docs, ranks, size, percent).distinct(), "prefixes")
+    several = some.groupBy("token").agg(F.count("*").alias("f")).where("f > 1").select("token")
+    return materialize(some.join(several, "token"), "matrix")
 
 
-def _hubs(matrix: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(key, n, hub, m) of the classes in the matrix: each class's hub, and the hub's size.
+def _hubs(matrix: DataFrame, percent: int) -> DataFrame:
+    """(key, n, hub, m, votes) of the classes in the matrix: each class's hub, the hub's size and for how many tokens it is that.
 
     A token's hub is its class with the most common prefix; a class's hub is that of most of its
     tokens, one whose size allows a link if there is any.  A class may be its own hub.
     """
-    weights = matrix.groupBy("key").agg(F.sum(F.log("f")).alias("weight")).join(classes.select("key", "n"), "key")
-    met = materialize(weights.select("key", "n", (F.col("weight") / (F.col("n") - F.ceil(F.col("n") * percent / 100 - 1e-9) + 1)).alias("weight")), "met")
-    best = F.max_by(F.struct(F.col("key").alias("hub"), F.col("n").alias("m"), "weight"), F.struct("weight", "key"))
-    hubs = matrix.join(met, "key").groupBy("token").agg(best.alias("h")).select("token", "h.*")
-    votes = matrix.join(hubs, "token").groupBy("key", "hub").agg(F.count("*").alias("votes"), F.first("m").alias("m"), F.first("weight").alias("weight"))
-    votes = votes.join(met.select("key", "n"), "key").withColumn("near", F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)
-    chosen = votes.groupBy("key", "n").agg(F.max_by(F.struct("hub", "m"), F.struct("near", "votes", "weight", "hub")).alias("h"))
-    return materialize(chosen.select("key", "n", "h.*"), "hubs")
+    best = F.max(F.struct("weight", "key", "n")).alias("h")
+    hubs = matrix.groupBy("token").agg(best).select("token", F.col("h.key").alias("hub"), F.col("h.n").alias("m"), F.col("h.weight").alias("hub_weight"))
+    votes = matrix.join(hubs, "token").select("key", "n", "hub", "m", "hub_weight").repartition("key").groupBy("key", "n", "hub", "m", "hub_weight").agg(F.count("*").alias("votes"))
+    near = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
+    chosen = votes.groupBy("key", "n").agg(F.max(F.struct(near.alias("near"), "votes", "hub_weight", "hub", "m")).alias("h"))
+    return materialize(chosen.select("key", "n", "h.hub", "h.m", "h.votes"), "hubs")
 
 
 def _groups(hubs: DataFrame, inside: DataFrame) -> DataFrame:
@@ -353,15 +356,18 @@ def _groups(hubs: DataFrame, inside: DataFrame) -> DataFrame:
 
 
 def _overlaps(matrix: DataFrame, grouped: DataFrame) -> DataFrame:
-    """Rows (token, q, nq, base, low_n, high_n): a query's token that another base holds.
+    """Rows (token, q, nq, base, low_n, high_n): a query's token that classes of another base hold, or others of its own.
 
     The matrix has one entry per token and base, not per token and member: the base's token union.  Of two
-    bases the smaller one asks, and nothing asks its own base, so a group of near copies makes no rows by itself.
+    bases the smaller one asks, and a component does not ask itself, so a group of near copies makes one row
+    per member and token at most.
     """
-    rows_of = materialize(matrix.select("token", "key").join(grouped.select("key", "n", "base", "members"), "key"), "rows")
-    columns = rows_of.groupBy("token", "base", "members").agg(F.min("n").alias("low_n"), F.max("n").alias("high_n"))
-    asking = rows_of.select("token", F.col("key").alias("q"), F.col("n").alias("nq"), F.col("base").alias("own"), F.col("members").alias("own_members"))
-    return asking.join(columns, "token").where(F.struct("own_members", "own") < F.struct("members", "base")).select("token", "q", "nq", "base", "low_n", "high_n")
+    rows_of = materialize(matrix.select("token", "key").join(grouped.select("key", "n", "base", "joined", "members"), "key"), "rows")
+    columns = rows_of.groupBy("token", "base", "members").agg(F.min("n").alias("low_n"), F.max("n").alias("high_n"), F.count("*").alias("holders"))
+    asking = rows_of.select("token", F.col("key").alias("q"), F.col("n").alias("nq"), F.col("base").alias("own"), "joined", F.col("members").alias("own_members"))
+    other = F.struct("own_members", "own") < F.struct("members", "base")
+    inner = (F.col("own") == F.col("base")) & ~F.col("joined") & (F.col("holders") > 1)
+    return asking.join(columns, "token").where(other | inner).select("token", "q", "nq", "base", "low_n", "high_n")
 
 
 def _qualifying(overlaps: DataFrame, percent: int) -> DataFrame:
@@ -379,19 +385,19 @@ def _solve(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFra
     rows = scanned.where("block is null").select("id", "n", "key")
     classes = materialize(rows.where("n > 0").groupBy("key", "n").agg(F.min("id").alias("id")), "classes")
     matrix = _matrix(docs, _ranks(scanned.where("block is not null")), size, percent)
-    hubs = _hubs(matrix, classes, percent)
-    near = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
-    pairs = materialize(hubs.where("key <> hub").where(near).select(F.col("key").alias("a"), F.col("hub").alias("b")), "pairs")
+    hubs = _hubs(matrix, percent)
+    # a hub with too few votes may still share enough tokens: the matrix finds such links
+    likely = (F.least("n", "m") * 100 >= F.greatest("n", "m") * percent) & (F.col("votes") >= _fewest(F.col("n"), F.col("m"), percent))
+    pairs = materialize(hubs.where("key <> hub").where(likely).select(F.col("key").alias("a"), F.col("hub").alias("b")), "pairs")
     reps = classes.select("key", "id")
     inside = _verify(pairs, _sets(docs, pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))), reps, size), percent)
 
     grouped = _groups(hubs, inside)
-    across = _qualifying(_overlaps(matrix, grouped), percent)
-    within = grouped.where("not joined and members > 1").select(F.col("key").alias("q"), "base")
+    asked = _qualifying(_overlaps(matrix, grouped), percent)
     # groups are parts of bases, of bounded size
     parts = grouped.select("base", "parts").distinct().select("base", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     grp = F.xxhash64("base", "part").alias("grp")
-    opened = across.unionByName(within).join(parts, "base").select("q", grp).join(grouped.select(F.col("key").alias("q"), "n", "comp"), "q")
+    opened = asked.join(parts, "base").select("q", grp).join(grouped.select(F.col("key").alias("q"), "n", "comp"), "q")
     opened = materialize(opened.select("grp", "q", "n", "comp"), "opened")
     members = grouped.select("key", "comp", "base", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part")).select("key", "comp", grp)
     targets = materialize(members.join(opened.select("grp").distinct(), "grp").select("grp", "key", "comp"), "targets")
