@@ -13,7 +13,7 @@ everything below works on classes, so copies cost one comparison at most.
 3. Each class has a hub: the class with the most common prefix among those that share
    most of its prefix tokens (edits make shingles rare, so a hub is near the original).
    Classes that link with their hubs make components.  A component is one column of the
-   matrix, and so are the classes of a hub that don't link with it.
+   matrix; the classes of a hub that don't link with it fill at most ``COLUMNS`` others.
 4. The matrix, token by column, bounds a query's overlap with each column: two sets that
    link must share a certain number of prefix tokens, which follows from their sizes.
    Columns below the bound stay closed; of two columns the smaller one's classes ask,
@@ -57,6 +57,8 @@ SKETCH, SKETCH_ROW = 1 << 20, 1 << 12
 CACHE_WORDS = 200_000
 #: Classes of a group, queries that are compared with it at once, and shingles that either may hold (one set may hold more).
 GROUP_CLASSES, BLOCK_QUERIES, MOST_SHINGLES = 256, 64, 1_000_000
+#: Columns of the matrix that classes of one hub may fill which don't link with it.
+COLUMNS = 16
 #: Postings that a comparison expands at once.
 POSTINGS = 500_000
 #: A table of so many short rows may be broadcast; larger ones are joined by shuffling.
@@ -332,25 +334,31 @@ def _matrix(docs: DataFrame, ranks: np.ndarray, size: int, percent: int) -> Data
 
 
 def _hubs(matrix: DataFrame, percent: int) -> DataFrame:
-    """(key, n, hub, m, votes) of the classes in the matrix: each class's hub, the hub's size and for how many tokens it is that.
+    """(key, n, hub, m, votes, low) of the classes in the matrix: each class's hub, the hub's size, for how many tokens it is that, and the smallest token.
 
     A token's hub is its class with the most common prefix; a class's hub is that of most of its
     tokens, one whose size allows a link if there is any.  A class may be its own hub.
     """
     best = F.max(F.struct("weight", "key", "n")).alias("h")
     hubs = matrix.groupBy("token").agg(best).select("token", F.col("h.key").alias("hub"), F.col("h.n").alias("m"), F.col("h.weight").alias("hub_weight"))
-    votes = matrix.join(hubs, "token").select("key", "n", "hub", "m", "hub_weight").repartition("key").groupBy("key", "n", "hub", "m", "hub_weight").agg(F.count("*").alias("votes"))
+    votes = matrix.join(hubs, "token").select("token", "key", "n", "hub", "m", "hub_weight").repartition("key").groupBy("key", "n", "hub", "m", "hub_weight").agg(F.count("*").alias("votes"), F.min("token").alias("low"))
     near = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
-    chosen = votes.groupBy("key", "n").agg(F.max(F.struct(near.alias("near"), "votes", "hub_weight", "hub", "m")).alias("h"))
-    return materialize(chosen.select("key", "n", "h.hub", "h.m", "h.votes"), "hubs")
+    chosen = votes.groupBy("key", "n").agg(F.max(F.struct(near.alias("near"), "votes", "hub_weight", "hub", "m")).alias("h"), F.min("low").alias("low"))
+    return materialize(chosen.select("key", "n", "h.hub", "h.m", "h.votes", "low"), "hubs")
 
 
 def _groups(hubs: DataFrame, inside: DataFrame) -> DataFrame:
-    """(key, n, comp, base, joined, members): a base is one component that hubs made, or the other classes of a hub."""
+    """(key, n, comp, base, joined, members, parts): a base is a component that hubs made, or some of a hub's other classes.
+
+    Those are dealt to at most COLUMNS bases by their smallest token, which similar classes share: alone where
+    they are few, so that bounds are tight, and together where they are many, so that a token has few columns.
+    """
     ends = inside.select(F.col("a").alias("key")).union(inside.select(F.col("b").alias("key"))).distinct().withColumn("joined", F.lit(True))
     comps = hubs.join(components(inside).withColumnRenamed("node", "key"), "key", "left").join(ends, "key", "left")
-    comps = comps.select("key", "n", F.coalesce("root", "key").alias("comp"), F.coalesce("joined", F.lit(False)).alias("joined"), "hub")
-    comps = materialize(comps.withColumn("base", F.xxhash64(F.when(F.col("joined"), F.col("comp")).otherwise(F.col("hub")), "joined")).drop("hub"), "comps")
+    comps = materialize(comps.select("key", "n", F.coalesce("root", "key").alias("comp"), F.coalesce("joined", F.lit(False)).alias("joined"), "hub", "low"), "comps")
+    alone = comps.where("not joined").groupBy("hub").agg(F.least(F.count("*"), F.lit(COLUMNS)).alias("columns"))
+    comps = comps.join(alone, "hub", "left").withColumn("base", F.when(F.col("joined"), F.xxhash64("comp")).otherwise(F.xxhash64("hub", F.pmod(F.xxhash64("low"), "columns"))))
+    comps = materialize(comps.select("key", "n", "comp", "joined", "base"), "based")
     sizes = comps.groupBy("base").agg(F.count("*").alias("members"), _parts(GROUP_CLASSES, "n").cast("int").alias("parts"))
     return materialize(comps.join(sizes, "base"), "grouped")
 
