@@ -32,10 +32,12 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a temporary one only where it is unset."""
+    """The folder of spark.checkpoint.dir; where it is unset, a temporary one in local mode and an error on a cluster."""
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not found:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="millrace-")
         sc.setCheckpointDir(found)
     return found.rstrip("/")
@@ -67,6 +69,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clean_shuffles(spark: SparkSession) -> None:
+    """Have shuffle files of finished steps deleted: Spark's cleaner acts when the driver's JVM collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def fold(doc_id: str, parts: int) -> Column:
     """crc32 of the id as text, modulo parts: the folds of the held-out contracts."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts

@@ -34,6 +34,7 @@ any id has a null component id.  An empty table gives an empty table.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
 from functools import reduce
@@ -46,13 +47,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, text_batches
+from .common import clean_shuffles, materialize, text_batches
 from .graphs import components
 
 WORDS = 5
 PERCENT = 80
 #: Counters of the shingle sketch, and how many make one row of it.
-SKETCH, SKETCH_ROW = 1 << 20, 1 << 12
+SKETCH, SKETCH_ROW = 1 << 22, 1 << 12
 #: Word hashes that a task keeps.
 CACHE_WORDS = 200_000
 #: Classes of a group, queries that are compared with it at once, and shingles that either may hold (one set may hold more).
@@ -144,7 +145,7 @@ def _scan(docs: DataFrame, size: int) -> DataFrame:
     id_type = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SKETCH, np.uint16)
+        counts = np.zeros(SKETCH, np.uint8)  # a task's counters stay at 255
         seen: set[int] = set()
         cache: dict[bytes, int] = {}
         names = ["id", "n", "key", "block", "counts"]
@@ -161,7 +162,7 @@ def _scan(docs: DataFrame, size: int) -> DataFrame:
                 if len(s) and key not in seen:
                     seen.add(key)
                     at = (s % np.uint64(SKETCH)).astype(np.int64)
-                    counts[at] += counts[at] < 65535
+                    counts[at] += counts[at] < 255
             empty = pa.nulls(len(texts), pa.int32())
             yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(keys, pa.int64()), empty, pa.nulls(len(texts), pa.binary())], names)
         if seen:
@@ -177,10 +178,12 @@ def _ranks(sketch: DataFrame) -> np.ndarray:
     def add(pdf):
         total = np.zeros(SKETCH_ROW, np.uint64)
         for c in pdf["counts"]:
-            total += np.frombuffer(c, np.uint64 if len(c) == 8 * SKETCH_ROW else np.uint16)
+            total += np.frombuffer(c, np.uint64 if len(c) == 8 * SKETCH_ROW else np.uint8)
         return pdf.head(1).assign(counts=total.tobytes())
 
-    some = sketch.withColumn("bin", F.pmod(F.monotonically_increasing_id() + F.spark_partition_id(), F.lit(64)).cast("int")).select("block", "bin", "counts")
+    tasks = sketch.where("block = 0").count()
+    bins = F.lit(max(1, math.isqrt(tasks)))
+    some = sketch.withColumn("bin", F.pmod(F.xxhash64(F.monotonically_increasing_id()), bins).cast("int")).select("block", "bin", "counts")
     schema = "block int, bin int, counts binary"
     total = some.groupBy("block", "bin").applyInPandas(add, schema).groupBy("block").applyInPandas(add, schema)
     ranks = np.zeros(SKETCH, np.uint8)
@@ -394,6 +397,7 @@ def _solve(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFra
     classes = materialize(rows.where("n > 0").groupBy("key", "n").agg(F.min("id").alias("id")), "classes")
     matrix = _matrix(docs, _ranks(scanned.where("block is not null")), size, percent)
     hubs = _hubs(matrix, percent)
+    clean_shuffles(docs.sparkSession)
     # a hub with too few votes may still share enough tokens: the matrix finds such links
     likely = (F.least("n", "m") * 100 >= F.greatest("n", "m") * percent) & (F.col("votes") >= _fewest(F.col("n"), F.col("m"), percent))
     pairs = materialize(hubs.where("key <> hub").where(likely).select(F.col("key").alias("a"), F.col("hub").alias("b")), "pairs")
@@ -409,6 +413,7 @@ def _solve(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFra
     opened = materialize(opened.select("grp", "q", "n", "comp"), "opened")
     members = grouped.select("key", "comp", "base", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part")).select("key", "comp", grp)
     targets = materialize(members.join(opened.select("grp").distinct(), "grp").select("grp", "key", "comp"), "targets")
+    clean_shuffles(docs.sparkSession)
     sets = _sets(docs, opened.select(F.col("q").alias("key")).union(targets.select("key")), reps, size)
     final = components(inside.unionByName(_open(opened, targets, sets, percent)))
 
