@@ -22,17 +22,16 @@ def op10_url_filter() -> str:
     hits = lambda terms: " + ".join(f"cast(regexp_matches(seen, {_bounded(t)}) as bigint)" for t in terms)
     return f"""
 with cut as (
-  select page_id,
+  select page_id, url,
          case when url is null or strpos(url, '://') = 0 then '' else substr(url, strpos(url, '://') + 3) end as rest
   from pages
 ), parts as (
-  select page_id,
+  select page_id, translate(case when strpos(url, '://') = 0 then url else rest end, '{_UPPER}', '{_LOWER}') as seen,
          translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') as host,
          regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') as path
   from cut
 ), judged as (
-  select page_id, host, path, {rule} as rule,
-         translate(host || path, '{_UPPER}', '{_LOWER}') as seen
+  select page_id, host, path, {rule} as rule, coalesce(seen, '') as seen
   from parts
 ), counted as (
   select *, {hits(STRICT)} as strict_hits, {hits(SOFT)} as soft_hits from judged

@@ -1,12 +1,12 @@
 """URL filters: explicit host/path rules, then a weighted vocabulary.
 
-An Aho-Corasick automaton over strict and soft terms reads each URL's host and
-path once.  A term counts where the characters on both sides are neither ASCII
+An Aho-Corasick automaton over strict and soft terms reads each URL after its
+``://`` once, query string and fragment included.  A term counts where the characters on both sides are neither ASCII
 letters nor digits.  One strict term, or ``soft_limit`` distinct soft terms,
 blocks a URL that no rule covers.
 
-Null URL, or one without ``://``: host and path are empty, no rule fits, the
-vocabulary sees an empty string and allows it.  Repeated rows are judged row by
+Null URL, or one without ``://``: host and path are empty and no rule fits; the
+vocabulary reads the whole of such a URL, and allows a null one.  Repeated rows are judged row by
 row; an empty table gives an empty table; columns other than the two named are
 not read.
 """
@@ -48,6 +48,11 @@ def split_url(url: str | None) -> tuple[str, str]:
     return host, tail[: min(ends, default=len(tail))]
 
 
+def searched_part(url: str | None) -> str:
+    """What the vocabulary reads: all after the first ``://``, or the whole URL without one; A-Z lower-cased."""
+    return (url or "").partition("://")[2 if "://" in (url or "") else 0].translate(_LOWER)
+
+
 def rule_index(rules: Sequence[tuple[str, str]]) -> dict[str, list[tuple[str, str, str]]]:
     """Rules by host, each host's longest path first: (path, rule, verdict)."""
     by_host: dict[str, list[tuple[str, str, str]]] = {}
@@ -115,7 +120,7 @@ def filter_urls(
             hosts, paths, fits, verdicts, n_strict, n_soft = [], [], [], [], [], []
             for url in column(batch, url_col):
                 host, path = split_url(url)
-                hard, weak = vocabulary_hits(automaton, (host + path).translate(_LOWER))
+                hard, weak = vocabulary_hits(automaton, searched_part(url))
                 rule = match_rule(by_host, host, path)
                 hosts.append(host)
                 paths.append(path)

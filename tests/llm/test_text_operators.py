@@ -292,8 +292,10 @@ def test_urls(spark):
         ("https://x.org/free", "x.org", "/free", None, "allow"),
         ("https://x.org/free-free", "x.org", "/free-free", None, "allow"),
         ("https://x.org/free-bonus", "x.org", "/free-bonus", None, "block"),
-        ("https://x.org?casino", "x.org", "", None, "allow"),
-        ("casino", "", "", None, "allow"),
+        ("https://x.org?casino", "x.org", "", None, "block"),
+        ("casino", "", "", None, "block"),
+        ("a/free#x://", "", "", None, "allow"),
+        ("https://x.org/?a=free#Bonus", "x.org", "/", None, "block"),
         (None, "", "", None, "allow"),
         ("://", "", "", None, "allow"),
         ("", "", "", None, "allow"),
