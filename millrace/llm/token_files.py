@@ -11,8 +11,8 @@ of its rules looks across it, so the ids of a text are those of its words, and a
 distinct word is encoded once per worker.
 
 Null text counts as empty; each document ends with ``end_id``.  Rows with equal
-ids are ordered by text, so repeated rows keep one defined order; null ids come
-first.  An empty table writes an empty file set.
+ids are ordered by text, so repeated rows keep one defined order, which ``row`` (a
+row's place in its file) keeps too; null ids come first.  An empty table writes an empty file set.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ from .common import text_batches, work_path
 
 #: Encoded words that a worker keeps.
 CACHE_WORDS = 700_000
+#: Most bytes of input files for each token file.
+FILE_BYTES = 256 << 20
 
 #: ASCII signs that are neither letters, digits nor white space.
 _SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -123,14 +125,25 @@ def encode_texts(tokenizer, cache: dict[bytes, bytes], texts: list[str | None])
     return [b"".join(map(get, ws)) for ws in words]
 
 
+def input_bytes(docs: DataFrame) -> int:
+    """Bytes of the files that docs reads; 0 where it reads none."""
+    jvm, conf = docs.sparkSession.sparkContext._jvm, docs.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    paths = [jvm.org.apache.hadoop.fs.Path(f) for f in docs.inputFiles()]
+    return sum(p.getFileSystem(conf).getFileStatus(p).getLen() for p in paths)
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", files: int | None = None) -> None:
-    """Write (id, part, n_tokens, ids) as ORC in ascending id order."""
+    """Write (id, part, row, n_tokens, ids) as ORC in ascending id order.
+
+    files: by default as many as the session's shuffle partitions, and more where the input files hold over FILE_BYTES for each.
+    """
     id_type = docs.schema[id_col].dataType.simpleString()
     end = end_id.to_bytes(4, "little")
     spark = docs.sparkSession
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, cache = _encoder(tokenizer)
+        row = 0
         for part, texts in text_batches(batches, text_col):
             ids = [x + end for x in encode_texts(own, cache, texts)]
             flat = pa.py_buffer(b"".join(ids))
@@ -139,15 +152,16 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, id
                 offsets.append(offsets[-1] + len(x) // 4)
             values = pa.Array.from_buffers(pa.int32(), offsets[-1], [None, flat])
             yield pa.RecordBatch.from_arrays(
-                [part.column(part.schema.get_field_index(id_col)), part.column(part.schema.get_field_index("part")), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)],
-                [id_col, "part", "n_tokens", "ids"],
+                [part.column(part.schema.get_field_index(id_col)), part.column(part.schema.get_field_index("part")), pa.array(range(row, row + len(ids)), pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)],
+                [id_col, "part", "row", "n_tokens", "ids"],
             )
+            row += len(ids)
 
-    files = files or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    files = files or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1, input_bytes(docs) // FILE_BYTES)
     ordered = docs.select(id_col, text_col).repartitionByRange(files, F.col(id_col).asc_nulls_first()).sortWithinPartitions(F.col(id_col).asc_nulls_first(), F.col(text_col).asc_nulls_first())
     (
         ordered.withColumn("part", F.spark_partition_id())
-        .mapInArrow(encode, f"{id_col} {id_type}, part int, n_tokens long, ids array<int>")
+        .mapInArrow(encode, f"{id_col} {id_type}, part int, row long, n_tokens long, ids array<int>")
         .write.option("orc.create.index", "true")
         .option("orc.row.index.stride", "1000")
         .option("orc.stripe.size", str(16 << 20))
@@ -159,7 +173,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, id
 
 def read_tokens(spark: SparkSession, path: str, id_type: str = "bigint", id_col: str = "doc_id") -> DataFrame:
     """The token files; filters on the id reach the ORC reader."""
-    return spark.read.schema(f"{id_col} {id_type}, part int, n_tokens long, ids array<int>").orc(path)
+    return spark.read.schema(f"{id_col} {id_type}, part int, row long, n_tokens long, ids array<int>").orc(path)
 
 
 def token_stats(tokens: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -177,12 +191,12 @@ def token_stats(tokens: DataFrame, id_col: str = "doc_id") -> DataFrame:
             first = offsets[0]
             crc = [zlib.crc32(flat[4 * (a - first) : 4 * (b - first)]) for a, b in zip(offsets, offsets[1:])]
             n = [b - a for a, b in zip(offsets, offsets[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(id_col)), batch.column(batch.schema.get_field_index("part")), pa.array(n, pa.int64()), pa.array(crc, pa.int64())], [id_col, "part", "n_tokens", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(id_col)), batch.column(batch.schema.get_field_index("part")), batch.column(batch.schema.get_field_index("row")), pa.array(n, pa.int64()), pa.array(crc, pa.int64())], [id_col, "part", "row", "n_tokens", "ids_crc32"])
 
-    rows = tokens.select(id_col, "part", "ids").mapInArrow(digest, f"{id_col} {id_type}, part int, n_tokens long, ids_crc32 long")
+    rows = tokens.select(id_col, "part", "row", "ids").mapInArrow(digest, f"{id_col} {id_type}, part int, row long, n_tokens long, ids_crc32 long")
     per_file = tokens.groupBy("part").agg(F.sum("n_tokens").alias("file_tokens"))
     before = per_file.select("part", (F.sum("file_tokens").over(Window.orderBy("part")) - F.col("file_tokens")).alias("file_start"))
-    inside = Window.partitionBy("part").orderBy(F.col(id_col).asc_nulls_first(), "n_tokens", "ids_crc32").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy("part").orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return rows.join(before, "part").select(id_col, (F.col("file_start") + F.sum("n_tokens").over(inside) - F.col("n_tokens")).alias("start"), "n_tokens", "ids_crc32")
 
 
