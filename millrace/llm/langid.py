@@ -129,8 +129,8 @@ def learn_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
 
 
 def identify(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
-    """The given columns with lang_pred, score and margin in place of the text."""
-    kept = [f for f in docs.schema.fields if f.name != text_col]
+    """The given columns with lang_pred, score and margin in place of the text; columns of docs that are named so already are replaced."""
+    kept = [f for f in docs.schema.fields if f.name not in (text_col, "lang_pred", "score", "margin")]
     model = docs.sparkSession.sparkContext.broadcast(profiles)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -145,7 +145,9 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc
                 ["id", "label", "buckets", "counts"],
             )
 
-    rows = materialize(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id").mapInArrow(features, "id long, label int, buckets binary, counts binary"), "quality_rows")
+    # one row for each id, so that repeated rows don't lengthen the sample
+    texts_of = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
+    rows = materialize(texts_of.mapInArrow(features, "id long, label int, buckets binary, counts binary"), "quality_rows")
     # partition by partition, and counts in few bytes, so that the driver holds little more than the sample's arrays
     found = []
     for r in rows.toLocalIterator():
@@ -188,8 +190,8 @@ class _Scorer:
 
 
 def score(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
-    """The given columns with a score in place of the text."""
-    kept = [f for f in docs.schema.fields if f.name != text_col]
+    """The given columns with a score in place of the text; a column of docs that is named so already is replaced."""
+    kept = [f for f in docs.schema.fields if f.name not in (text_col, "score")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

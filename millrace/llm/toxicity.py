@@ -11,8 +11,8 @@ frequencies and K from documents labelled 0.  A document's statistic is the sum
 of its segments' positive surprises, and a logistic curve fitted to the training
 documents turns it into a probability.
 
-Learned from at most ``sample_docs`` labelled rows, at most ``max_tokens`` weighted
-tokens.  Null, empty and blank texts have no segment: their score is that of the
+Learned from at most ``sample_docs`` labelled documents, of which every token with
+significant log-odds gets its weight.  Null, empty and blank texts have no segment: their score is that of the
 statistic 0.  Repeated rows get equal scores.  With fewer than two classes of
 labels every score is the share of label 1 (0 without labels); without a token in any labelled
 document as well.
@@ -32,7 +32,6 @@ from pyspark.sql import functions as F
 from .common import materialize, text_batches
 
 SAMPLE_DOCS = 20_000
-MAX_TOKENS = 20_000
 CACHE_WORDS = 400_000
 #: Signs cut from both ends of a word.
 _SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~¡¿«»“”‘’„…–—"
@@ -157,15 +156,15 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float =
     return float(a[0]), float(a[1])
 
 
-def learn(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS, max_tokens: int = MAX_TOKENS, prior: float = 1000.0, constant: float = 0.5, least_z: float = 3.0, margin: float = 2.0, gap: float = 0.1) -> ToxicityModel:
+def learn(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS, prior: float = 1000.0, constant: float = 0.5, least_z: float = 3.0, margin: float = 2.0, gap: float = 0.1) -> ToxicityModel:
     """Fit on the sample_docs labelled documents whose hashed ids are smallest.
 
     labels holds training rows only; null labels are dropped, repeated ids keep their largest label.
     """
     truth = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id is not null and label is not null").groupBy("id").agg(F.max("label").alias("label"))
     sample = truth.orderBy(F.xxhash64("id"), "id").limit(sample_docs)  # at most sample_docs short rows, so it is broadcast
-    # written once: the texts are scanned for the sample a single time
-    rows = materialize(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id").select("label", "text"), "sample")
+    # one row for each id, so that repeated rows don't lengthen the sample; written once: the texts are scanned for the sample a single time
+    rows = materialize(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id").groupBy("id", "label").agg(F.min("text").alias("text")).select("label", "text"), "sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_batches(batches, "text"):
@@ -186,7 +185,7 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc
         return ToxicityModel({}, gap, offset=float(np.log(totals["toxic"] / (totals["n"] - totals["toxic"]))))
     odds, z = log_odds(F.col("toxic"), F.col("other"), n1, n0, prior, constant)
     scored = counts.select("token", "other", odds.alias("odds"), z.alias("z")).where((F.col("z") >= least_z) & (F.col("odds") > margin))
-    best = scored.orderBy(F.col("z").desc(), "token").limit(max_tokens).collect()
+    best = scored.orderBy(F.col("z").desc(), "token").collect()  # significant tokens of the sample
     weights = {r["token"]: float(r["odds"]) - margin for r in best}
     values = np.array([*weights.values(), -gap])
     own = np.array([float(r["other"]) + constant for r in best])
@@ -195,31 +194,38 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc
     decay = solve_decay(values, shares) if weights and (values * shares).sum() < 0 else 1.0
     model = ToxicityModel(weights, gap, decay)
     # K: the location of the clean documents' best segments; then the curve over the statistic
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    clean = sorted(r["value"] for r in _measured(rows, model, lambda label, n, segments: _best(decay, n, segments) if n and not label else None).collect())
+    log_k = float(np.mean(clean) - 0.5772) if clean else 0.0
+    model = ToxicityModel(weights, gap, decay, log_k)
+    seen = sorted((r["label"] == 1, r["value"]) for r in _measured(rows, model, lambda label, n, segments: model.surprise(segments, n)).collect())
+    slope, offset = fit_logistic(np.array([x for _, x in seen]), np.array([float(label) for label, _ in seen]))
+    return ToxicityModel(weights, gap, decay, log_k, slope, offset)
+
+
+def _best(decay: float, length: int, segments: list) -> float:
+    """The best segment's score in units of the surprise; without a segment it is at most the score 0."""
+    return float(decay * max((s for s, _, _ in segments), default=0.0) - np.log(length))
+
+
+def _measured(rows: DataFrame, model: ToxicityModel, of) -> DataFrame:
+    """(label, value) of the sample: one number of(label, length, segments) for each document, where it is not None."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = Scorer(model)
         for part, texts in text_batches(batches, "text"):
-            found = []
-            for text in texts:
+            labels = part.column(part.schema.get_field_index("label"))
+            values = []
+            for label, text in zip(labels.to_pylist(), texts):
                 scores = scorer.token_scores(text)
-                found.append((len(scores), [s for s, _, _ in shared.value.segments(scores)]))
-            yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index("label")), pa.array([n for n, _ in found], pa.int64()), pa.array([s for _, s in found], pa.list_(pa.float64()))], ["label", "length", "segments"])
-
-    seen = [(r["label"] == 1, r["length"], r["segments"]) for r in rows.mapInArrow(measure, "label int, length long, segments array<double>").collect()]
-    seen.sort()
-    clean = [decay * max(s) - np.log(n) for label, n, s in seen if not label and s]
-    quiet = [-np.log(n) for label, n, s in seen if not label and n and not s]  # no segment: at most the score 0
-    log_k = float(np.mean([*clean, *quiet]) - 0.5772) if clean or quiet else 0.0
-    model = ToxicityModel(weights, gap, decay, log_k)
-    x = np.array([model.surprise([(s, 0, 0) for s in ss], n) for _, n, ss in seen])
-    slope, offset = fit_logistic(x, np.array([float(label) for label, _, _ in seen]))
-    return ToxicityModel(weights, gap, decay, log_k, slope, offset)
+                values.append(of(label == 1, len(scores), model.segments(scores)))
+            yield pa.RecordBatch.from_arrays([labels, pa.array(values, pa.float64())], ["label", "value"])
+
+    return rows.mapInArrow(measure, "label int, value double").where("value is not null")
 
 
 def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
-    """The given columns with score and passages (score, first word, end) in place of the text."""
-    kept = [f for f in docs.schema.fields if f.name != text_col]
+    """The given columns with score and passages (score, first word, end) in place of the text; columns of docs that are named so already are replaced."""
+    kept = [f for f in docs.schema.fields if f.name not in (text_col, "score", "passages")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
     passage = pa.list_(pa.struct([("score", pa.float64()), ("first_word", pa.int64()), ("end_word", pa.int64())]))
 
