@@ -25,6 +25,7 @@ An empty table gives an empty table.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -190,9 +191,9 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ro
 
 
 def pii_digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Counts of base spans per kind, the hash of the base spans, and all spans as text."""
+    """Counts of base spans per kind, the hash of the base spans, all spans as text and their number."""
     counts = [_count(i, F.col("base")).alias(f"n_{k}") for i, k in enumerate(KINDS)]
-    return found.select(id_col, *counts, F.sha2(_joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), _joined(F.col("found")).alias("spans"))
+    return found.select(id_col, *counts, F.sha2(_joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), _joined(F.col("found")).alias("spans"), F.size("found").cast("long").alias("n_spans"))
 
 
 def mask(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
@@ -200,10 +201,11 @@ def mask(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
 
     Spans depend on the text alone, so they are found once per distinct text and joined by its hash.
     """
+    found_col, digest_col, masked_col = (f"_{name}_{uuid.uuid4().hex}" for name in ("found", "digest", "masked"))  # names that docs doesn't have
     digest = F.sha2(F.col(text_col).cast("binary"), 256)
     texts = docs.where(F.col(text_col).isNotNull()).select(digest.alias("id"), F.col(text_col).alias("text"))
-    found = materialize(find_pii(texts, "id", "text", **options).where(F.size("found") > 0).groupBy("id").agg(F.first("found").alias("_found")), "pii_found")
-    side = found.withColumnRenamed("id", "_digest")
+    found = materialize(find_pii(texts, "id", "text", **options).where(F.size("found") > 0).groupBy("id").agg(F.first("found").alias(found_col)), "pii_found")
+    side = found.withColumnRenamed("id", digest_col)
     if found.count() <= BROADCAST_ROWS:
         side = F.broadcast(side)
     text = F.col(text_col)
@@ -215,11 +217,11 @@ def mask(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
         gap = F.when(s["start"] >= acc["at"], F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("<"), F.element_at(names, s["kind"] + 1), F.lit(">"))).otherwise("")
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["text"], gap).alias("text"))
 
-    by_place = F.array_sort(F.transform("_found", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    by_place = F.array_sort(F.transform(found_col, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     tail = lambda done: F.concat(done["text"], F.substring(text, done["at"] + 1, F.length(text)))
     masked = F.aggregate(by_place, start, step, tail)
-    out = docs.withColumn("_digest", digest).join(side, "_digest", "left").withColumn("_masked", F.when(F.col("_found").isNull(), text).otherwise(masked))
-    new = {text_col: F.col("_masked")}
+    out = docs.withColumn(digest_col, digest).join(side, digest_col, "left").withColumn(masked_col, F.when(F.col(found_col).isNull(), text).otherwise(masked))
+    new = {text_col: F.col(masked_col)}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("_found").isNull(), F.col("n_chars")).otherwise(F.length("_masked").cast(docs.schema["n_chars"].dataType))
+        new["n_chars"] = F.when(F.col(found_col).isNull(), F.col("n_chars")).otherwise(F.length(masked_col).cast(docs.schema["n_chars"].dataType))
     return out.select(*(new.get(c, F.col(c)).alias(c) for c in docs.columns))
