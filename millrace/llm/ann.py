@@ -3,7 +3,8 @@
 Largest inner product becomes nearest distance when every vector gets one more
 component, sqrt(M^2 - |x|^2) with M the largest norm, and a query a zero.  A bounded
 sample, cut again and again at the median of its widest direction, gives centroids of
-equally large lists.  Centroids sit in an in-memory neighbour graph that every task
+equally large lists.  Lists grow in number
+with the rows, up to the square root of them, and so does the sample.  Centroids sit in an in-memory neighbour graph that every task
 holds; a search follows it from fixed entry points through all centroids within a
 distance ratio of the nearest one met.  A vector joins the nearest list, and as a
 boundary vector up to ``replicas`` lists within ``boundary`` of that distance; a
@@ -32,11 +33,13 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-#: Vectors of the sample; vectors that a list should hold; most lists.
-SAMPLE, LIST_ROWS, MOST_LISTS = 16_384, 512, 1024
+#: Vectors of the sample, at least and for each list; vectors that a list should hold, while there are fewer lists than the root of all rows.
+SAMPLE, SAMPLE_ROWS, LIST_ROWS = 16_384, 8, 512
 #: Lists of a bin; rows of a bin's chunk; queries of a block.
 BIN_LISTS, CHUNK_ROWS, BLOCK_QUERIES = 2, 2048, 1024
 DEGREE = 16
+#: Distances to centroids that a task holds at once.
+GRAPH_CELLS = 4 << 20
 
 
 def balanced_centroids(x: np.ndarray, lists: int) -> np.ndarray:
@@ -64,16 +67,20 @@ def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 class CentroidGraph:
     centroids: np.ndarray
     norm: float  #: M, the largest norm
-    near: np.ndarray  #: neighbours by centroid, as a 0/1 matrix
+    near: np.ndarray  #: neighbours of each centroid, padded with its own number
     entries: np.ndarray
 
     @staticmethod
     def build(centroids: np.ndarray, norm: float) -> CentroidGraph:
         k = len(centroids)
-        order = np.argsort(distances(centroids, centroids), axis=1, kind="stable")[:, : DEGREE + 1]
-        near = np.zeros((k, k), np.float32)
-        near[np.repeat(np.arange(k), order.shape[1]), order.ravel()] = 1
-        return CentroidGraph(centroids, norm, np.maximum(near, near.T), np.unique(np.linspace(0, k - 1, min(k, 16)).astype(int)))
+        step = max(1, GRAPH_CELLS // k)
+        order = np.concatenate([np.argsort(distances(centroids[i : i + step], centroids), axis=1, kind="stable")[:, : DEGREE + 1] for i in range(0, k, step)])
+        a, b = np.repeat(np.arange(k), order.shape[1]), order.ravel()
+        ends = np.unique(np.stack((np.concatenate((a, b)), np.concatenate((b, a))), 1), axis=0)  # both ways
+        first = np.searchsorted(ends[:, 0], np.arange(k + 1))
+        near = np.repeat(np.arange(k)[:, None], np.diff(first).max(), axis=1)
+        near[ends[:, 0], np.arange(len(ends)) - first[ends[:, 0]]] = ends[:, 1]
+        return CentroidGraph(centroids, norm, near, np.unique(np.linspace(0, k - 1, min(k, 16)).astype(int)))
 
     def lift(self, x: np.ndarray, query: bool) -> np.ndarray:
         last = np.zeros(len(x)) if query else np.sqrt(np.maximum(self.norm**2 - (x**2).sum(1), 0))
@@ -89,7 +96,10 @@ class CentroidGraph:
             if not ahead.any():
                 return np.where(opened, np.where(found <= (1 + ratio) * found.min(1, keepdims=True), found, np.inf), np.inf)
             opened |= ahead
-            rows, cols = np.nonzero((ahead.astype(np.float32) @ self.near > 0) & ~np.isfinite(found))
+            rows, cols = np.nonzero(ahead)
+            met = np.zeros(found.shape, bool)
+            met[rows[:, None], self.near[cols]] = True
+            rows, cols = np.nonzero(met & ~np.isfinite(found))
             found[rows, cols] = np.sqrt(((x[rows] - self.centroids[cols]) ** 2).sum(1))
 
 
@@ -127,16 +137,16 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 20, k: int = 20, replicas: int = 2, boundary: float = 0.05, probe: float = 0.15) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k nearest found for rows whose id is divisible by every."""
     spark = vectors.sparkSession
-    rows = usable(vectors, id_col, vector_col)
-    firsts = rows.withColumn("r", F.dense_rank().over(Window.partitionBy("v").orderBy("id"))).where(F.col("r") <= k + 1)
+    rows = usable(vectors, id_col, vector_col).distinct()
+    firsts = rows.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where(F.col("r") <= k + 1)
     classes = materialize(firsts.groupBy("v").agg(F.array_sort(F.collect_set("id")).alias("ids")).select(F.col("ids")[0].alias("cls"), "ids", "v"), "classes")
-    asked = materialize(rows.where(F.col("id") % every == 0).distinct().join(classes.select("cls", "v"), "v").select(F.col("id").alias("query_id"), "cls"), "asked")
+    asked = materialize(rows.where(F.col("id") % every == 0).join(classes.select("cls", "v"), "v").select(F.col("id").alias("query_id"), "cls"), "asked")
 
     stats = classes.agg(F.count("*").alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda t, c: t + c * c)).alias("square")).first()
     lists = 1
-    while lists * LIST_ROWS < stats["n"] and lists < MOST_LISTS:
+    while lists * LIST_ROWS < stats["n"] and lists * lists < stats["n"]:
         lists *= 2
-    sample = classes.orderBy(F.xxhash64("cls"), "cls").limit(SAMPLE).select("v").collect()
+    sample = classes.orderBy(F.xxhash64("cls"), "cls").limit(max(SAMPLE, SAMPLE_ROWS * lists)).select("v").collect()
     norm = float(np.sqrt(stats["square"] or 0.0)) * (1 + 1e-12)
     seen = np.array([r["v"] for r in sample], np.float64) if sample else np.zeros((0, 1))
     lifted = np.concatenate((seen, np.sqrt(np.maximum(norm**2 - (seen**2).sum(1), 0))[:, None]), 1)
@@ -145,8 +155,9 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for start in range(0, whole.num_rows, 1024):
-                batch = whole.slice(start, 1024)
+            step = max(1, min(1024, GRAPH_CELLS // len(shared.value.centroids)))
+            for start in range(0, whole.num_rows, step):
+                batch = whole.slice(start, step)
                 away = shared.value.search(shared.value.lift(_vectors(batch, "v"), False), max(boundary, probe))
                 order = np.argsort(away, axis=1, kind="stable")[:, :replicas]
                 near = np.take_along_axis(away, order, 1)
@@ -160,8 +171,9 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for start in range(0, whole.num_rows, 1024):
-                batch = whole.slice(start, 1024)
+            step = max(1, min(1024, GRAPH_CELLS // len(shared.value.centroids)))
+            for start in range(0, whole.num_rows, step):
+                batch = whole.slice(start, step)
                 row, col = np.nonzero(np.isfinite(shared.value.search(shared.value.lift(_vectors(batch, "v"), True), probe)))
                 own = batch.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays([own.column(own.schema.get_field_index("cls")), pa.array(col.astype(np.int32))], ["cls", "list"])
