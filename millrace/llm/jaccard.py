@@ -289,8 +289,9 @@ def _open(opened: DataFrame, members: DataFrame, sets: DataFrame, percent: int)
     blocks = materialize(blocks, "blocks")
     asked = opened.join(blocks, "grp").select("grp", F.pmod(F.xxhash64("q", "grp"), F.col("blocks")).cast("int").alias("block"), F.col("q").alias("key"), "comp")
     held = members.join(blocks, "grp").select("grp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "key", "comp")
-    asked = asked.join(sets, "key")
-    held = held.join(sets, "key").select(*(F.col(c).alias(f"{c}_") for c in ("grp", "block", "key", "comp", "shingles")))
+    # short rows are written before sets are added, so that Spark sees their size and need not shuffle sets for small ones
+    asked = materialize(asked, "asked").join(sets, "key")
+    held = materialize(held, "held").join(sets, "key").select(*(F.col(c).alias(f"{c}_") for c in ("grp", "block", "key", "comp", "shingles")))
 
     def compare(queries, group):
         parent: dict[int, int] = {}
