@@ -50,10 +50,10 @@ def base_task(name: Column) -> Column:
 
 
 def rational(text: Column) -> Column:
-    """``a/b`` or a number as double; null for a zero denominator or other text."""
+    """``a/b`` or a number as double, rounded to 6 places; null for a zero denominator or other text."""
     parts = F.split(text, "/")
-    top, bottom = F.try_to_number(parts[0], F.lit("999999999.999999")), F.try_to_number(F.try_element_at(parts, F.lit(2)), F.lit("999999999.999999"))
-    return F.when(F.size(parts) == 2, F.try_divide(top.cast("double"), bottom.cast("double"))).otherwise(top.cast("double"))
+    top, bottom = parts[0].try_cast("double"), F.try_element_at(parts, F.lit(2)).try_cast("double")
+    return F.bround(F.when(F.size(parts) == 2, F.try_divide(top, bottom)).otherwise(top), 6)
 
 
 def snap_frames(frames: Column) -> Column:

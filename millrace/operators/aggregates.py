@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -77,7 +78,11 @@ def precedence(files: DataFrame, name: str, priority: str) -> DataFrame:
 
 def merge_blobs(blobs: DataFrame, hash_col: str, lists: Sequence[str]) -> DataFrame:
     """One row per content with the distinct, sorted union of its list columns."""
-    return blobs.groupBy(hash_col).agg(*(F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in lists))
+    out = blobs.select(hash_col).distinct()
+    for c in lists:  # distinct values are told before lists are made, so copies of a content add nothing
+        values = blobs.select(hash_col, F.explode(c).alias("_v")).distinct()
+        out = out.join(values.groupBy(hash_col).agg(F.array_sort(F.collect_list("_v")).alias(c)), hash_col, "left").withColumn(c, F.coalesce(c, F.array().cast(blobs.schema[c].dataType)))
+    return out
 
 
 def centroid(rows: DataFrame, group: str, source: str, vector: str) -> DataFrame:
@@ -93,14 +98,15 @@ def farthest(rows: DataFrame, id_col: str, vector: str, reference: Sequence[floa
     return rows.select(id_col, dot(F.col(vector), F.array(*map(F.lit, reference))).alias("score")).orderBy("score", id_col).limit(1)
 
 
-def two_means(rows: DataFrame, id_col: str, vector: str, first: Sequence[float], second: Sequence[float], rounds: int = 10) -> DataFrame:
+def two_means(rows: DataFrame, id_col: str, vector: str, first: Sequence[float], second: Sequence[float], rounds: int | None = None) -> DataFrame:
     """(id, cluster): two-means on unit vectors from two given centres.
 
-    Each round is one aggregation; the driver holds the two centres only.
+    Rounds go on until the centres stay as they are, or for so many; each is one aggregation, and the
+    driver holds the two centres only.
     """
     dims = len(first)
     centres = [list(map(float, first)), list(map(float, second))]
-    for _ in range(rounds):
+    for _ in itertools.count() if rounds is None else range(rounds):
         labelled = rows.select(id_col, vector, _nearer(vector, centres).alias("cluster"))
         means = labelled.groupBy("cluster").agg(*(F.avg(F.col(vector)[i]).alias(f"m{i}") for i in range(dims))).collect()
         new = list(centres)
@@ -108,7 +114,7 @@ def two_means(rows: DataFrame, id_col: str, vector: str, first: Sequence[float],
             v = [r[f"m{i}"] for i in range(dims)]
             norm = sum(x * x for x in v) ** 0.5 or 1.0
             new[r["cluster"]] = [x / norm for x in v]
-        if new == centres:
+        if max(abs(x - y) for a, b in zip(new, centres) for x, y in zip(a, b)) < 1e-12:  # sums differ in their last bits between runs
             break
         centres = new
     return rows.select(id_col, _nearer(vector, centres).alias("cluster"))

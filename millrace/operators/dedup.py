@@ -103,12 +103,15 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
 
 def reliable(df: DataFrame) -> DataFrame:
-    """Checkpoint in the cluster's shared folder; a temporary folder only where none is set."""
+    """Checkpoint in the cluster's shared folder; where none is set, a temporary folder in local mode and an error on a cluster."""
     import tempfile
 
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="millrace-"))
+        found = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not found and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(found or tempfile.mkdtemp(prefix="millrace-"))
     return df.checkpoint()
 
 

@@ -32,6 +32,11 @@ def global_rank(df: DataFrame, *order: str, out: str = "place") -> DataFrame:
     return parts.withColumn("_r", inside).join(before, "_part").withColumn(out, F.col("_r") + F.col("_before")).drop("_part", "_r", "_before")
 
 
+def leakage_group(group: Column, sha256: Column) -> Column:
+    """A row's group; without one, the hash of its content."""
+    return F.coalesce(group.cast("string"), F.concat(F.lit("source_sha256:"), sha256))
+
+
 def group_safe_splits(df: DataFrame, group: Column, fractions: Mapping[str, float]) -> DataFrame:
     """(group_id, split): distinct groups in order of their SHA-256, cut into held-out splits and train.
 

@@ -280,13 +280,13 @@ def key_differences(spark, sf_dir):
 
 
 @query("""
-with claims as (select event_id as claim_id, case when event_id % 3 = 0 then user_id end as shot, event_type as tag from events where event_id % 7 = 0),
-tasks as (select user_id as task_id, user_id as shot, list(distinct event_type order by event_type) as tags from events where value > 150 or user_id % 10 = 1 group by 1)
+with claims as (select event_id as claim_id, case when event_type = 'click' then user_id end as shot, event_type || ':' || user_id as tag from events),
+tasks as (select user_id as task_id, user_id as shot, list(distinct event_type || ':' || user_id) filter (where value > 20) as tags from events group by 1)
 select claim_id, task_id from claims join tasks on (claims.shot is not null and claims.shot = tasks.shot) or (claims.shot is null and list_contains(tasks.tags, claims.tag))""")
 def claim_match_or(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
-    claims = e.where("event_id % 7 = 0").select(F.col("event_id").alias("claim_id"), F.when(F.col("event_id") % 3 == 0, F.col("user_id")).alias("shot"), F.col("event_type").alias("tag"))
-    tasks = e.where("value > 150 or user_id % 10 = 1").groupBy(F.col("user_id").alias("task_id")).agg(F.collect_set("event_type").alias("tags")).withColumn("shot", F.col("task_id"))
+    e = table(spark, sf_dir, "events").withColumn("tag", F.concat_ws(":", "event_type", F.col("user_id").cast("string")))
+    claims = e.select(F.col("event_id").alias("claim_id"), F.when(F.col("event_type") == "click", F.col("user_id")).alias("shot"), "tag")
+    tasks = e.groupBy(F.col("user_id").alias("task_id")).agg(F.collect_set(F.when(F.col("value") > 20, F.col("tag"))).alias("tags")).withColumn("shot", F.col("task_id"))
     return joins.either_key(claims, tasks, "shot", "tag", "tags", "claim_id", "task_id")
 
 
@@ -309,13 +309,13 @@ def outside_range(spark, sf_dir):
 
 @query("""
 select p.doc_id, p.h as planned_hash, sha256(d.text) as current_hash
-from (select doc_id, case when doc_id % 10 = 3 then sha256('old') else sha256(text) end as h from documents where doc_id % 2 = 1) p
-left join (select * from documents where doc_id % 50 <> 7) d using (doc_id)
+from (select doc_id, case when lang = 'fr' then sha256('old') else sha256(text) end as h from documents) p
+left join (select * from documents where n_chars >= 500) d using (doc_id)
 where sha256(d.text) is distinct from p.h""")
 def plan_drift(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", dedup.content_hash(F.col("text")).alias("h"))
-    planned = docs.where("doc_id % 2 = 1").withColumn("h", F.when(F.col("doc_id") % 10 == 3, F.sha2(F.lit("old").cast("binary"), 256)).otherwise(F.col("h")))
-    return joins.drifted(planned, docs.where("doc_id % 50 <> 7"), "doc_id", "h").withColumnRenamed("h", "planned_hash")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars", dedup.content_hash(F.col("text")).alias("h"))
+    planned = docs.withColumn("h", F.when(F.col("lang") == "fr", F.sha2(F.lit("old").cast("binary"), 256)).otherwise(F.col("h")))
+    return joins.drifted(planned, docs.where("n_chars >= 500"), "doc_id", "h").withColumnRenamed("h", "planned_hash")
 
 
 @query("""
@@ -393,9 +393,9 @@ def readiness_audit(spark, sf_dir):
 
 @query("""
 select r_name, p_size, seed, concat_ws('__', r_name, p_size, seed) as plan_id, sha256(concat_ws('__', r_name, p_size, seed)) as plan_hash
-from region, (select distinct p_size from part where p_size <= 10), (select unnest([11, 22, 33]) as seed)""")
+from region, (select distinct p_size from part), (select unnest([11, 22, 33]) as seed)""")
 def matrix_plan(spark, sf_dir):
-    sizes = table(spark, sf_dir, "part").where("p_size <= 10").select("p_size").distinct()
+    sizes = table(spark, sf_dir, "part").select("p_size").distinct()
     return planning.matrix_plan([table(spark, sf_dir, "region").select("r_name"), sizes], {"seed": [11, 22, 33]}, ["r_name", "p_size", "seed"])
 
 
@@ -459,15 +459,15 @@ def ema_series(spark, sf_dir):
 
 
 @query("""
-with k as (select user_id, event_id::double as t, value as v, lead(event_id::double) over w as t1, lead(value) over w as v1 from events where event_id % 5 = 0 window w as (partition by user_id order by event_id)),
+with k as (select user_id, event_id::double as t, value as v, lead(event_id::double) over w as t1, lead(value) over w as v1 from events where event_type = 'click' window w as (partition by user_id order by event_id)),
 b as (select user_id, min(t) as lo, max(t) as hi, arg_min(v, t) as vlo, arg_max(v, t) as vhi from k group by 1),
-q as (select user_id, event_id::double + 0.5 as at from events where event_id % 7 = 0)
+q as (select user_id, event_id::double + 0.5 as at from events)
 select q.user_id, q.at, case when q.at < b.lo then b.vlo when q.at >= b.hi then b.vhi else k.v + (q.at - k.t) / (k.t1 - k.t) * (k.v1 - k.v) end as value
 from q left join b using (user_id) left join k on k.user_id = q.user_id and k.t <= q.at and q.at < k.t1""")
 def keyframe_values(spark, sf_dir):
     e = table(spark, sf_dir, "events")
-    marks = e.where("event_id % 5 = 0").select("user_id", F.col("event_id").cast("double").alias("t"), "value")
-    asked = e.where("event_id % 7 = 0").select("user_id", (F.col("event_id") + F.lit(0.5)).cast("double").alias("at"))
+    marks = e.where("event_type = 'click'").select("user_id", F.col("event_id").cast("double").alias("t"), "value")
+    asked = e.select("user_id", (F.col("event_id") + F.lit(0.5)).cast("double").alias("at"))
     return ordered.interpolate_at(marks, asked, "user_id", "t", "value", "at")
 
 
@@ -566,26 +566,27 @@ def candidate_promotion(spark, sf_dir):
 
 # -- near duplicates and graphs -----------------------------------------------------------------------
 
-#: The last 16 bits of four smallest MD5 hashes of a text's words stand for an image hash.
+#: Four smallest stretches of the MD5 hashes of a text's words, 16 bits each, stand for an image hash.
 _HASH = """
 h as (select doc_id, case when len(w) = 0 then null else
-  (('0x' || substr(list_min(list_transform(w, lambda x: md5('a' || x))), 29, 4))::bigint % 32768 * 281474976710656
-   + ('0x' || substr(list_min(list_transform(w, lambda x: md5('b' || x))), 29, 4))::bigint * 4294967296
-   + ('0x' || substr(list_min(list_transform(w, lambda x: md5('c' || x))), 29, 4))::bigint * 65536
-   + ('0x' || substr(list_min(list_transform(w, lambda x: md5('d' || x))), 29, 4))::bigint) end as h
- from (select doc_id, list_distinct(list_filter(string_split(lower(text), ' '), lambda x: x <> '')) as w from documents))
+  (('0x' || substr(list_min(list_transform(w, lambda x: substr(x, 1, 8))), 5, 4))::bigint % 32768 * 281474976710656
+   + ('0x' || substr(list_min(list_transform(w, lambda x: substr(x, 9, 8))), 5, 4))::bigint * 4294967296
+   + ('0x' || substr(list_min(list_transform(w, lambda x: substr(x, 17, 8))), 5, 4))::bigint * 65536
+   + ('0x' || substr(list_min(list_transform(w, lambda x: substr(x, 25, 8))), 5, 4))::bigint) end as h
+ from (select doc_id, list_transform(list_distinct(list_filter(string_split(lower(text), ' '), lambda x: x <> '')), lambda x: md5(x)) as w from documents))
 """
 
 
 def _hashes(spark, sf_dir):
     w = F.array_distinct(F.filter(F.split(F.lower("text"), " "), lambda x: x != ""))
 
-    def low(salt: str):
-        return F.conv(F.substring(F.array_min(F.transform("w", lambda x: F.md5(F.concat(F.lit(salt), x).cast("binary")))), 29, 4), 16, 10).cast("long")
+    def low(at: int):
+        return F.conv(F.substring(F.array_min(F.transform("w", lambda x: F.substring(x, at, 8))), 5, 4), 16, 10).cast("long")
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", w.alias("w"))
-    h = low("a") % 32768 * 281474976710656 + low("b") * 4294967296 + low("c") * 65536 + low("d")
-    return docs.select("doc_id", F.when(F.size("w") > 0, h).alias("h"))
+    # checkpointed, so that words are hashed once for all joins
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.transform(w, lambda x: F.md5(x.cast("binary"))).alias("w"))
+    h = low(1) % 32768 * 281474976710656 + low(9) * 4294967296 + low(17) * 65536 + low(25)
+    return dedup.reliable(docs.select("doc_id", F.when(F.size("w") > 0, h).alias("h")))
 
 
 @query(f"with {_HASH}, d as (select distinct h from h where h is not null) select x.h as x, y.h as y, bit_count(xor(x.h, y.h))::integer as distance from d x join d y on x.h < y.h and bit_count(xor(x.h, y.h)) <= 3")
@@ -635,11 +636,12 @@ def dangling_edges(spark, sf_dir):
 
 
 @query("""
-select o_orderkey from orders where not (o_orderkey % 4 <> 0 and o_orderkey % 6 <> 0 and o_orderkey % 10 <> 0)""")
+select o_orderkey from orders where o_orderstatus = 'P' or o_orderpriority in ('1-URGENT', '5-LOW')""")
 def stale_stages(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     now = o.select("o_orderkey", graph.signature("o_custkey", "o_orderstatus").alias("signature"), F.sha2("o_orderpriority", 256).alias("outputs"))
-    ledger = now.where("o_orderkey % 4 <> 0").select("o_orderkey", F.when(F.col("o_orderkey") % 6 == 0, "old").otherwise(F.col("signature")).alias("signature"), F.when(F.col("o_orderkey") % 10 == 0, "lost").otherwise(F.col("outputs")).alias("outputs"))
+    ledger = now.join(o.where("o_orderstatus <> 'P'").select("o_orderkey", "o_orderpriority"), "o_orderkey")
+    ledger = ledger.select("o_orderkey", F.when(F.col("o_orderpriority") == "1-URGENT", "old").otherwise(F.col("signature")).alias("signature"), F.when(F.col("o_orderpriority") == "5-LOW", "lost").otherwise(F.col("outputs")).alias("outputs"))
     return graph.stale_stages(now, ledger, "o_orderkey").select("o_orderkey")
 
 
@@ -663,12 +665,12 @@ def latest_decision(spark, sf_dir):
 
 
 @query("""
-select d.doc_id, case when l.doc_id is not null then 'complete' when d.doc_id % 3 = 0 then 'running' else 'pending' end as status
+select d.doc_id, case when l.doc_id is not null then 'complete' when d.lang = 'en' then 'running' else 'pending' end as status
 from documents d left join (select distinct doc_id from labels) l using (doc_id)""")
 def task_carry_over(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id")
-    prior = docs.where("doc_id % 3 = 0").withColumn("status", F.lit("running"))
-    return review.carry_over(docs, table(spark, sf_dir, "labels"), prior, "doc_id")
+    docs = table(spark, sf_dir, "documents")
+    prior = docs.where("lang = 'en'").select("doc_id", F.lit("running").alias("status"))
+    return review.carry_over(docs.select("doc_id"), table(spark, sf_dir, "labels"), prior, "doc_id")
 
 
 @query("""
@@ -732,3 +734,6 @@ def curated_selection(spark, sf_dir):
     chosen = select.round_robin(best, ["lang", "source"], [F.col("n_chars").desc(), F.col("doc_id")], 200)
     splits = select.group_safe_splits(docs.select("source"), F.col("source"), _FRACTIONS)
     return chosen.join(splits.withColumnRenamed("group_id", "source"), "source").select("doc_id", "lang", "source", "turn", "split")
+
+
+from . import record_queries  # noqa: E402, F401  registers more queries

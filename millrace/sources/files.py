@@ -128,26 +128,34 @@ def first_seen(*sources: DataFrame, key: str = "path") -> DataFrame:
 # -- headers of binary files: small parsers in Arrow-batched UDFs ----------------------------------
 
 
+def _jpeg_segments(data: bytes) -> Iterator[tuple[int, bytes]]:
+    """(marker, payload) of the segments before a JPEG's image data; markers without a length have no payload."""
+    stream = io.BytesIO(data)
+    stream.seek(2)
+    while (lead := stream.read(1)) == b"\xff":
+        while (code := stream.read(1)) == b"\xff":  # fill bytes
+            pass
+        if not code:
+            return
+        alone = code[0] == 0x01 or 0xD0 <= code[0] <= 0xD9
+        size = b"\0\2" if alone else stream.read(2)
+        if len(size) < 2:
+            return
+        yield code[0], stream.read(max(0, int.from_bytes(size, "big") - 2))
+
+
+#: JPEG markers of frames; the other three of their range are tables.
+FRAMES = frozenset(range(0xC0, 0xD0)) - {0xC4, 0xC8, 0xCC}
+
+
 def image_size(data: bytes) -> tuple[int, int] | None:
     """Width and height from a PNG or JPEG header."""
-    if data[:8] == b"\x89PNG\r\n\x1a\n" and len(data) >= 24:
-        return struct.unpack(">II", data[16:24])
-    if data[:2] != b"\xff\xd8":
+    if data.startswith(b"\x89PNG\r\n\x1a\n") and len(data) >= 24:
+        return struct.unpack_from(">II", data, 16)
+    if not data.startswith(b"\xff\xd8"):
         return None
-    at = 2
-    while at + 9 < len(data):
-        if data[at] != 0xFF:
-            at += 1
-            continue
-        marker = data[at + 1]
-        if 0xC0 <= marker <= 0xCF and marker not in (0xC4, 0xC8, 0xCC):
-            height, width = struct.unpack(">HH", data[at + 5 : at + 9])
-            return width, height
-        if marker == 0xFF or marker == 0x01 or 0xD0 <= marker <= 0xD8:
-            at += 1 if marker == 0xFF else 2
-            continue
-        at += 2 + struct.unpack(">H", data[at + 2 : at + 4])[0]
-    return None
+    frame = next((payload for marker, payload in _jpeg_segments(data) if marker in FRAMES), b"")
+    return struct.unpack_from(">HH", frame, 1)[::-1] if len(frame) >= 5 else None
 
 
 def wav_facts(data: bytes) -> tuple[int, int, float] | None:
@@ -185,6 +193,8 @@ def ply_header(data: bytes) -> tuple[int, list[str]] | None:
         words = line.split()
         if words[:1] == ["element"] and len(words) == 3:
             inside = words[1] == "vertex"
+            if inside and not words[2].isdecimal():
+                return None
             count = int(words[2]) if inside else count
         elif words[:1] == ["property"] and inside:
             properties.append(words[-1])
@@ -200,7 +210,10 @@ def tensor_shapes(data: bytes) -> list[tuple[str, list[int]]] | None:
         header = json.loads(data[8 : 8 + size])
     except ValueError:
         return None
-    return [(k, v["shape"]) for k, v in sorted(header.items()) if k != "__metadata__"]
+    tensors = {k: v for k, v in header.items() if k != "__metadata__"} if isinstance(header, dict) else None
+    if tensors is None or not all(isinstance(v, dict) and isinstance(v.get("shape"), list) for v in tensors.values()):
+        return None
+    return [(k, tensors[k]["shape"]) for k in sorted(tensors)]
 
 
 def web_resources(data: bytes) -> list[dict] | None:
@@ -211,8 +224,10 @@ def web_resources(data: bytes) -> list[dict] | None:
         return None
     while waiting:
         doc = waiting.pop(0)
+        if not isinstance(doc, dict):
+            return None
         for r in [doc.get("WebMainResource"), *doc.get("WebSubresources", [])]:
-            if r:
+            if isinstance(r, dict):
                 out.append({"url": r.get("WebResourceURL"), "mime": r.get("WebResourceMIMEType"), "content": r.get("WebResourceData")})
         waiting += doc.get("WebSubframeArchives", [])
     return out

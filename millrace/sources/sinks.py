@@ -60,7 +60,10 @@ def rewrite_prefix(df: DataFrame, column: str, old: str, new: str) -> DataFrame:
 
 
 def markdown_report(df: DataFrame, title: str, most: int = 1000) -> str:
-    """A table of at most so many rows as Markdown; reports are short by nature."""
+    """A table as Markdown; reports are short by nature, so more than ``most`` rows are an error, never cut off."""
+    found = df.limit(most + 1).collect()
+    if len(found) > most:
+        raise ExportRefused(f"a report of more than {most} rows")
     rows = [f"# {title}", "", "| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
-    rows += ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in df.limit(most).collect()]
+    rows += ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in found]
     return "\n".join(rows) + "\n"
