@@ -235,7 +235,7 @@ def timeline_totals(spark, sf_dir):
 
 
 @query("""
-select l_orderkey, arg_min(l_quantity, l_linenumber * 1000000 + l_partkey)::double as start, round(sum(l_quantity), 6)::double as seconds, list(l_returnflag order by l_linenumber, l_partkey, l_suppkey, l_extendedprice) as audio from lineitem group by 1""")
+select l_orderkey, list(l_quantity order by l_linenumber, l_partkey, l_suppkey, l_extendedprice)[1]::double as start, round(sum(l_quantity), 6)::double as seconds, list(l_returnflag order by l_linenumber, l_partkey, l_suppkey, l_extendedprice) as audio from lineitem group by 1""")
 def sequence_rows(spark, sf_dir):
     shots = table(spark, sf_dir, "lineitem").select("l_orderkey", F.struct(*LINE_ORDER).alias("o"), F.col("l_quantity").cast("double").alias("q"), F.array("l_returnflag").alias("audio"))
     return aggregates.assemble_sequences(shots, "l_orderkey", "o", "q", "q", "audio")
