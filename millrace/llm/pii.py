@@ -3,9 +3,11 @@
 Everything here is DataFrame and SQL functions.
 
 Base spans of four kinds come from regular expressions and checks on each match.
-They are the seeds.  An identifier candidate is a white-space token with a digit
-or ``@``; the two words before it, lower-cased, are its lexical pattern.  Patterns
-and candidate strings form a bipartite graph whose scores are computed in turn:
+They are seeds, and so are the credentials that SECRET_SEEDS describes, of a fifth
+kind.  An identifier candidate is a white-space token with a digit or ``@``.  Its
+lexical patterns are the two words before it, lower-cased, and the affix that it
+begins with: a name up to ``=`` or ``:``, or the four first capitals of a long code.
+Patterns and candidate strings form a bipartite graph whose scores are computed in turn:
 
 * a seed string has confidence 1 for its kind, any other string the noisy-or of
   its patterns' confidences;
@@ -16,7 +18,9 @@ and candidate strings form a bipartite graph whose scores are computed in turn:
 So each round may admit patterns through strings that the round before discovered.
 
 After ``rounds`` rounds, candidates behind patterns of at least ``least_confidence``
-become spans of the pattern's kind, unless they overlap a base span.
+become spans of the pattern's kind, unless they overlap a base span; of two such
+patterns the more confident one names the kind.  Secrets are thus spans only where
+a pattern is believed, never by their form alone.
 
 Null text counts as empty.  Counting distinct strings makes copies of a document
 count once; equal rows get equal results; ties between kinds go to the first kind.
@@ -34,6 +38,8 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 KINDS = ("email", "ip", "card", "phone")
+#: Kinds of spans that patterns may add; the last has no base spans.
+FOUND = (*KINDS, "secret")
 
 # Possessive quantifiers and look-behinds change no match; they keep the search linear in the text's length.
 _LOCAL = "[A-Za-z0-9._%+-]"
@@ -42,6 +48,12 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+#: Seeds of secrets, told from a token and the two words before it: a public form of access key, and long hexadecimal values given to names of credentials.
+_NAME = "(?:password|passwd|secret|token|api_?key)"
+_HEX = "[\"']?[0-9a-fA-F]{16,}+[^A-Za-z0-9]*+$"
+SECRET_SEEDS = (r"^[^A-Za-z0-9]*+AKIA[0-9A-Z]{16}[^A-Za-z0-9]*+$", rf"^(?i:{_NAME})[=:]{_HEX}", rf"^{_HEX}")
+SECRET_LEFT = rf"{_NAME} ?[=:]$"
+AFFIX = "^([A-Za-z_-]{2,32}[=:]|[A-Z]{4}(?=[0-9A-Z]{12,}+[^A-Za-z0-9]*+$))"
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
 #: Documents with spans that may be broadcast; more are joined by shuffling.
@@ -142,8 +154,16 @@ def _overlap(spans: Column, start: Column, end: Column) -> Column:
 
 
 def _seed(token: Column) -> Column:
-    """The first kind with a base span that overlaps the token, or null."""
-    return reduce(lambda rest, k: F.when(_overlap(F.col(k), token["start"], token["end"]), k).otherwise(rest), reversed(KINDS), F.lit(None).cast("string"))
+    """The first kind with a base span that overlaps the token, or secret, or null."""
+    key, named, value = (token["text"].rlike(p) for p in SECRET_SEEDS)
+    secret = F.when(key | named | (value & token["left"].rlike(SECRET_LEFT)), "secret")
+    return reduce(lambda rest, k: F.when(_overlap(F.col(k), token["start"], token["end"]), k).otherwise(rest), reversed(KINDS), secret)
+
+
+def _patterns(token: Column) -> Column:
+    """The token's patterns: two words, which hold a space, and an affix, marked by a caret."""
+    affix = F.regexp_extract(token["text"], AFFIX, 1)
+    return F.filter(F.array(token["left"], F.when(affix != "", F.concat(F.lit("^"), affix)).otherwise("")), lambda p: p != "")
 
 
 def score_patterns(edges: DataFrame, rounds: int = 3, least_seeds: int = 3, smoothing: float = 1.0, least_confidence: float = 0.6) -> DataFrame:
@@ -165,12 +185,12 @@ def score_patterns(edges: DataFrame, rounds: int = 3, least_seeds: int = 3, smoo
         known = patterns.select("left", "kind", F.lit(True).alias("known"))
         grown = held.join(known, ["left", "kind"], "full").where(F.col("known") | (F.col("believed") >= least_seeds))
         patterns = grown.join(size, "left").select("left", "kind", (F.coalesce("total", F.lit(0.0)) / (F.col("n") + smoothing)).alias("confidence"))
-    best = Window.partitionBy("left").orderBy(F.col("confidence").desc(), F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")))
+    best = Window.partitionBy("left").orderBy(F.col("confidence").desc(), F.array_position(F.array(*map(F.lit, FOUND)), F.col("kind")))
     return patterns.where(F.col("confidence") >= least_confidence).withColumn("r", F.row_number().over(best)).where("r = 1").select("left", "kind", "confidence")
 
 
 def _joined(spans: Column) -> Column:
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(F.array(*map(F.lit, FOUND)), s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3, least_seeds: int = 3, least_confidence: float = 0.6) -> DataFrame:
@@ -180,12 +200,14 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ro
     numbered = [_numbered(i, F.col(k)) for i, k in enumerate(KINDS)]
     base = F.array_sort(F.concat(*numbered))
     # seeds are told inside the array, so that exploded rows are short whatever the text
-    named = F.transform("tokens", lambda t: F.struct(t["left"].alias("left"), t["text"].alias("text"), t["start"].alias("start"), t["end"].alias("end"), _seed(t).alias("seed")))
-    told = rows.where(F.size("tokens") > 0).select("row", F.filter(named, lambda t: t["left"] != "").alias("tokens"))
-    uses = told.select("row", F.explode("tokens").alias("t")).select("row", "t.*")
+    named = F.transform("tokens", lambda t: F.struct(_patterns(t).alias("patterns"), t["text"].alias("text"), t["start"].alias("start"), t["end"].alias("end"), _seed(t).alias("seed")))
+    told = rows.where(F.size("tokens") > 0).select("row", F.filter(named, lambda t: F.size(t["patterns"]) > 0).alias("tokens"))
+    uses = told.select("row", F.explode("tokens").alias("t")).select("row", F.explode("t.patterns").alias("left"), "t.text", "t.start", "t.end", "t.seed")
     patterns = score_patterns(uses.select("left", "text", "seed").distinct(), rounds, least_seeds, least_confidence=least_confidence)
-    number = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int") - 1
-    new = uses.where("seed is null").join(patterns, "left").groupBy("row").agg(F.collect_list(F.struct(number.alias("kind"), "start", "end")).alias("new"))
+    number = F.array_position(F.array(*map(F.lit, FOUND)), F.col("kind")).cast("int") - 1
+    open_uses = uses.where("seed is null or seed = 'secret'").select("row", "left", "start", "end")
+    chosen = open_uses.join(patterns, "left").groupBy("row", "start", "end").agg(F.min_by(number, F.struct(-F.col("confidence"), number)).alias("kind"))
+    new = chosen.groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("new"))
     none = F.array().cast("array<struct<kind: int, start: int, end: int>>")
     return rows.select("row", "id", base.alias("base")).join(new, "row", "left").select(F.col("id").alias(id_col), "base", F.array_sort(F.concat("base", F.coalesce("new", none))).alias("found"))
 
@@ -209,7 +231,7 @@ def mask(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     if found.count() <= BROADCAST_ROWS:
         side = F.broadcast(side)
     text = F.col(text_col)
-    names = F.array(*map(F.lit, KINDS))
+    names = F.array(*map(F.lit, FOUND))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
 
     def step(acc: Column, s: Column) -> Column:

@@ -127,51 +127,71 @@ def base_spans(text):
     return [(k, m.start(), m.end()) for k in PII for m in re.finditer(PII[k], text or "") if valid(k, m.group())]
 
 
+FOUND = [*PII, "secret"]
+NAMES = "(password|passwd|secret|token|api_?key)"
+
+
+def is_secret(left, text):
+    bare = re.sub(r"[^A-Za-z0-9]+$", "", text)
+    if re.fullmatch(r"[^A-Za-z0-9]*AKIA[0-9A-Z]{16}", bare):
+        return True
+    if re.fullmatch(rf"(?i:{NAMES})[=:]['\"]?[0-9a-fA-F]{{16,}}", bare):
+        return True
+    return re.fullmatch(r"['\"]?[0-9a-fA-F]{16,}", bare) is not None and re.search(NAMES + " ?[=:]$", left) is not None
+
+
+def affix(text):
+    if m := re.match("[A-Za-z_-]{2,32}[=:]", text):
+        return m.group()
+    if re.fullmatch("[0-9A-Z]{16,}", re.sub(r"[^A-Za-z0-9]+$", "", text)) and re.match("[A-Z]{4}", text):
+        return text[:4]
+    return ""
+
+
 def all_spans(texts, rounds=3, least_seeds=3, smoothing=1.0, least=0.6):
     """Spans of every text, those of bootstrapped patterns included, in (kind, start) order."""
-    kinds = list(PII)
     uses, edges = [], set()
     for n, text in enumerate(texts):
-        base = base_spans(text)
+        base, last = base_spans(text), 0
         for m in re.finditer(r"(?<!\S)\S*[0-9@]\S*", text or ""):
-            last = 0 if not [u for u in uses if u[0] == n] else max(u[2] for u in uses if u[0] == n)
             before = re.search(r"(\S+\s+\S+)\s*$", text[last : m.start()])
+            last = m.end()
             left = re.sub(r"\s+", " ", before.group(1)).lower() if before else ""
-            seed = next((k for k in kinds for b in base if b[0] == k and b[1] < m.end() and m.start() < b[2]), None)
-            uses.append((n, m.start(), m.end(), left, seed))
-            if left:
-                edges.add((left, m.group(), seed))
+            seed = next((k for k in PII for b in base if b[0] == k and b[1] < m.end() and m.start() < b[2]), None)
+            if seed is None and is_secret(left, m.group()):
+                seed = "secret"
+            patterns = [p for p in (left, affix(m.group()) and "^" + affix(m.group())) if p]
+            uses.append((n, m.start(), m.end(), patterns, seed))
+            edges |= {(p, m.group(), seed) for p in patterns}
     strings = defaultdict(set)
-    for left, text, _ in edges:
-        strings[left].add(text)
-    seeds = {}
-    for _, text, seed in edges:
+    for p, text, _ in edges:
+        strings[p].add(text)
+    seeds, seeded = {}, defaultdict(set)
+    for p, text, seed in edges:
         if seed is not None:
             seeds[text] = min(seed, seeds.get(text, seed))
-    conf = {}
-    for left in strings:
-        for k in kinds:
-            n = len({t for p, t, s in edges if p == left and s == k})
-            if n >= least_seeds:
-                conf[left, k] = n / (len(strings[left]) + smoothing)
+            seeded[p, seed].add(text)
+    conf = {(p, k): len(t) / (len(strings[p]) + smoothing) for (p, k), t in seeded.items() if len(t) >= least_seeds}
     for _ in range(rounds):
-        belief = {}
-        for left, k in conf:
-            for t in strings[left]:
-                if t in seeds:
-                    belief[t, k] = 1.0 if seeds[t] == k else 0.0
-                else:
-                    p = conf[left, k] if conf[left, k] >= least else 0.0
-                    belief[t, k] = 1 - (1 - belief.get((t, k), 0.0)) * (1 - p)
-        conf = {(left, k): sum(belief[t, k] for t in strings[left]) / (len(strings[left]) + smoothing) for left, k in conf}
+        belief = {(t, k): 1.0 for t, k in seeds.items()}
+        for (p, k), c in conf.items():
+            if c >= least:
+                for t in strings[p] - seeds.keys():
+                    belief[t, k] = 1 - (1 - belief.get((t, k), 0.0)) * (1 - c)
+        held = defaultdict(list)
+        for p, some in strings.items():
+            for k in FOUND:
+                held[p, k] = [belief[t, k] for t in some if (t, k) in belief]
+        conf = {(p, k): sum(b) / (len(strings[p]) + smoothing) for (p, k), b in held.items() if (p, k) in conf or sum(x >= least for x in b) >= least_seeds}
     chosen = {}
-    for (left, k), c in conf.items():
+    for (p, k), c in conf.items():
         if c >= least:
-            chosen.setdefault(left, []).append((-c, kinds.index(k)))
-    out = [[(kinds.index(k), a, b) for k, a, b in base_spans(t)] for t in texts]
-    for n, a, b, left, seed in uses:
-        if seed is None and left in chosen:
-            out[n].append((min(chosen[left])[1], a, b))
+            chosen[p] = min(chosen.get(p, (0.0, 0)), (-c, FOUND.index(k)))
+    out = [[(FOUND.index(k), a, b) for k, a, b in base_spans(t)] for t in texts]
+    for n, a, b, patterns, seed in uses:
+        kinds = [chosen[p] for p in patterns if p in chosen]
+        if seed in (None, "secret") and kinds:
+            out[n].append((min(kinds)[1], a, b))
     return [sorted(s) for s in out]
 
 
@@ -181,6 +201,6 @@ def masked(text, spans):
     out, at = "", 0
     for a, b, k in sorted((a, b, k) for k, a, b in spans):
         if a >= at:
-            out += text[at:a] + f"<{list(PII)[k]}>"
+            out += text[at:a] + f"<{FOUND[k]}>"
         at = max(at, b)
     return out + text[at:]

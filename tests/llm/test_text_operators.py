@@ -221,7 +221,7 @@ def test_traversal_equals_merging():
 
 
 def digest(spans):
-    return ",".join(f"{list(brute.PII)[k]}:{a}:{b}" for k, a, b in spans)
+    return ",".join(f"{brute.FOUND[k]}:{a}:{b}" for k, a, b in spans)
 
 
 def check_pii(spark, texts):
@@ -260,6 +260,16 @@ def test_pii_tables(spark, sf):
     assert got == {r.doc_id: digest(s) for r, s in zip(docs, want)}
 
 
+def test_pii_discovers_secrets(spark, sf):
+    """Contexts of seed credentials find others; a table's spans are more than its base spans."""
+    texts = [f'set token = "{n:040x}" now' for n in range(10**30, 10**30 + 3)] + ['set token = "hunter2x9" now', "see commit " + "1a" * 20 + " there"]
+    texts += [f"password={n:018x} ok" for n in range(10**20, 10**20 + 4)] + ["password=s3same ok"] + [f"my AKIAX{n:015d} key" for n in range(3)] + ["so AKIAB0B0B0B0B0B0, key"]
+    got = check_pii(spark, texts)
+    assert got[3].spans == "secret:12:23" and got[4].spans == "" and got[9].spans == "secret:0:15" and got[13].spans == "secret:3:24"
+    rows = queries.op9_pii(spark, sf).select(F.sum("n_spans"), F.sum(sum(F.col(f"n_{k}") for k in brute.PII))).first()
+    assert rows[0] > rows[1]
+
+
 def test_pii_edge_cases(spark):
     df = spark.createDataFrame([(1, "a@b.co"), (1, "a@b.co"), (None, "a@b.co"), (2, None)], "doc_id long, text string")
     assert sorted(r.n_email for r in pii.pii_digest(pii.find_pii(df)).collect()) == [0, 1, 1, 1]
@@ -268,8 +278,10 @@ def test_pii_edge_cases(spark):
 
 
 def test_pii_is_native(spark, sf):
-    plan = pii.base_spans(spark.read.parquet(f"{sf}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
-    assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for df in (pii.base_spans(docs), pii.find_pii(docs), pii.mask(docs)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
 
 
 # -- 10 -----------------------------------------------------------------------------------------------
