@@ -56,8 +56,9 @@ SECRET_LEFT = rf"{_NAME} ?[=:]$"
 AFFIX = "^([A-Za-z_-]{2,32}[=:]|[A-Z]{4}(?=[0-9A-Z]{12,}+[^A-Za-z0-9]*+$))"
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
-#: Documents with spans that may be broadcast; more are joined by shuffling.
+#: Texts with spans, and spans in all, that may be broadcast (some 20 MB); more are joined by shuffling.
 BROADCAST_ROWS = 100_000
+BROADCAST_SPANS = 400_000
 #: Matches whose places are summed up at once.
 CHUNK = 256
 SPAN = "array<struct<start: int, end: int, text: string>>"
@@ -228,7 +229,8 @@ def mask(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     texts = docs.where(F.col(text_col).isNotNull()).select(digest.alias("id"), F.col(text_col).alias("text"))
     found = materialize(find_pii(texts, "id", "text", **options).where(F.size("found") > 0).groupBy("id").agg(F.first("found").alias(found_col)), "pii_found")
     side = found.withColumnRenamed("id", digest_col)
-    if found.count() <= BROADCAST_ROWS:
+    n_texts, n_spans = found.agg(F.count("*"), F.coalesce(F.sum(F.size(found_col)), F.lit(0))).first()
+    if n_texts <= BROADCAST_ROWS and n_spans <= BROADCAST_SPANS:
         side = F.broadcast(side)
     text = F.col(text_col)
     names = F.array(*map(F.lit, FOUND))
