@@ -2,12 +2,30 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .dedup import reliable
 
 
+class _Seen:
+    """Rows found round by round.  Each round is written once; eight of one size are joined into one of the next."""
+
+    def __init__(self, first: DataFrame):
+        self.parts: list[tuple[int, DataFrame]] = [(0, first)]
+
+    def rows(self) -> DataFrame:
+        return functools.reduce(DataFrame.unionByName, (df for _, df in self.parts))
+
+    def add(self, df: DataFrame) -> None:
+        self.parts.append((0, df))
+        while len(self.parts) >= 8 and self.parts[-8][0] == self.parts[-1][0]:
+            joined = functools.reduce(DataFrame.unionByName, (df for _, df in self.parts[-8:]))
+            self.parts[-8:] = [(self.parts[-1][0] + 1, reliable(joined))]
+
+
 def reachable(edges: DataFrame, seeds: DataFrame, src: str = "src", dst: str = "dst", node: str = "node") -> DataFrame:
     """Nodes reached from the seeds along edges, seeds included.
 
@@ -15,13 +33,13 @@ def reachable(edges: DataFrame, seeds: DataFrame, src: str = "src", dst: str = "
     cycles end.  The driver sees whether a frontier is empty, never its nodes.
     """
     step = edges.select(F.col(src).alias(node), F.col(dst).alias("_next")).distinct()
-    seen = reliable(seeds.select(node).distinct())
-    frontier = seen
+    frontier = reliable(seeds.select(node).distinct())
+    seen = _Seen(frontier)
     while not frontier.isEmpty():
         found = step.join(frontier, node, "left_semi").select(F.col("_next").alias(node)).distinct()
-        frontier = reliable(found.join(seen, node, "left_anti"))
-        seen = reliable(seen.unionByName(frontier))
-    return seen
+        frontier = reliable(found.join(seen.rows(), node, "left_anti"))
+        seen.add(frontier)
+    return seen.rows()
 
 
 def invalidated(current: DataFrame, previous: DataFrame, edges: DataFrame, key: str = "id", fingerprint: str = "fingerprint") -> DataFrame:
@@ -46,18 +64,20 @@ def nearest_upstream(nodes: DataFrame, edges: DataFrame, starts: DataFrame, want
     """(start, id, hops): nodes of the wanted kind that each start's first such level of parents holds."""
     parents = edges.select(F.col("child").alias("_at"), F.col("parent").alias("_up")).distinct()
     level = reliable(starts.select(F.col(key).alias("start"), F.col(key).alias("_at")).distinct())
-    seen, found, hops = level, None, 0
+    seen, found, hops = _Seen(level), None, 0
     kinds = nodes.select(F.col(key).alias("_at"), F.col(kind).alias("_kind"))
     while not level.isEmpty():
-        here = level.join(kinds.where(F.col("_kind") == wanted), "_at").select("start", F.col("_at").alias(key), F.lit(hops).alias("hops"))
-        found = here if found is None else found.unionByName(here)
-        found = reliable(found)
-        going = level.join(found.select("start").distinct(), "start", "left_anti")
+        here = reliable(level.join(kinds.where(F.col("_kind") == wanted), "_at").select("start", F.col("_at").alias(key), F.lit(hops).alias("hops")))
+        if found is None:
+            found = _Seen(here)
+        else:
+            found.add(here)
+        going = level.join(here.select("start").distinct(), "start", "left_anti")
         step = going.join(parents, "_at").select("start", F.col("_up").alias("_at")).distinct()
-        level = reliable(step.join(seen, ["start", "_at"], "left_anti"))
-        seen = reliable(seen.unionByName(level))
+        level = reliable(step.join(seen.rows(), ["start", "_at"], "left_anti"))
+        seen.add(level)
         hops += 1
-    return found if found is not None else starts.select(F.col(key).alias("start"), F.col(key), F.lit(0).alias("hops")).limit(0)
+    return found.rows() if found is not None else starts.select(F.col(key).alias("start"), F.col(key), F.lit(0).alias("hops")).limit(0)
 
 
 def dangling_edges(nodes: DataFrame, edges: DataFrame, key: str = "id") -> DataFrame:

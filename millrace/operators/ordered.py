@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import itertools
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
+
+from .dedup import reliable
 
 
 def timeline(df: DataFrame, by: str | Sequence[str], order: Sequence[str], duration: str, start: str = "start_seconds", end: str = "end_seconds") -> DataFrame:
@@ -56,19 +61,80 @@ def interpolate_at(keyframes: DataFrame, times: DataFrame, by: str, at: str, val
     return both.where("not mark").select(by, F.col("t").alias(time), F.coalesce(F.when(F.col("a.t") == F.col("t"), F.col("a.v")), lerp, F.col("a.v"), F.col("b.v")).alias(value))
 
 
-def ema(df: DataFrame, by: str, order: str, value: str, alpha: float = 0.35, usable: Column | None = None) -> DataFrame:
-    """(by, order, smoothed): exponential mean per group; its first usable value starts it, unusable rows give none."""
-    rows = df.where(usable) if usable is not None else df
-    series = rows.groupBy(by).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).cast("double").alias("v")))).alias("s"))
-    kind = f"array<struct<o: {df.schema[order].dataType.simpleString()}, v: double>>"
+def _each_series(rows: DataFrame, keys: list[str], order: Sequence[str | Column], drop: Sequence[str], fold: Callable[[tuple, Iterator[tuple]], Iterator[tuple]], schema: StructType) -> DataFrame:
+    """What ``fold`` yields for every series: rows of equal keys, in order, without the dropped columns.
+
+    A series streams through one task, sorted by Spark, and is never held as a whole: memory is that
+    of the fold's own state, and time grows in proportion to the rows.
+    """
+    arrow, n = to_arrow_schema(schema), len(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        out = (made for key, series in itertools.groupby(rows, lambda r: r[:n]) for made in fold(key, (r[n:] for r in series)))
+        while part := list(itertools.islice(out, 10_000)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part), arrow)], schema=arrow)
 
-    # try_element_at: an empty accumulator has no last point
-    def fold(acc: Column, x: Column) -> Column:
-        prior = F.try_element_at(acc, F.lit(-1))["v"]
-        point = F.coalesce(alpha * x["v"] + (1 - alpha) * prior, x["v"])
-        return F.concat(acc, F.array(F.struct(x["o"].alias("o"), point.alias("v"))).cast(kind))
+    return rows.repartition(*keys).sortWithinPartitions(*keys, *order).drop(*drop).mapInArrow(run, schema)
 
-    return series.select(by, F.explode(F.aggregate("s", F.array().cast(kind), fold)).alias("p")).select(by, F.col("p.o").alias(order), F.col("p.v").alias("smoothed"))
+
+def ema(df: DataFrame, by: str, order: str, value: str, alpha: float = 0.35, usable: Column | None = None) -> DataFrame:
+    """(by, order, smoothed): exponential mean per group; its first usable value starts it, unusable rows give none.
+
+    A null value gives null and the value after it starts again.  Rows are dealt by ranges of group
+    and order, so a long group is spread over many tasks: the rows of a group within one part map
+    the mean before them to the mean after them by a * mean + b.  The driver chains these maps, one
+    row per part, and each part is then smoothed from the mean that enters it.
+    """
+    rest = 1 - alpha
+    rows = df.where(usable) if usable is not None else df
+    series = rows.select(F.col(by).alias("k"), F.col(order).alias("o"), F.col(value).cast("double").alias("v"))
+    parts = reliable(series.repartitionByRange("k", "o", "v").sortWithinPartitions("k", "o", "v").withColumn("p", F.spark_partition_id()))
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = first = last = None
+        keys, a, b, alone = 0, 1.0, 0.0, None
+        for batch in batches:
+            for k, v, part in zip(*(batch.column(c).to_pylist() for c in ("k", "v", "p"))):
+                if not keys or k != last:
+                    first = first if keys else k
+                    keys, last, a, b, alone = keys + 1, k, 1.0, 0.0, None
+                if v is None:
+                    a, b, alone = None, None, None
+                else:
+                    alone = v if alone is None else alpha * v + rest * alone
+                    a, b = (None, None) if a is None else (rest * a, alpha * v + rest * b)
+        if keys:
+            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((part, first, last, keys == 1, a, b, alone), arrow)], schema=arrow)
+
+    key = df.schema[by].dataType
+    kinds = {"p": IntegerType(), "first": key, "last": key, "single": BooleanType(), "a": DoubleType(), "b": DoubleType(), "alone": DoubleType()}
+    schema = StructType([StructField(c, t) for c, t in kinds.items()])
+    arrow = to_arrow_schema(schema)
+    entering, mean, before = {}, None, None
+    for r in sorted(parts.mapInArrow(ends, schema).collect(), key=lambda r: r.p):  # one row per part
+        enters = mean if before is not None and before.last == r.first else None
+        if enters is not None:
+            entering[r.p] = enters
+        mean = r.a * enters + r.b if r.single and enters is not None and r.a is not None else r.alone
+        before = r
+    held = df.sparkSession.sparkContext.broadcast(entering)
+
+    def smooth(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = last = mean = None
+        for batch in batches:
+            out = []
+            for k, v, p in zip(*(batch.column(c).to_pylist() for c in ("k", "v", "p"))):
+                if part != p:
+                    mean = held.value.get(p)
+                elif k != last:
+                    mean = None
+                part, last = p, k
+                mean = v if v is None or mean is None else alpha * v + rest * mean
+                out.append(mean)
+            yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("o"), pa.array(out, pa.float64())], [by, order, "smoothed"])
+
+    return parts.mapInArrow(smooth, StructType([StructField(by, key), StructField(order, df.schema[order].dataType), StructField("smoothed", DoubleType())]))
 
 
 def scene_segments(cuts: DataFrame, by: str, cut: str, duration: str, least: float, most: float) -> DataFrame:
@@ -78,13 +144,27 @@ def scene_segments(cuts: DataFrame, by: str, cut: str, duration: str, least: flo
     longer scenes are cut off every ``most`` seconds and remainders below ``least`` are dropped.
     """
     inside = (F.col(cut) > least) & (F.col(cut) < F.col(duration) - least)
-    lists = cuts.groupBy(by, duration).agg(F.array_sort(F.collect_set(F.when(inside, F.col(cut).cast("double")))).alias("c"))
-    keep = F.aggregate("c", F.array(F.lit(0.0)), lambda acc, x: F.when(x - F.element_at(acc, -1) >= least, F.concat(acc, F.array(x))).otherwise(acc))
-    kept = lists.withColumn("k", keep)
-    short = (F.col(duration) - F.element_at("k", -1) < least) & (F.size("k") > 1)
-    starts = F.when(short, F.slice("k", F.lit(1), F.size("k") - 1)).otherwise(F.col("k"))
-    bounds = kept.select(by, F.concat(starts, F.array(F.col(duration).cast("double"))).alias("b"))
-    spans = bounds.select(by, F.posexplode(F.slice("b", F.lit(1), F.size("b") - 1)).alias("i", "x"), "b").select(by, "x", F.element_at("b", F.col("i") + 2).alias("y"))
+    rows = cuts.select(F.col(by).alias("g"), F.col(duration).cast("double").alias("d"), F.when(inside, F.col(cut).cast("double")).alias("c"))
+
+    def spans_of(key: tuple, series: Iterator[tuple]) -> Iterator[tuple]:
+        g, whole = key
+        if whole is None:
+            return
+        before, at = None, 0.0  # the two last kept cuts
+        for (c,) in series:
+            if c is not None and c > at and c - at >= least:
+                if before is not None:
+                    yield g, before, at
+                before, at = at, c
+        if before is None:
+            yield g, at, whole
+        elif whole - at < least:
+            yield g, before, whole
+        else:
+            yield g, before, at
+            yield g, at, whole
+
+    spans = _each_series(rows, ["g", "d"], ["c"], [], spans_of, StructType([StructField(by, cuts.schema[by].dataType), StructField("x", DoubleType()), StructField("y", DoubleType())]))
     # whole pieces: as many as leave a rest that is not longer than most
     parts = F.greatest(F.lit(0), F.ceil((F.col("y") - F.col("x")) / most - 1)).cast("int")
     cut_up = spans.select(by, "x", "y", parts.alias("n")).select(by, "x", "y", "n", F.explode(F.sequence(F.lit(0), F.col("n"))).alias("i"))
@@ -98,23 +178,30 @@ def word_chunks(words: DataFrame, by: str, order: str, start: str, end: str, tex
 
     Chunks get ``pad`` on both sides and are dropped below ``least``.
     """
-    rows = words.where(F.trim(text) != "").groupBy(by).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(start).cast("double").alias("s"), F.col(end).cast("double").alias("e"), F.col(text).alias("w")))).alias("ws"))
-    kind = "array<struct<s: double, e: double, w: string, open: boolean>>"
-
-    def fold(acc: Column, x: Column) -> Column:
-        last = F.try_element_at(acc, F.lit(-1))
-        going = F.coalesce(last["open"], F.lit(False))
-        s = F.when(going, last["s"]).otherwise(x["s"])
-        w = F.when(going, F.concat(last["w"], x["w"])).otherwise(x["w"])
-        grown = F.struct(s.alias("s"), x["e"].alias("e"), w.alias("w"), (x["e"] - s < flush).alias("open"))
-        return F.concat(F.when(going, F.slice(acc, F.lit(1), F.size(acc) - 1)).otherwise(acc), F.array(grown)).cast(kind)
-
-    folded = rows.select(by, F.aggregate("ws", F.array().cast(kind), fold).alias("c"))
-    tail, before = F.element_at("c", -1), F.try_element_at("c", F.lit(-2))
-    short = F.col("c")[F.size("c") - 1]["open"] & (tail["e"] - tail["s"] < least_tail) & (F.size("c") > 1)
-    joined = F.concat(F.slice("c", F.lit(1), F.size("c") - 2), F.array(F.struct(before["s"].alias("s"), tail["e"].alias("e"), F.concat(before["w"], tail["w"]).alias("w"), F.lit(False).alias("open")))).cast(kind)
-    chunks = folded.select(by, F.explode(F.when(short, joined).otherwise(F.col("c"))).alias("k"))
-    padded = chunks.select(by, F.greatest(F.lit(0.0), F.col("k.s") - pad).alias("start"), (F.col("k.e") + pad).alias("end"), F.trim("k.w").alias("text"))
+    rows = words.where(F.trim(text) != "").select(F.col(by).alias("g"), F.col(order).alias("o"), F.col(start).cast("double").alias("s"), F.col(end).cast("double").alias("e"), F.col(text).alias("w"))
+
+    def lasts(s: float | None, e: float | None, most: float) -> bool:
+        return s is not None and e is not None and e - s < most
+
+    def chunks_of(key: tuple, series: Iterator[tuple]) -> Iterator[tuple]:
+        closed = growing = None  # [start, end, words]
+        for s, e, w in series:
+            if growing is not None and lasts(growing[0], growing[1], flush):
+                growing[1] = e
+                growing[2].append(w)
+                continue
+            if closed is not None:
+                yield *key, closed[0], closed[1], "".join(closed[2])
+            closed, growing = growing, [s, e, [w]]
+        if closed is not None and lasts(growing[0], growing[1], min(flush, least_tail)):
+            closed, growing = None, [closed[0], growing[1], closed[2] + growing[2]]
+        for chunk in (closed, growing):
+            if chunk is not None:
+                yield *key, chunk[0], chunk[1], "".join(chunk[2])
+
+    kinds = {"g": words.schema[by].dataType, "s": DoubleType(), "e": DoubleType(), "w": StringType()}
+    chunks = _each_series(rows, ["g"], ["o", "s", "e", "w"], ["o"], chunks_of, StructType([StructField(c, t) for c, t in kinds.items()]))
+    padded = chunks.select(F.col("g").alias(by), F.greatest(F.lit(0.0), F.col("s") - pad).alias("start"), (F.col("e") + pad).alias("end"), F.trim("w").alias("text"))
     return padded.where(F.col("end") - F.col("start") >= least)
 
 
@@ -123,27 +210,33 @@ def assign_tracks(detections: DataFrame, by: str, frame: str, index: str, x: str
 
     Pairs are taken by distance, then detection, then track, each side once; other detections open
     tracks.  Only the frame before counts, so a track ends where one frame misses it.  Each source
-    is one ordered series; sources are the unit of parallelism.
+    is one ordered series, of which a task holds two frames at a time.  Rows without a frame or a
+    point have no track.
     """
-
-    def follow(pdf: pd.DataFrame) -> pd.DataFrame:
-        out, before, following = [], {}, 0
-        for f, rows in pdf.sort_values([frame, index]).groupby(frame, sort=True):
-            points = list(zip(rows[index].tolist(), rows[x].tolist(), rows[y].tolist()))
-            near = sorted((d, i, t) for i, (_, px, py) in enumerate(points) for t, (qx, qy) in before.items() if (d := math.dist((px, py), (qx, qy))) <= most)
+    known = F.col(frame).isNotNull() & F.col(x).isNotNull() & F.col(y).isNotNull()
+    rows = detections.where(known).select(F.col(by).alias("g"), F.col(frame).alias("f"), F.col(index).alias("i"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+
+    def follow(key: tuple, series: Iterator[tuple]) -> Iterator[tuple]:
+        before: dict[int, tuple[float, float]] = {}
+        following = 0
+        for f, found in itertools.groupby(series, lambda r: r[0]):
+            points = list(found)
+            near = sorted((d, i, t) for i, p in enumerate(points) for t, q in before.items() if (d := math.dist(p[2:], q)) <= most)
             track_of: dict[int, int] = {}
+            taken: set[int] = set()
             for _, i, t in near:
-                if i not in track_of and t not in track_of.values():
+                if i not in track_of and t not in taken:
                     track_of[i] = t
+                    taken.add(t)
             for i in range(len(points)):
                 if i not in track_of:
                     track_of[i], following = following, following + 1
-            before = {track_of[i]: (px, py) for i, (_, px, py) in enumerate(points)}
-            out += [(rows[by].iloc[0], f, n, track_of[i]) for i, (n, _, _) in enumerate(points)]
-        return pd.DataFrame(out, columns=[by, frame, index, "track"])
+            before = {track_of[i]: p[2:] for i, p in enumerate(points)}
+            for i, p in enumerate(points):
+                yield *key, f, p[1], track_of[i]
 
-    kinds = {f.name: f.dataType.simpleString() for f in detections.schema.fields}
-    return detections.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(by, frame, index, x, y).groupBy(by).applyInPandas(follow, f"{by} {kinds[by]}, {frame} {kinds[frame]}, {index} {kinds[index]}, track long")
+    schema = StructType([*(StructField(c, detections.schema[c].dataType) for c in (by, frame, index)), StructField("track", LongType())])
+    return _each_series(rows, ["g"], ["f", F.col("i").asc_nulls_last(), "x", "y"], [], follow, schema)
 
 
 def root_relative(df: DataFrame, by: Sequence[str], x: str, y: str, is_root: Column) -> DataFrame:
