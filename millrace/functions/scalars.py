@@ -17,6 +17,11 @@ def stable_id(text: Column) -> Column:
     return F.replace(F.lower(F.trim(text)), F.lit(" "), F.lit("_"))
 
 
+def safe_token(text: Column) -> Column:
+    """ASCII letters and digits in lower case, every other run as one underscore, none at the ends."""
+    return F.regexp_replace(F.regexp_replace(F.lower(text), "[^a-z0-9]+", "_"), "^_+|_+$", "")
+
+
 def asset_id(modality: Column, stem: Column, sha256: Column) -> Column:
     return F.concat_ws("__", modality, slug(stem), F.substring(sha256, 1, 12))
 
@@ -31,9 +36,13 @@ def token_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"(?U)\b[\w'’-]+\b"))
 
 
+#: Fixed value: a pause marker and its seconds.
+PAUSE = r"\[pause:\s*([0-9]+(?:\.[0-9]+)?)s?\]"
+
+
 def pauses(text: Column) -> Column:
     """Seconds of every ``[pause:x]`` marker, in order."""
-    return F.transform(F.regexp_extract_all(text, F.lit(r"\[pause:\s*([0-9]+(?:\.[0-9]+)?)s?\]"), F.lit(1)), lambda s: s.cast("double"))
+    return F.transform(F.regexp_extract_all(text, F.lit(PAUSE), F.lit(1)), lambda s: s.cast("double"))
 
 
 def without_pauses(text: Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
+from ..functions.scalars import PAUSE
 from .dedup import reliable
 
 
@@ -205,6 +206,41 @@ def word_chunks(words: DataFrame, by: str, order: str, start: str, end: str, tex
     return padded.where(F.col("end") - F.col("start") >= least)
 
 
+def whole_segments(segments: DataFrame, words: DataFrame, by: str, start: str, end: str, text: str, least: float = 0.8, pad: float = 0.05) -> DataFrame:
+    """(by, start, end, text): one chunk for each segment without any word, padded and gated as word chunks are."""
+    spoken = words.where(F.trim(text) != "").select(by).distinct()
+    padded = segments.join(spoken, by, "left_anti").select(by, F.greatest(F.lit(0.0), F.col(start) - pad).alias("start"), (F.col(end) + pad).alias("end"), F.trim(text).alias("text"))
+    return padded.where(F.col("end") - F.col("start") >= least)
+
+
+def drop_quiet(chunks: DataFrame, blocks: DataFrame, by: str, start: str, end: str, at: str, energy: str, least_db: float = -48.0) -> DataFrame:
+    """The chunks with their level in dB, without those below least_db.
+
+    blocks: (by, at, energy), mean squares of equally long stretches that begin at ``at``.  Chunks meet
+    their blocks by whole seconds, so there is no range join.  A chunk without blocks has a null level and stays.
+    """
+    spans = chunks.select(by, start, end).distinct()
+    seconds = spans.withColumn("_second", F.explode(F.sequence(F.floor(start), F.floor(end))))
+    heard = blocks.select(by, F.floor(at).alias("_second"), F.col(at).alias("_at"), F.col(energy).alias("_energy"))
+    inside = seconds.join(heard, [by, "_second"]).where((F.col("_at") >= F.col(start)) & (F.col("_at") < F.col(end)))
+    levels = inside.groupBy(by, start, end).agg((20 * F.log10(F.sqrt(F.avg("_energy") + 1e-12))).alias("level"))
+    return chunks.join(levels, [by, start, end], "left").where(F.coalesce(F.col("level") >= least_db, F.lit(True)))
+
+
+def pause_markers(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
+    """(keys, i, seconds, offset) of every pause marker; offset counts the characters before it.  Keys name one row."""
+    parts = df.select(
+        *keys,
+        F.transform(F.split(text, PAUSE), F.length).alias("gap"),
+        F.transform(F.regexp_extract_all(text, F.lit(PAUSE), F.lit(0)), F.length).alias("width"),
+        F.regexp_extract_all(text, F.lit(PAUSE), F.lit(1)).alias("seconds"),
+    )
+    rows = parts.select(*keys, F.posexplode(F.arrays_zip("gap", "width", "seconds")).alias("i", "m")).select(*keys, "i", "m.*").where("width is not null")
+    before = Window.partitionBy(*keys).orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum(F.col("gap") + F.col("width")).over(before), F.lit(0)) + F.col("gap")
+    return rows.select(*keys, "i", F.col("seconds").cast("double").alias("seconds"), offset.alias("offset"))
+
+
 def assign_tracks(detections: DataFrame, by: str, frame: str, index: str, x: str, y: str, most: float) -> DataFrame:
     """(by, frame, index, track): nearest detections of consecutive frames share a track, at most ``most`` apart.
 

@@ -484,6 +484,38 @@ def word_chunks(spark, sf_dir):
     return ordered.word_chunks(words.withColumn("seg", F.concat_ws("-", "conv_id", F.col("o.turn"))), "seg", "o", "s", "e", "w")
 
 
+_MARK = r"\[pause:\s*([0-9]+(?:\.[0-9]+)?)s?\]"
+
+
+@query(f"""
+with t as (select conv_id, turn, replace(text, 'a ', 'a [pause:1.5s] ') as text from conversations),
+p as (select conv_id, turn, list_transform(regexp_split_to_array(text, '{_MARK}'), lambda x: length(x)) as gaps,
+  list_transform(regexp_extract_all(text, '{_MARK}'), lambda x: length(x)) as widths, regexp_extract_all(text, '{_MARK}', 1) as s from t),
+e as (select *, unnest(range(len(s))) as i from p)
+select conv_id, turn, i, s[i + 1]::double as seconds, list_sum(gaps[1:i + 1]) + coalesce(list_sum(widths[1:i]), 0) as "offset" from e""")
+def pause_offsets(spark, sf_dir):
+    marked = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.replace("text", F.lit("a "), F.lit("a [pause:1.5s] ")).alias("text"))
+    return ordered.pause_markers(marked, ["conv_id", "turn"], "text").select("conv_id", "turn", F.col("i").cast("long").alias("i"), "seconds", F.col("offset").cast("long").alias("offset"))
+
+
+@query("select c_custkey, trim(regexp_replace(lower(c_name || ' / ' || c_mktsegment || '!'), '[^a-z0-9]+', '_', 'g'), '_') as token from customer")
+def safe_tokens(spark, sf_dir):
+    return table(spark, sf_dir, "customer").select("c_custkey", S.safe_token(F.concat("c_name", F.lit(" / "), "c_mktsegment", F.lit("!"))).alias("token"))
+
+
+@query("""
+with b as (select user_id, event_id, epoch(ts) % 86400 as sec, value / 1000000 as energy from events),
+c as (select distinct user_id, floor(sec / 600) * 600 as "start", floor(sec / 600) * 600 + 300 as "end" from b),
+l as (select c.user_id, c."start", c."end", 20 * log10(sqrt(avg(energy) + 1e-12)) as level from c left join b on b.user_id = c.user_id and b.sec >= c."start" and b.sec < c."end" group by 1, 2, 3)
+select user_id, "start", "end", round(level, 4) as level from l where level is null or level >= -48""")
+def quiet_chunks(spark, sf_dir):
+    e = events(spark, sf_dir)
+    blocks = e.select("user_id", (F.col("ts").cast("double") % 86400).alias("at"), (F.col("value") / 1000000).alias("energy"))
+    start = F.floor(F.col("at") / 600) * 600.0
+    chunks = blocks.select("user_id", start.alias("start"), (start + 300).alias("end")).distinct()
+    return ordered.drop_quiet(chunks, blocks, "user_id", "start", "end", "at", "energy").withColumn("level", F.round("level", 4))
+
+
 @query(None)
 def track_assign(spark, sf_dir):
     v = table(spark, sf_dir, "embeddings").select("label", (F.col("vec_id") / 30).cast("int").alias("frame"), "vec_id", F.col("embedding")[0].cast("double").alias("x"), F.col("embedding")[1].cast("double").alias("y"))

@@ -111,8 +111,66 @@ def adapt(df: DataFrame, name: str) -> DataFrame:
 
 @adapter("scenes")
 def _scenes(df: DataFrame) -> DataFrame:
-    """Documents that already hold an array ``scenes``."""
-    return df.select(F.posexplode("scenes").alias("ord", "scene")).select("ord", "scene.*")
+    """Documents that hold an array ``scenes``, or that are scenes themselves and hold ``shots``."""
+    if "scenes" in df.columns:
+        return df.select(F.posexplode("scenes").alias("ord", "scene")).select("ord", "scene.*")
+    if "shots" in df.columns:
+        return df.select(F.lit(0).alias("ord"), *df.columns)
+    raise ValueError(f"neither scenes nor shots among {df.columns}")
+
+
+# Seconds of a shot by its number (1 for others), and the three formations of every shot.
+SHOT_SECONDS = {"01": 10.0, "02": 10.0, "03": 10.0, "04": 7.0, "05": 7.0, "06": 4.0, "07": 12.0}
+FORMATIONS = [
+    ("wide", "wide", "24mm", "action path and environment"),
+    ("medium", "medium", "50mm", "main action"),
+    ("detail", "close", "85mm", "face, hands, prop, or story detail"),
+]
+
+
+@adapter("shot_list")
+def _shot_list(df: DataFrame) -> DataFrame:
+    """Documents with an array ``shot_list``: every shot becomes a scene of one shot in three formations.
+
+    Fields that a document's shots lack take their defaults; a shot without a number takes its place in the list.
+    """
+    if "shot_list" not in df.columns:
+        raise ValueError(f"no shot_list among {df.columns}")
+    shots = df.select(F.posexplode("shot_list").alias("ord", "s"))
+    kind = shots.schema["s"].dataType
+    told = kind["director_level_generation_prompt"].dataType.names if "director_level_generation_prompt" in kind.names else []
+
+    def field(name: str, default: Column | str) -> Column:
+        fallback = default if isinstance(default, Column) else F.lit(default)
+        found = F.col(f"s.{name}") if name in kind.names else F.col(f"s.director_level_generation_prompt.{name}") if name in told else None
+        return fallback if found is None else F.coalesce(found.cast("string"), fallback)
+
+    digits = field("shot_number", (F.col("ord") + 1).cast("string"))
+    number = F.when(F.length(digits) < 2, F.lpad(digits, 2, "0")).otherwise(digits)
+    seconds = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for pair in SHOT_SECONDS.items() for x in pair)), number), F.lit(1.0))
+    camera = field("camera_movement", "Use the source camera direction.")
+    formations = F.array(*(F.struct(F.lit(i).alias("id"), F.lit(framing).alias("framing"), camera.alias("camera"), F.lit(lens).alias("lens"), F.lit(first).alias("subject_priority")) for i, framing, lens, first in FORMATIONS))
+    none = F.array().cast("array<string>")
+    shot = F.struct(
+        F.concat(F.lit("shot_"), number).alias("id"),
+        seconds.alias("duration_seconds"),
+        none.alias("cast"),
+        none.alias("active_concepts"),
+        field("action", field("story_milestone", "")).alias("action"),
+        F.array(field("primary_audio_engine", "")).alias("audio"),
+        F.array(field("lighting", "")).alias("continuity"),
+        none.alias("negative"),
+        formations.alias("formations"),
+    )
+    return shots.select(
+        "ord",
+        F.concat(F.lit("scene_"), number).alias("id"),
+        field("title", F.concat(F.lit("Scene "), number)).alias("title"),
+        F.concat(F.lit("environment_"), number).alias("environment_id"),
+        F.array(field("context", "")).alias("continuity"),
+        field("timestamp_range", "").alias("source_timestamp_range"),
+        F.array(shot).alias("shots"),
+    )
 
 
 def first_seen(*sources: DataFrame, key: str = "path") -> DataFrame:

@@ -78,3 +78,19 @@ def test_long_chain_of_dependencies(spark):
     edges = spark.range(20).select(F.col("id").alias("parent"), (F.col("id") + 1).alias("child"))
     got = graph.reachable(edges, spark.createDataFrame([(3,)], "node long"), "parent", "child")
     assert sorted(r.node for r in got.collect()) == list(range(3, 21))
+
+
+def test_pause_markers(spark):
+    df = spark.createDataFrame([(1, "[pause:2s]a [pause: 1.5] b"), (2, "none"), (3, None), (4, "x[pause:z]")], "id int, text string")
+    got = sorted(map(tuple, ordered.pause_markers(df, ["id"], "text").collect()))
+    assert got == [(1, 0, 2.0, 0), (1, 1, 1.5, 12)]
+
+
+def test_quiet_chunks_go_and_silent_segments_stay_whole(spark):
+    chunks = spark.createDataFrame([("a", 0.2, 2.0, "loud"), ("a", 3.0, 4.0, "quiet"), ("b", 0.0, 1.0, "unheard")], "g string, start double, end double, text string")
+    blocks = spark.createDataFrame([("a", t / 10, 1.0 if t < 20 else 1e-9) for t in range(50)], "g string, at double, energy double")
+    got = {r.text: r.level for r in ordered.drop_quiet(chunks, blocks, "g", "start", "end", "at", "energy").collect()}
+    assert got.keys() == {"loud", "unheard"} and got["unheard"] is None and abs(got["loud"]) < 1e-6
+    segments = spark.createDataFrame([("s", 0.0, 2.0, " x "), ("t", 1.0, 3.0, " y "), ("u", 1.0, 1.2, "z")], "g string, s double, e double, w string")
+    words = spark.createDataFrame([("s", 0.0, 1.0, " x"), ("t", 1.0, 2.0, " ")], "g string, s double, e double, w string")
+    assert [tuple(r) for r in ordered.whole_segments(segments, words, "g", "s", "e", "w").collect()] == [("t", 0.95, 3.05, "y")]

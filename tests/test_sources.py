@@ -88,6 +88,22 @@ def test_variables_and_adapters(spark):
     assert files.adapt(df, "scenes").first().id == "s1"
     with pytest.raises(KeyError):
         files.adapt(df, "nothing")
+
+
+def test_shot_list_adapter(spark):
+    kind = "shot_list array<struct<shot_number: int, title: string, story_milestone: string, director_level_generation_prompt: struct<camera_movement: string, context: string>>>"
+    df = spark.createDataFrame([([(4, None, "falls", ("pan", "dusk")), (None, "End", None, None)],)], kind)
+    a, b = files.adapt(df, "shot_list").orderBy("ord").collect()
+    assert (a.id, a.title, a.environment_id, a.continuity, a.source_timestamp_range) == ("scene_04", "Scene 04", "environment_04", ["dusk"], "")
+    shot = a.shots[0]
+    assert (shot.id, shot.duration_seconds, shot.action, shot.audio, shot.cast) == ("shot_04", 7.0, "falls", [""], [])
+    assert [(f.id, f.camera, f.lens) for f in shot.formations] == [("wide", "pan", "24mm"), ("medium", "pan", "50mm"), ("detail", "pan", "85mm")]
+    assert (b.id, b.title, b.shots[0].duration_seconds, b.shots[0].formations[0].camera) == ("scene_02", "End", 10.0, "Use the source camera direction.")
+    alone = spark.createDataFrame([("s", ["x"])], "id string, shots array<string>")
+    assert files.adapt(alone, "scenes").first().id == "s"
+    for name in ("scenes", "shot_list"):
+        with pytest.raises(ValueError):
+            files.adapt(spark.range(1), name)
     a, b = spark.createDataFrame([("p", 1)], "path string, v int"), spark.createDataFrame([("p", 2), ("q", 3)], "path string, v int")
     assert sorted((r.path, r.v) for r in files.first_seen(a, b).collect()) == [("p", 1), ("q", 3)]
 
