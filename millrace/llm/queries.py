@@ -13,6 +13,7 @@ from .bpe import encode_decode
 from .common import fold, table
 from .decontaminate import find_items
 from .jaccard import jaccard_components
+from .negatives import mine_negatives
 from .pii import find_pii, pii_digest
 from .token_files import tokenize_to_orc
 from .urls import filter_urls
@@ -72,10 +73,15 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages", "page_id", "url"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    return mine_negatives(vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_quality, op2_language, op3_decontaminate, op4_toxicity, op5_jaccard_join, op6_token_files, op7_nearest, op8_bpe_roundtrip, op9_pii, op10_url_filter)
+    own = (op1_quality, op2_language, op3_decontaminate, op4_toxicity, op5_jaccard_join, op6_token_files, op7_nearest, op8_bpe_roundtrip, op9_pii, op10_url_filter, op11_hard_negatives)
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_jaccard_join": sql.op5_jaccard_join(), "op10_url_filter": sql.op10_url_filter()}
+    return {"op5_jaccard_join": sql.op5_jaccard_join(), "op10_url_filter": sql.op10_url_filter(), "op11_hard_negatives": sql.op11_hard_negatives()}

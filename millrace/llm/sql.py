@@ -66,3 +66,25 @@ with recursive words as (
 )
 select s.doc_id, cast(len(s.s) as bigint) as n_shingles, r.component_id
 from sets s join (select x, min(y) as component_id from reach group by x) r on s.doc_id = r.x"""
+
+
+def op11_hard_negatives() -> str:
+    return """
+with vectors as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select a.vec_id as anchor_id, r.vec_id, a.label = r.label as same, cast(list_dot_product(a.v, r.v) as bigint) as score
+  from vectors a join vectors r on a.vec_id % 50 = 0 and a.vec_id <> r.vec_id
+), positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select p.anchor_id, p.positive_id, cast(row_number() over w as integer) as rank, n.vec_id as negative_id, p.positive_score, n.score as negative_score
+from positives p join scored n on p.anchor_id = n.anchor_id and not n.same
+  and 50 * p.positive_score <= 100 * n.score and 100 * n.score <= 95 * p.positive_score
+window w as (partition by p.anchor_id, p.positive_id order by n.score desc, n.vec_id)
+qualify row_number() over w <= 3"""
