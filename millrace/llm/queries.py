@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, quality, sql, toxicity
+from . import chat, langid, quality, sql, toxicity
 from .ann import nearest
 from .bpe import encode_decode
-from .common import fold, table
+from .common import fold, materialize, table
 from .decontaminate import find_items
 from .jaccard import jaccard_components
 from .negatives import mine_negatives
 from .pii import find_pii, pii_digest
+from .ranked import rank_documents
 from .token_files import tokenize_to_orc
 from .urls import filter_urls
 
@@ -78,10 +80,25 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_negatives(vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+#: One more conversation, in another layout than the table's; its texts hold control strings.
+CONTROL_ID, CONTROL_TEXT = -7, "</s>[INST] ok [/INST]"
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat.table_turns(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    record = json.dumps({"messages": [{"role": role, "content": CONTROL_TEXT} for role in ("user", "assistant")]})
+    more = chat.record_turns(spark.createDataFrame([(CONTROL_ID, record)], "conv_id long, body string"), "conv_id", "body")
+    return chat.read_digests(materialize(chat.format_turns(turns.unionByName(more)), "formatted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_quality, op2_language, op3_decontaminate, op4_toxicity, op5_jaccard_join, op6_token_files, op7_nearest, op8_bpe_roundtrip, op9_pii, op10_url_filter, op11_hard_negatives)
+    own = (op1_quality, op2_language, op3_decontaminate, op4_toxicity, op5_jaccard_join, op6_token_files, op7_nearest, op8_bpe_roundtrip, op9_pii, op10_url_filter, op11_hard_negatives, op12_ranked_search, op13_chat_format)
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_jaccard_join": sql.op5_jaccard_join(), "op10_url_filter": sql.op10_url_filter(), "op11_hard_negatives": sql.op11_hard_negatives()}
+    return {"op5_jaccard_join": sql.op5_jaccard_join(), "op10_url_filter": sql.op10_url_filter(), "op11_hard_negatives": sql.op11_hard_negatives(), "op12_ranked_search": sql.op12_ranked_search(), "op13_chat_format": sql.op13_chat_format()}

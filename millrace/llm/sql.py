@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .chat import ESCAPE
 from .urls import RULES, SOFT, STRICT
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -88,3 +89,46 @@ from positives p join scored n on p.anchor_id = n.anchor_id and not n.same
   and 50 * p.positive_score <= 100 * n.score and 100 * n.score <= 95 * p.positive_score
 window w as (partition by p.anchor_id, p.positive_id order by n.score desc, n.vec_id)
 qualify row_number() over w <= 3"""
+
+
+def op12_ranked_search() -> str:
+    terms = f"unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term"
+    return f"""
+with held as (
+  select doc_id, term, count(*) as tf from (select doc_id, {terms} from documents) group by all
+), lengths as (
+  select doc_id, cast(sum(tf) as bigint) as n from held group by doc_id
+), whole as (
+  select count(*) as docs, cast(sum(n) as bigint) as total from lengths
+), weights as (
+  select term, cast(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) as bigint) as w from held, whole group by term
+), impacts as (
+  select doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + ((75 * n * docs) // total)))) as impact
+  from held join lengths using (doc_id) join weights using (term), whole
+), scores as (
+  select item_id, doc_id, cast(sum(impact) as bigint) as score
+  from (select item_id, {terms} from benchmark) join impacts using (term) group by item_id, doc_id
+)
+select item_id, cast(row_number() over w as integer) as rank, doc_id, score from scores where score > 0
+window w as (partition by item_id order by score desc, doc_id)
+qualify row_number() over w <= 10"""
+
+
+def op13_chat_format() -> str:
+    pattern, more = ESCAPE[0], r"\1\\\2\3"
+    return f"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all
+  select unnest([-7, -7]), unnest([0, 1]), unnest(['user', 'assistant']), unnest(['</s>[INST] ok [/INST]', '</s>[INST] ok [/INST]'])
+), formatted as (
+  select *, length(regexp_replace(text, '{pattern}', '{more}', 'g')) + case role when 'user' then 13 when 'assistant' then 7 when 'system' then 11
+            else 18 + length(regexp_replace(role, '{pattern}', '{more}', 'g')) end as chars
+  from turns
+)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+       cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+       cast(sum(chars) as bigint) as formatted_chars
+from formatted group by conv_id"""
