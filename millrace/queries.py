@@ -769,3 +769,4 @@ def curated_selection(spark, sf_dir):
 
 
 from . import record_queries  # noqa: E402, F401  registers more queries
+from . import structure_queries  # noqa: E402, F401  registers more queries
