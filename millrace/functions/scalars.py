@@ -133,13 +133,6 @@ def canonical(text: Column, ladder: Sequence[tuple[str, str]], default: str) ->
     return out
 
 
-def fenced_json(text: Column) -> Column:
-    """The body of a fenced block if there is one, else the text from its first brace to its last."""
-    fence = F.regexp_extract(text, r"(?s)```(?:json)?\s*(\{.*?\})\s*```", 1)
-    bare = F.regexp_extract(text, r"(?s)(\{.*\})", 1)
-    return F.when(fence != "", fence).when(bare != "", bare)
-
-
 def json_errors(doc: Column, fields: Mapping[str, str]) -> Column:
     """Reasons against a JSON text: unreadable, or fields that are missing or of another type.
 

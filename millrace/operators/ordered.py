@@ -36,12 +36,15 @@ def proportional_map(df: DataFrame, by: str, order: Sequence[str], duration: str
 
 
 def fill_gaps(df: DataFrame, by: str, index: str, value: str, out: str = "filled") -> DataFrame:
-    """Null values interpolated along index between their neighbours; the nearest value at the ends."""
-    order = Window.partitionBy(by).orderBy(index)
-    back, ahead = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(0, Window.unboundedFollowing)
-    seen = F.when(F.col(value).isNotNull(), F.col(index))
-    i0, v0 = F.last(seen, True).over(back), F.last(value, True).over(back)
-    i1, v1 = F.first(seen, True).over(ahead), F.first(value, True).over(ahead)
+    """Null values interpolated along index between their neighbours; the nearest value at the ends.
+
+    What follows is the last value seen in descending order, so both windows only ever grow: time is linear.
+    """
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    back, ahead = (Window.partitionBy(by).orderBy(o).rowsBetween(*upto) for o in (F.asc(index), F.desc(index)))
+    seen = F.when(F.col(value).isNotNull(), F.struct(F.col(index).alias("i"), F.col(value).alias("v")))
+    before, after = F.last(seen, True).over(back), F.last(seen, True).over(ahead)
+    i0, v0, i1, v1 = before["i"], before["v"], after["i"], after["v"]
     between = v0 + (F.col(index) - i0) * (v1 - v0) / (i1 - i0)
     return df.withColumn(out, F.when(F.col(value).isNotNull(), F.col(value)).when(i0.isNull(), v1).when(i1.isNull(), v0).otherwise(between))
 
@@ -49,15 +52,16 @@ def fill_gaps(df: DataFrame, by: str, index: str, value: str, out: str = "filled
 def interpolate_at(keyframes: DataFrame, times: DataFrame, by: str, at: str, value: str, time: str) -> DataFrame:
     """Values at arbitrary times, linear between keyframes and constant outside; the earlier segment wins at a keyframe.
 
-    As-of through one window over keyframes and times together: no range join.
+    As-of through two growing windows over keyframes and times together: no range join, linear time.
     """
     marks = keyframes.select(by, F.col(at).alias("t"), F.col(value).alias("v"), F.lit(True).alias("mark"))
     asked = times.select(by, F.col(time).alias("t"), F.lit(None).cast("double").alias("v"), F.lit(False).alias("mark"))
-    order = Window.partitionBy(by).orderBy("t", F.col("mark").desc())
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    ahead = order.rowsBetween(1, Window.unboundedFollowing)
+    # only times are answered, so a row's own keyframe never counts and frames may end at it; descending, marks of a time come after it
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(by).orderBy("t", F.desc("mark")).rowsBetween(*upto)
+    ahead = Window.partitionBy(by).orderBy(F.desc("t"), "mark").rowsBetween(*upto)
     point = F.when(F.col("mark"), F.struct("t", "v"))
-    both = marks.unionByName(asked).withColumn("a", F.last(point, True).over(before)).withColumn("b", F.first(point, True).over(ahead))
+    both = marks.unionByName(asked).withColumn("a", F.last(point, True).over(before)).withColumn("b", F.last(point, True).over(ahead))
     lerp = F.col("a.v") + (F.col("t") - F.col("a.t")) / (F.col("b.t") - F.col("a.t")) * (F.col("b.v") - F.col("a.v"))
     return both.where("not mark").select(by, F.col("t").alias(time), F.coalesce(F.when(F.col("a.t") == F.col("t"), F.col("a.v")), lerp, F.col("a.v"), F.col("b.v")).alias(value))
 

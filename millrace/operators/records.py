@@ -17,29 +17,67 @@ from .gates import first_match, reasons
 # -- reading of model answers ------------------------------------------------------------------------
 
 
-def _objects(text: str) -> Iterator[tuple[dict, str]]:
-    """Every JSON object that starts at a brace of the text, with its own text."""
-    decoder, at = json.JSONDecoder(), text.find("{")
+#: Parts of JSON that decide where an object ends: whole strings and brackets.
+_PARTS = re.compile(r'"(?:[^"\\]|\\.)*"|[][{}]', re.S)
+
+
+def _match_brackets(text: str, start: int, ends: dict[int, int | None]) -> None:
+    """Enters where the objects open that are met from a brace on close, or None for those that never do."""
+    open_: list[tuple[str, int]] = []
+    for part in _PARTS.finditer(text, start):
+        if part[0] in "{[":
+            open_.append((part[0], part.start()))
+        elif part[0] in "}]":
+            kind, at = open_.pop()
+            if kind + part[0] not in ("{}", "[]"):
+                open_.append((kind, at))
+                break
+            ends[at] = part.end()
+            if not open_:
+                return
+    for _, at in open_:
+        ends[at] = None
+
+
+def balanced_objects(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of every balanced object of a text, in order; brackets are matched once per reading of its quotes."""
+    ends: dict[int, int | None] = {}
+    at = text.find("{")
     while at >= 0:
-        try:
-            value, end = decoder.raw_decode(text, at)
-            yield value, text[at:end]
-        except ValueError:
-            pass
+        if at not in ends:
+            _match_brackets(text, at, ends)
+        if (end := ends[at]) is not None:
+            yield at, end
         at = text.find("{", at + 1)
 
 
+def _parsed(text: str, start: int = 0) -> tuple[object, int] | None:
+    """The JSON value at a place of a text and where it ends; None if there is none or it is nested too deeply."""
+    try:
+        return json.JSONDecoder().raw_decode(text, start)
+    except (ValueError, RecursionError):
+        return None
+
+
 def json_answer(text: str | None, required: Sequence[str] = ()) -> str | None:
-    """The JSON of a model's answer: the text, or its fenced block, where that is JSON; else the first object in it with all required fields."""
+    """The JSON of a model's answer: the text, or its fenced block, where that is JSON; else the first object in it with all required fields.
+
+    Objects nested too deeply to be read count as none.
+    """
     if text is None:
         return None
-    fence = re.match(r"```(?:json)?\s*(.*?)\s*```\Z", text.strip(), re.S | re.I)
-    body = fence.group(1) if fence else text.strip()
-    try:
-        json.loads(body)
+    body = text.strip()
+    if len(body) >= 6 and body.startswith("```") and body.endswith("```"):
+        body = body[3:-3]
+        body = (body[4:] if body[:4].lower() == "json" else body).strip()
+    whole = _parsed(body)
+    if whole is not None and not body[whole[1] :].strip():
         return body
-    except ValueError:
-        return next((own for value, own in _objects(body) if set(required) <= value.keys()), None)
+    for start, end in balanced_objects(body):
+        found = _parsed(body, start)
+        if found is not None and found[1] == end and set(required) <= found[0].keys():
+            return body[start:end]
+    return None
 
 
 def json_answers(text: Column, required: Sequence[str] = ()) -> Column:
@@ -57,6 +95,7 @@ def json_answers(text: Column, required: Sequence[str] = ()) -> Column:
 
 def stage_of(job: Column, phase: Column, priority: Column, seconds: Column, phases: Mapping[str, str]) -> Column:
     """A job's stage: by its phase where the map knows it, else by its id, priority and length."""
+    # fixed values: names of stages, phases and priorities, and the prefixes of ids
     named = F.try_element_at(F.create_map(*(F.lit(x) for pair in phases.items() for x in pair)), phase) if phases else F.lit(None).cast("string")
     on = lambda c: F.coalesce(c, F.lit(False))
     short, long = on((seconds == 3) | (phase == "motion_proofs")), on((seconds == 5) | (phase == "extended_clips"))
@@ -71,6 +110,7 @@ def stage_of(job: Column, phase: Column, priority: Column, seconds: Column, phas
 
 def is_required(stage: Column, priority: Column, number: Column) -> Column:
     """Storyboards and expansions are optional; so are character sheets after the second candidate without a first review."""
+    # fixed values: names of stages and priorities
     sheet = F.when(priority == "expansion", False).when(priority == "first_review", True).otherwise(F.coalesce(number <= 2, F.lit(True)))
     return F.when(stage == "character_sheets", sheet).otherwise(stage != "storyboards")
 

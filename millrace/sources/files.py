@@ -251,7 +251,7 @@ def ply_header(data: bytes) -> tuple[int, list[str]] | None:
         words = line.split()
         if words[:1] == ["element"] and len(words) == 3:
             inside = words[1] == "vertex"
-            if inside and not words[2].isdecimal():
+            if inside and not (words[2].isdecimal() and len(words[2]) <= 18):  # a long
                 return None
             count = int(words[2]) if inside else count
         elif words[:1] == ["property"] and inside:
@@ -259,6 +259,10 @@ def ply_header(data: bytes) -> tuple[int, list[str]] | None:
     return count, properties
 
 
+def _is_shape(shape: object) -> bool:
+    return isinstance(shape, list) and all(type(n) is int and 0 <= n < 1 << 63 for n in shape)
+
+
 def tensor_shapes(data: bytes) -> list[tuple[str, list[int]]] | None:
     """Names and shapes of the tensors of a safetensors file."""
     if len(data) < 8:
@@ -266,10 +270,10 @@ def tensor_shapes(data: bytes) -> list[tuple[str, list[int]]] | None:
     size = struct.unpack("<Q", data[:8])[0]
     try:
         header = json.loads(data[8 : 8 + size])
-    except ValueError:
+    except (ValueError, RecursionError):
         return None
     tensors = {k: v for k, v in header.items() if k != "__metadata__"} if isinstance(header, dict) else None
-    if tensors is None or not all(isinstance(v, dict) and isinstance(v.get("shape"), list) for v in tensors.values()):
+    if tensors is None or not all(isinstance(v, dict) and _is_shape(v.get("shape")) for v in tensors.values()):
         return None
     return [(k, tensors[k]["shape"]) for k in sorted(tensors)]
 
@@ -282,12 +286,14 @@ def web_resources(data: bytes) -> list[dict] | None:
         return None
     while waiting:
         doc = waiting.pop(0)
-        if not isinstance(doc, dict):
+        parts, frames = (doc.get(k, []) for k in ("WebSubresources", "WebSubframeArchives")) if isinstance(doc, dict) else (None, None)
+        if not isinstance(parts, list) or not isinstance(frames, list):
             return None
-        for r in [doc.get("WebMainResource"), *doc.get("WebSubresources", [])]:
+        for r in [doc.get("WebMainResource"), *parts]:
             if isinstance(r, dict):
-                out.append({"url": r.get("WebResourceURL"), "mime": r.get("WebResourceMIMEType"), "content": r.get("WebResourceData")})
-        waiting += doc.get("WebSubframeArchives", [])
+                kinds = {"url": ("WebResourceURL", str), "mime": ("WebResourceMIMEType", str), "content": ("WebResourceData", bytes)}
+                out.append({name: r[key] if isinstance(r.get(key), kind) else None for name, (key, kind) in kinds.items()})
+        waiting += frames
     return out
 
 

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from millrace.functions import scalars as S
-from millrace.operators import dedup, gates, graph, joins, ordered, review, select
+from millrace.operators import dedup, gates, graph, joins, ordered, records, review, select
 from millrace.plans import planning, status
 
 
@@ -375,7 +375,7 @@ def test_scalars(spark):
 
 def test_json(spark):
     fenced = "Sure:\n```json\n{\"a\": 1}\n```"
-    assert one(spark, S.fenced_json(F.lit(fenced))) == '{"a": 1}'
+    assert one(spark, records.json_answers(F.lit(fenced))) == '{"a": 1}'
     fields = {"a": "number", "s": "string", "l": "array", "o": "object", "b": "boolean"}
     good = '{"a": 1.5, "s": "x", "l": [1], "o": {"y": 1}, "b": true}'
     assert one(spark, S.json_errors(F.lit(good), fields)) == []

@@ -94,3 +94,14 @@ def test_quiet_chunks_go_and_silent_segments_stay_whole(spark):
     segments = spark.createDataFrame([("s", 0.0, 2.0, " x "), ("t", 1.0, 3.0, " y "), ("u", 1.0, 1.2, "z")], "g string, s double, e double, w string")
     words = spark.createDataFrame([("s", 0.0, 1.0, " x"), ("t", 1.0, 2.0, " ")], "g string, s double, e double, w string")
     assert [tuple(r) for r in ordered.whole_segments(segments, words, "g", "s", "e", "w").collect()] == [("t", 0.95, 3.05, "y")]
+
+
+def test_gaps_and_keyframes_of_a_long_series(spark):
+    n, began = 200_000, time.perf_counter()
+    rows = spark.range(n).select(F.lit(0).alias("g"), F.col("id").alias("i"), F.when(F.col("id") % 1000 == 500, F.col("id") * 2.0).alias("v"))
+    got = ordered.fill_gaps(rows, "g", "i", "v").agg(F.max(F.abs(F.col("filled") - F.greatest(F.lit(1000.0), F.least(F.lit(2.0 * (n - 500)), F.col("i") * 2.0)))), F.count("filled")).first()
+    assert got[0] < 1e-6 and got[1] == n
+    at = ordered.interpolate_at(rows.where("v is not null"), rows.select("g", "i"), "g", "i", "v", "i")
+    got = at.agg(F.max(F.abs(F.col("v") - F.greatest(F.lit(1000.0), F.least(F.lit(2.0 * (n - 500)), F.col("i") * 2.0)))), F.count("v")).first()
+    assert got[0] < 1e-6 and got[1] == n
+    assert time.perf_counter() - began < 60  # a frame walked anew for every row takes hours

@@ -17,6 +17,11 @@ def test_json_answers():
     assert read('noise {x} {"a":1} tail {y}', ["a"]) == '{"a":1}'
     assert read('{"b":1} then {"a":{"b":2}}', ["a"]) == '{"a":{"b":2}}'
     assert read('```json\n{"a": 1}\n```') == '{"a": 1}' and read("[1, 2]") == "[1, 2]"
+    assert read("```{}```") == "{}" and read("~~~ ```JSON {\"a\":2}```", ["a"]) == '{"a":2}' and read("```json\nno\n```") is None
+    assert read('{ "} {"a": "}"} x', ["a"]) == '{"a": "}"}' and read('say "hi" {[}] {"a":[{}]} {"a":2}', ["a"]) == '{"a":[{}]}'
+    for deep in ("[" * 100_000, "{" * 100_000, '{"a":' * 50_000 + "1" + "}" * 50_000, "[" * 100_000 + "]" * 100_000, '"{' * 50_000):
+        assert read(deep, ["b"]) is None
+    assert read("[" * 100_000 + ' {"a": 1}', ["a"]) == '{"a": 1}'
     assert read('{"a": {"b": 1', ["a"]) is None and read('{"a": {"b": 1}', ["a"]) is None and read(None) is None and read("") is None
 
 
@@ -46,8 +51,14 @@ def test_small_labels(spark):
 
 def test_malformed_files_are_null():
     assert files.web_resources(plistlib.dumps([1])) is None and files.web_resources(plistlib.dumps({"WebMainResource": "x"})) == []
-    assert files.ply_header(b"ply\nelement vertex x\nend_header") is None
-    for header in ({"a": 1}, [1], {"a": {"shape": 3}}):
+    for key in ("WebSubresources", "WebSubframeArchives"):
+        assert files.web_resources(plistlib.dumps({key: 3})) is None
+    assert files.web_resources(plistlib.dumps({"WebMainResource": {"WebResourceURL": 1, "WebResourceData": "x"}})) == [{"url": None, "mime": None, "content": None}]
+    for count in (b"x", b"9" * 5000, str(2**70).encode()):
+        assert files.ply_header(b"ply\nelement vertex " + count + b"\nend_header") is None
+    deep = b'{"a":' * 100_000
+    assert files.tensor_shapes(struct.pack("<Q", len(deep)) + deep) is None
+    for header in ({"a": 1}, [1], {"a": {"shape": 3}}, {"a": {"shape": ["x"]}}, {"a": {"shape": [2**70]}}, {"a": {"shape": [True]}}):
         body = json.dumps(header).encode()
         assert files.tensor_shapes(struct.pack("<Q", len(body)) + body) is None
 
