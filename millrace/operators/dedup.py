@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import functools
 import itertools
+import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -102,19 +103,34 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             return labels.where("node <> root")
 
 
-def reliable(df: DataFrame) -> DataFrame:
-    """Checkpoint in the cluster's shared folder; where none is set, a temporary folder in local mode and an error on a cluster."""
+def shared_dir(spark: SparkSession) -> str:
+    """The cluster's shared folder, of spark.checkpoint.dir; where none is set, a temporary folder in local mode and an error on a cluster."""
     import tempfile
 
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        found = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not found and not sc.master.startswith("local"):
+    sc = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not found:
+        if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        sc.setCheckpointDir(found or tempfile.mkdtemp(prefix="millrace-"))
+        found = tempfile.mkdtemp(prefix="millrace-")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(found)
+    return found.rstrip("/")
+
+
+def reliable(df: DataFrame) -> DataFrame:
+    """Checkpoint in the cluster's shared folder."""
+    shared_dir(df.sparkSession)
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Written once as Parquet in the shared folder and read back: for rows whose making has effects."""
+    path = f"{shared_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def simhash64(text: Column, words: int = 2) -> Column:
     """64-bit similarity hash of a text's word shingles: bit i is the majority of bit i over the shingles."""
     tokens = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")

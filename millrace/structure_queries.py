@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .functions import json_schema, nested
+from .operators.dedup import shared_dir
 from .queries import query
+from .sources import blobs, headers
 from .sources.tables import table
 
 # -- nested values -----------------------------------------------------------------------------------
@@ -74,3 +78,68 @@ def rewritten_roots(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", F.struct(F.array(F.struct(F.replace("url", F.lit("://"), F.lit(":/")).alias("/build"))).alias("urls"), F.create_map(F.lit("https:"), F.lit("https:"), F.lit("k"), F.lit("/build-x/a"), F.lit("o"), F.lit("/build/a/b")).alias("more")).alias("doc"))
     out = nested.rewrite_roots(pages, ["doc"], {"http:": "/plain", "https:": "/secure"}, "provenance", "/build")
     return out.select("page_id", F.col("doc.urls")[0]["/build"].alias("url"), F.col("doc.more")["https:"].alias("root"), F.col("doc.more")["k"].alias("kept"), F.col("doc.more")["o"].alias("other"))
+
+# -- files ------------------------------------------------------------------------------------------------
+
+
+def _folder(spark) -> str:
+    """A new folder that all executors share."""
+    return f"{shared_dir(spark)}/files-{uuid.uuid4().hex}"
+
+
+def _big(number, digits=8):
+    return F.unhex(F.lpad(F.hex(number), digits, "0"))
+
+
+def _little(number, digits=8):
+    return F.unhex(F.concat(*(F.substring(F.lpad(F.hex(number), digits, "0"), i, 2) for i in range(digits - 1, 0, -2))))
+
+
+def _headers(spark, rows, key, kind):
+    """What the header source reads of files that hold the contents of rows (key, content)."""
+    root = _folder(spark)
+    written = blobs.write_blobs(rows.select(F.concat(F.lit(root + "/"), F.col(key).cast("string"), F.lit(".bin")).alias("target"), "content"))
+    blobs.require_copied(written)
+    spark.dataSource.register(headers.HeaderSource)
+    found = spark.read.format("file_headers").option("kind", kind).option("glob", "*.bin").load(root)
+    return found.withColumn(key, F.regexp_extract("path", r"([0-9]+)\.bin$", 1).cast("long"))
+
+
+@query("""
+select s_suppkey, case when s_nationkey <> 7 then s_suppkey % 5000 + 1 end as width, case when s_nationkey <> 7 then s_nationkey + 1 end as height,
+  24 + 10 * length(s_name) * s_nationkey as bytes from supplier""")
+def image_headers(spark, sf_dir):
+    """Pictures of growing length, some without a right signature; no more than one block is read of any."""
+    s = table(spark, sf_dir, "supplier")
+    mark = F.when(F.col("s_nationkey") == 7, F.unhex(F.lit("89504E470D0A1A0B"))).otherwise(F.unhex(F.lit("89504E470D0A1A0A")))
+    content = F.concat(mark, F.unhex(F.lit("0000000D49484452")), _big(F.col("s_suppkey") % 5000 + 1), _big(F.col("s_nationkey") + 1), F.encode(F.repeat("s_name", F.col("s_nationkey") * 10), "UTF-8"))
+    found = _headers(spark, s.select("s_suppkey", content.alias("content")), "s_suppkey", "image")
+    return found.select("s_suppkey", F.when(F.col("bytes_read") <= headers.BLOCK, F.col("width")).alias("width"), "height", "bytes")
+
+
+@query("""
+select s_suppkey, s_nationkey % 2 + 1 as channels, 8000 + s_suppkey % 1000 as rate, (1000 * (s_nationkey + 1)) / ((8000 + s_suppkey % 1000) * 2.0 * (s_nationkey % 2 + 1)) as seconds from supplier""")
+def audio_headers(spark, sf_dir):
+    s = table(spark, sf_dir, "supplier")
+    channels, rate, size = (F.col("s_nationkey") % 2 + 1).cast("long"), 8000 + F.col("s_suppkey") % 1000, (F.col("s_nationkey").cast("long") + 1) * 1000
+    text = lambda t: F.encode(F.lit(t), "UTF-8")
+    fmt = F.concat(text("fmt "), _little(F.lit(16)), _little(F.lit(1), 4), _little(channels, 4), _little(rate), _little(rate * channels * 2), _little(channels * 2, 4), _little(F.lit(16), 4))
+    content = F.concat(text("RIFF"), _little(size + 44), text("WAVELIST"), _little(F.lit(3)), text("abc\0"), fmt, text("data"), _little(size), F.unhex(F.repeat(F.lit("00"), size.cast("int"))))
+    found = _headers(spark, s.select("s_suppkey", content.alias("content")), "s_suppkey", "wav")
+    return found.select("s_suppkey", "channels", "rate", "seconds")
+
+
+@query("""
+with s as (select s_suppkey, case when s_nationkey = 3 then 'missing' when s_nationkey = 4 then 'ambiguous' when s_acctbal < 0 then 'changed' when s_nationkey = 5 then 'differs' else 'written' end as state from supplier)
+select s_suppkey, 1 as run, state from s union all select s_suppkey, 2, case state when 'written' then 'identical' else state end from s""")
+def copied_files(spark, sf_dir):
+    """Two runs of one plan of verified copies."""
+    s, root = table(spark, sf_dir, "supplier"), _folder(spark)
+    place = lambda folder, name: F.concat(F.lit(f"{root}/{folder}/"), name)
+    key = F.col("s_suppkey").cast("string")
+    blobs.require_copied(blobs.write_blobs(s.where("s_nationkey <> 3").select(place("from", key).alias("target"), F.encode("s_name", "UTF-8").alias("content"))))
+    blobs.require_copied(blobs.write_blobs(s.where("s_nationkey = 5").select(place("to", key).alias("target"), F.encode(F.lit("other"), "UTF-8").alias("content"))))
+    twin = F.when(F.col("s_nationkey") == 4, F.lit("one")).otherwise(key)
+    plan = s.select("s_suppkey", place("from", key).alias("source"), place("to", twin).alias("target"), F.sha2(F.when(F.col("s_acctbal") < 0, "x").otherwise(F.col("s_name")), 256).alias("expected"))
+    runs = [blobs.copy_files(plan).select("source", F.lit(i).alias("run"), "state") for i in (1, 2)]
+    return runs[0].unionByName(runs[1]).join(plan.select("source", "s_suppkey"), "source").select("s_suppkey", "run", "state")
