@@ -14,6 +14,7 @@ from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, St
 
 from ..functions.scalars import PAUSE
 from .dedup import reliable
+from .restarts import restarts
 
 
 def timeline(df: DataFrame, by: str | Sequence[str], order: Sequence[str], duration: str, start: str = "start_seconds", end: str = "end_seconds") -> DataFrame:
@@ -145,31 +146,24 @@ def ema(df: DataFrame, by: str, order: str, value: str, alpha: float = 0.35, usa
 def scene_segments(cuts: DataFrame, by: str, cut: str, duration: str, least: float, most: float) -> DataFrame:
     """(by, start, end): scenes between cuts that lie at least ``least`` apart, none longer than ``most``.
 
-    A cut too near the last kept one is dropped, and so is the last kept one if too little follows it;
-    longer scenes are cut off every ``most`` seconds and remainders below ``least`` are dropped.
+    Cuts within ``least`` of an end do not count; longer scenes are cut off every ``most`` seconds and
+    remainders below ``least`` are dropped.  A long recording is spread over many tasks.
     """
-    inside = (F.col(cut) > least) & (F.col(cut) < F.col(duration) - least)
+    inside = (F.col(cut) > least) & (F.col(cut) < F.col(duration) - least) & (F.col(duration) - F.col(cut) >= least)
     rows = cuts.select(F.col(by).alias("g"), F.col(duration).cast("double").alias("d"), F.when(inside, F.col(cut).cast("double")).alias("c"))
 
-    def spans_of(key: tuple, series: Iterator[tuple]) -> Iterator[tuple]:
+    def spans_of(key: tuple, part: pa.RecordBatch, breaks: list[int], entering: tuple[float, int] | None, number: int, ends: bool) -> Iterator[tuple]:
         g, whole = key
         if whole is None:
             return
-        before, at = None, 0.0  # the two last kept cuts
-        for (c,) in series:
-            if c is not None and c > at and c - at >= least:
-                if before is not None:
-                    yield g, before, at
-                before, at = at, c
-        if before is None:
-            yield g, at, whole
-        elif whole - at < least:
-            yield g, before, whole
-        else:
-            yield g, before, at
+        at, places = entering[0] if entering else 0.0, part.column(2)
+        for i in breaks:
+            yield g, at, (at := places[i].as_py())
+        if ends:
             yield g, at, whole
 
-    spans = _each_series(rows, ["g", "d"], ["c"], [], spans_of, StructType([StructField(by, cuts.schema[by].dataType), StructField("x", DoubleType()), StructField("y", DoubleType())]))
+    schema = StructType([StructField(by, cuts.schema[by].dataType), StructField("x", DoubleType()), StructField("y", DoubleType())])
+    spans = restarts(rows, ["g", "d"], ["c"], "c", "c", least, spans_of, schema, initial=0.0)
     # whole pieces: as many as leave a rest that is not longer than most
     parts = F.greatest(F.lit(0), F.ceil((F.col("y") - F.col("x")) / most - 1)).cast("int")
     cut_up = spans.select(by, "x", "y", parts.alias("n")).select(by, "x", "y", "n", F.explode(F.sequence(F.lit(0), F.col("n"))).alias("i"))
@@ -181,32 +175,29 @@ def scene_segments(cuts: DataFrame, by: str, cut: str, duration: str, least: flo
 def word_chunks(words: DataFrame, by: str, order: str, start: str, end: str, text: str, flush: float = 4.5, least_tail: float = 1.0, least: float = 0.8, pad: float = 0.05) -> DataFrame:
     """(by, start, end, text): words joined until a chunk lasts ``flush``; a short tail joins the chunk before it.
 
-    Chunks get ``pad`` on both sides and are dropped below ``least``.
+    Chunks get ``pad`` on both sides and are dropped below ``least``.  A long recording is spread over many tasks.
     """
     rows = words.where(F.trim(text) != "").select(F.col(by).alias("g"), F.col(order).alias("o"), F.col(start).cast("double").alias("s"), F.col(end).cast("double").alias("e"), F.col(text).alias("w"))
 
-    def lasts(s: float | None, e: float | None, most: float) -> bool:
-        return s is not None and e is not None and e - s < most
-
-    def chunks_of(key: tuple, series: Iterator[tuple]) -> Iterator[tuple]:
-        closed = growing = None  # [start, end, words]
-        for s, e, w in series:
-            if growing is not None and lasts(growing[0], growing[1], flush):
-                growing[1] = e
-                growing[2].append(w)
-                continue
-            if closed is not None:
-                yield *key, closed[0], closed[1], "".join(closed[2])
-            closed, growing = growing, [s, e, [w]]
-        if closed is not None and lasts(growing[0], growing[1], min(flush, least_tail)):
-            closed, growing = None, [closed[0], growing[1], closed[2] + growing[2]]
-        for chunk in (closed, growing):
-            if chunk is not None:
-                yield *key, chunk[0], chunk[1], "".join(chunk[2])
-
-    kinds = {"g": words.schema[by].dataType, "s": DoubleType(), "e": DoubleType(), "w": StringType()}
-    chunks = _each_series(rows, ["g"], ["o", "s", "e", "w"], ["o"], chunks_of, StructType([StructField(c, t) for c, t in kinds.items()]))
-    padded = chunks.select(F.col("g").alias(by), F.greatest(F.lit(0.0), F.col("s") - pad).alias("start"), (F.col("e") + pad).alias("end"), F.trim("w").alias("text"))
+    def numbered(key: tuple, part: pa.RecordBatch, breaks: list[int], entering: tuple[float, int] | None, number: int, ends: bool) -> Iterator[tuple]:
+        chunk, opens = entering[1] if entering else number, set(breaks)
+        for i, (s, e, w) in enumerate(zip(*(part.column(c).to_pylist() for c in (2, 3, 4)))):
+            chunk = number + i if i in opens else chunk
+            yield *key, chunk, number + i, s, e, w
+
+    kinds = {"g": words.schema[by].dataType, "chunk": LongType(), "n": LongType(), "s": DoubleType(), "e": DoubleType(), "w": StringType()}
+    said = restarts(rows, ["g"], ["o", "s", "e", "w"], "e", "s", flush, numbered, StructType([StructField(c, t) for c, t in kinds.items()]), behind=True)
+
+    def joined(rows: DataFrame) -> DataFrame:
+        words = F.array_sort(F.collect_list(F.struct("n", "w")))  # of one chunk
+        return rows.groupBy("g", "chunk").agg(F.min("n").alias("n"), F.min_by("s", "n").alias("s"), F.max_by("e", "n").alias("e"), F.array_join(F.transform(words, lambda x: x["w"]), "").alias("w"))
+
+    chunks = reliable(joined(said))
+    last = chunks.groupBy("g").agg(F.max("chunk").alias("last"))
+    tails = chunks.join(last.select(F.col("g").alias("tail_g"), F.col("last").alias("tail")), F.col("g").eqNullSafe(F.col("tail_g")) & (F.col("chunk") == F.col("tail"))).where(F.col("e") - F.col("s") < min(flush, least_tail)).select("tail_g", "tail")
+    to = chunks.join(tails, F.col("g").eqNullSafe(F.col("tail_g")) & (F.col("chunk") < F.col("tail"))).groupBy("g", "tail").agg(F.max("chunk").alias("to")).select(F.col("g").alias("tail_g"), "tail", "to")
+    moved = chunks.join(to, F.col("g").eqNullSafe(F.col("tail_g")) & F.col("chunk").isin(F.col("tail"), F.col("to")), "left").select("g", F.coalesce("to", "chunk").alias("chunk"), "n", "s", "e", "w")
+    padded = joined(moved).select(F.col("g").alias(by), F.greatest(F.lit(0.0), F.col("s") - pad).alias("start"), (F.col("e") + pad).alias("end"), F.trim("w").alias("text"))
     return padded.where(F.col("end") - F.col("start") >= least)
 
 

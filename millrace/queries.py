@@ -471,13 +471,31 @@ def keyframe_values(spark, sf_dir):
     return ordered.interpolate_at(marks, asked, "user_id", "t", "value", "at")
 
 
-@query(None)
+@query("""
+with recursive c as (select user_id, epoch(ts) % 86400 / 60 as cut from events),
+k as (select distinct user_id, 0.0::double as kept from c union all
+  select k.user_id, min(c.cut) from k join c on k.user_id = c.user_id and c.cut - k.kept >= 15 and c.cut > 15 and c.cut < 1425 group by k.user_id, k.kept),
+spans as (select user_id, kept as x, lead(kept, 1, 1440.0) over (partition by user_id order by kept) as y from k),
+parts as (select *, greatest(0, ceil((y - x) / 60 - 1))::int as n, unnest(range(greatest(0, ceil((y - x) / 60 - 1))::int + 1)) as i from spans),
+cut_up as (select user_id, x + i * 60.0 as "start", case when i < n then x + i * 60.0 + 60.0 else y end as "end" from parts)
+select * from cut_up where "end" - "start" >= 15""")
 def scene_segments(spark, sf_dir):
     cuts = events(spark, sf_dir).select("user_id", (F.col("ts").cast("double") % 86400 / 60).alias("cut"), F.lit(1440.0).alias("duration"))
     return ordered.scene_segments(cuts, "user_id", "cut", "duration", 15.0, 60.0)
 
 
-@query(None)
+@query(r"""
+with recursive t as (select conv_id, turn, regexp_split_to_array(text, '\s+') as ws from conversations),
+f as (select conv_id || '-' || turn as seg, turn, unnest(ws) as w, unnest(range(len(ws))) as i from t),
+w as (select seg, w, turn * 60 + i * 0.4::double as s, turn * 60 + i * 0.4::double + 0.35::double as e, row_number() over (partition by seg order by i) as j from f where w <> ''),
+k as (select seg, 1::bigint as j from w where j = 1 union all
+  select seg, j from (select k.seg, min(w.j) + 1 as j from k join w a on a.seg = k.seg and a.j = k.j join w on w.seg = k.seg and w.j >= k.j and w.e - a.s >= 4.5 group by k.seg, k.j) n where exists (select 1 from w where w.seg = n.seg and w.j = n.j)),
+c as (select w.seg, k.j as chunk, w.* exclude (seg) from w asof join k on w.seg = k.seg and w.j >= k.j),
+g as (select seg, chunk, min(s) as s, max_by(e, j) as e from c group by all),
+r as (select *, lag(chunk) over (partition by seg order by chunk) as before, row_number() over (partition by seg order by chunk desc) = 1 as final from g),
+m as (select seg, chunk, case when final and before is not null and e - s < 1.0 then before else chunk end as into_chunk from r),
+z as (select c.seg, into_chunk, min(s) as s, max_by(e, j) as e, string_agg(w, ' ' order by j) as text from c join m on c.seg = m.seg and c.chunk = m.chunk group by all)
+select seg, greatest(0.0, s - 0.05) as "start", e + 0.05 as "end", text from z where e + 0.05 - greatest(0.0, s - 0.05) >= 0.8""")
 def word_chunks(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.posexplode(F.split("text", r"\s+")).alias("i", "w"))
     words = turns.select("conv_id", F.struct("turn", "i").alias("o"), (F.col("turn") * 60 + F.col("i") * 0.4).alias("s"), (F.col("turn") * 60 + F.col("i") * 0.4 + 0.35).alias("e"), F.concat(F.lit(" "), "w").alias("w"))
