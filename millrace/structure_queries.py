@@ -11,6 +11,7 @@ from .operators.dedup import shared_dir
 from .queries import query
 from .sources import blobs, headers
 from .sources.tables import table
+from .streaming import poses
 
 # -- nested values -----------------------------------------------------------------------------------
 
@@ -143,3 +144,30 @@ def copied_files(spark, sf_dir):
     plan = s.select("s_suppkey", place("from", key).alias("source"), place("to", twin).alias("target"), F.sha2(F.when(F.col("s_acctbal") < 0, "x").otherwise(F.col("s_name")), 256).alias("expected"))
     runs = [blobs.copy_files(plan).select("source", F.lit(i).alias("run"), "state") for i in (1, 2)]
     return runs[0].unionByName(runs[1]).join(plan.select("source", "s_suppkey"), "source").select("s_suppkey", "run", "state")
+
+# -- series -----------------------------------------------------------------------------------------------
+
+
+@query("""
+with recursive p as (select label, vec_id // 30 as frame, vec_id, embedding[64]::double as sure,
+    [embedding[3 * j + 1]::double for j in range(21)] as x, [embedding[3 * j + 2]::double for j in range(21)] as y, [embedding[3 * j + 3]::double >= 0.05 for j in range(21)] as ok from embeddings),
+q as (select *, len(list_filter(ok, lambda o: o)) as n from p),
+c as (select *, list_sum([case when ok[j] then x[j] else 0 end for j in range(1, 22)]) / n as cx, list_sum([case when ok[j] then y[j] else 0 end for j in range(1, 22)]) / n as cy,
+    dense_rank() over (partition by label order by frame) as k from q where n > 0),
+s as (
+  (select label, k, frame, vec_id, cx, cy, ok, [case when ok[j] then x[j] end for j in range(1, 22)] as sx, [case when ok[j] then y[j] end for j in range(1, 22)] as sy
+   from c where k = 1 qualify row_number() over (partition by label order by sure desc, vec_id) = 1)
+  union all
+  (select c.label, c.k, c.frame, c.vec_id, c.cx, c.cy, c.ok,
+     [case when c.ok[j] then 0.35 * c.x[j] + 0.65 * coalesce(s.sx[j], c.x[j]) else s.sx[j] end for j in range(1, 22)], [case when c.ok[j] then 0.35 * c.y[j] + 0.65 * coalesce(s.sy[j], c.y[j]) else s.sy[j] end for j in range(1, 22)]
+   from s join c on c.label = s.label and c.k = s.k + 1 qualify row_number() over (partition by c.label order by sqrt((c.cx - s.cx) ** 2 + (c.cy - s.cy) ** 2), c.sure desc, c.vec_id) = 1)),
+f as (select label, frame, vec_id as pose, len(list_filter(ok, lambda o: o)) as joints, list_sum([case when ok[j] then sx[j] else 0 end for j in range(1, 22)]) as x, list_sum([case when ok[j] then sy[j] else 0 end for j in range(1, 22)]) as y from s)
+select a.label, a.frame, case when pose is null then 'lost' else 'followed' end as status, pose, coalesce(joints, 0) as joints, coalesce(x, 0) as x, coalesce(y, 0) as y
+from (select distinct label, frame from p) a left join f on a.label = f.label and a.frame = f.frame""")
+def performer_poses(spark, sf_dir):
+    v = F.transform("embedding", lambda x: x.cast("double"))
+    joints = F.transform(F.sequence(F.lit(0), F.lit(20)), lambda j: F.struct(j.cast("string").alias("name"), F.get("v", 3 * j).alias("x"), F.get("v", 3 * j + 1).alias("y"), F.get("v", 3 * j + 2).alias("confidence")))
+    rows = table(spark, sf_dir, "embeddings").withColumn("v", v).select("label", F.timestamp_seconds(F.floor(F.col("vec_id") / 30)).alias("t"), "vec_id", F.get("v", F.lit(63)).alias("sure"), joints.alias("joints"))
+    found = poses.follow_performer(rows, "label", "t", "vec_id", "sure", "joints", floor=0.05)
+    total = lambda c: F.aggregate("joints", F.lit(0.0), lambda t, j: t + j[c])
+    return found.select("label", F.unix_seconds("t").alias("frame"), "status", "pose", F.size("joints").cast("long").alias("joints"), total("x").alias("x"), total("y").alias("y"))
