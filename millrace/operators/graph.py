@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,20 +27,71 @@ class _Seen:
             self.parts[-8:] = [(self.parts[-1][0] + 1, reliable(joined))]
 
 
+#: Rounds of a plain search before chains are contracted.
+SHALLOW = 6
+
+
 def reachable(edges: DataFrame, seeds: DataFrame, src: str = "src", dst: str = "dst", node: str = "node") -> DataFrame:
     """Nodes reached from the seeds along edges, seeds included.
 
     Only the newest nodes are joined with the edges in each round; a node is visited once, so
-    cycles end.  The driver sees whether a frontier is empty, never its nodes.
+    cycles end.  The driver sees whether a frontier is empty, never its nodes.  A search that goes
+    deep contracts unbranched chains and rings in logarithmic rounds and goes on over the rest, so
+    rounds follow the branchings on the longest way, not its nodes.
     """
-    step = edges.select(F.col(src).alias(node), F.col(dst).alias("_next")).distinct()
-    frontier = reliable(seeds.select(node).distinct())
-    seen = _Seen(frontier)
+    step = edges.select(F.col(src).alias(node), F.col(dst).alias("_next")).where("_next is not null").distinct()
+    seen, going = _search(step, reliable(seeds.select(node).distinct()), node, SHALLOW)
+    return _deep(step, seen.rows(), node) if going else seen.rows()
+
+
+def _search(step: DataFrame, frontier: DataFrame, node: str, most: int | None) -> tuple[_Seen, bool]:
+    """What rounds of a search find, and whether it was still going after the most."""
+    seen, rounds = _Seen(frontier), 0
     while not frontier.isEmpty():
+        if rounds == most:
+            return seen, True
         found = step.join(frontier, node, "left_semi").select(F.col("_next").alias(node)).distinct()
         frontier = reliable(found.join(seen.rows(), node, "left_anti"))
         seen.add(frontier)
-    return seen.rows()
+        rounds += 1
+    return seen, False
+
+
+def chains(step: DataFrame, node: str = "node") -> DataFrame:
+    """(node, head, place, ring) of every node of edges (node, _next): its unbranched chain.
+
+    An edge is a link of a chain if it is the only one out of its start and the only one into its end.
+    Each round doubles how far a node sees back along its links; what sees no head after the
+    logarithm of the nodes is a ring, whose head is its smallest node.
+    """
+    loose = step.where(F.col(node) != F.col("_next"))
+    only_out = step.groupBy(node).count().where("count = 1").select(node)
+    only_in = step.groupBy("_next").count().where("count = 1").select("_next")
+    links = loose.join(only_out, node, "left_semi").join(only_in, "_next", "left_semi")
+    nodes = step.select(node).union(step.select("_next")).distinct()
+    back = nodes.join(links.select(F.col("_next").alias(node), F.col(node).alias("_back")), node, "left")
+    state = reliable(back.select(node, F.coalesce("_back", node).alias("head"), F.when(F.col("_back").isNull(), 0).otherwise(1).cast("long").alias("place"), F.least(node, F.coalesce("_back", node)).alias("least")))
+    for _ in range(math.ceil(math.log2(max(2, state.count()))) + 1):
+        far = state.select(F.col(node).alias("head"), F.col("head").alias("_head"), F.col("place").alias("_place"), F.col("least").alias("_least"))
+        state = reliable(state.join(far, "head").select(node, F.col("_head").alias("head"), (F.col("place") + F.col("_place")).alias("place"), F.least("least", "_least").alias("least")))
+        open_ = state.join(state.where("place > 0").select(F.col(node).alias("head")), "head", "left_semi")
+        if open_.isEmpty():
+            break
+    ring = state.join(state.where("place > 0").select(F.col(node).alias("head"), F.lit(True).alias("_ring")), "head", "left").withColumn("ring", F.coalesce("_ring", F.lit(False)))
+    return reliable(ring.select(node, F.when(F.col("ring"), F.col("least")).otherwise(F.col("head")).alias("head"), F.when(F.col("ring"), 0).otherwise(F.col("place")).alias("place"), "ring"))
+
+
+def _deep(step: DataFrame, seeds: DataFrame, node: str) -> DataFrame:
+    """The search over contracted chains.  All ways into a chain but seeds lead to its head, all ways out start at its end."""
+    chain = chains(step, node)
+    entries = seeds.join(chain, node).groupBy("head").agg(F.min("place").alias("place"))
+    ends = chain.join(chain.groupBy("head").agg(F.max("place").alias("place")), ["head", "place"], "left_semi").where("not ring")
+    over = reliable(step.join(ends.select(node, "head"), node).select(F.col("head").alias(node), "_next").distinct())
+    found, _ = _search(over, reliable(entries.select(F.col("head").alias(node))), node, None)
+    whole = over.join(found.rows(), node, "left_semi").select(F.col("_next").alias("head"), F.lit(0).cast("long").alias("place"))
+    begun = entries.select("head", F.col("place").cast("long").alias("place")).union(whole).groupBy("head").agg(F.min("place").alias("_from"))
+    inside = chain.join(begun, "head").where("place >= _from").select(node)
+    return inside.union(seeds.join(chain, node, "left_anti").select(node))
 
 
 def invalidated(current: DataFrame, previous: DataFrame, edges: DataFrame, key: str = "id", fingerprint: str = "fingerprint") -> DataFrame:

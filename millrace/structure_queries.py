@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .functions import json_schema, nested
 from .operators.dedup import shared_dir
 from .queries import query
-from .sources import blobs, headers
+from .sources import blobs, headers, versions
 from .sources.tables import table
 from .streaming import poses
 
@@ -171,3 +171,40 @@ def performer_poses(spark, sf_dir):
     found = poses.follow_performer(rows, "label", "t", "vec_id", "sure", "joints", floor=0.05)
     total = lambda c: F.aggregate("joints", F.lit(0.0), lambda t, j: t + j[c])
     return found.select("label", F.unix_seconds("t").alias("frame"), "status", "pose", F.size("joints").cast("long").alias("joints"), total("x").alias("x"), total("y").alias("y"))
+
+# -- versions ---------------------------------------------------------------------------------------------
+
+
+@query("""
+select * from (select doc_id, lang, n_chars from documents where lang in ('en', 'de')
+  union all select doc_id, lang, n_chars * 2 from documents where lang = 'fr')""")
+def published_versions(spark, sf_dir):
+    """Three languages published, one replaced, the rest dropped as no longer expected; an audit refuses the last write."""
+    docs, folder = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars"), versions.VersionedFolder(spark, _folder(spark))
+    folder.publish(docs, by="lang")
+    folder.publish(docs.where("lang = 'fr'").withColumn("n_chars", F.col("n_chars") * 2), {"not empty": lambda df: not df.isEmpty()}, by="lang", expected=["en", "de", "fr"])
+    try:
+        folder.publish(docs.withColumn("n_chars", -F.col("n_chars")), {"positive": lambda df: df.where("n_chars < 0").isEmpty()})
+    except versions.AuditFailed:
+        return folder.read()
+    raise AssertionError("an audit passed that must not")
+
+
+@query("""
+with a as (select doc_id, quality, toxic, case when toxic = 1 then 3 when quality = 0 then 2 else 1 end as v from labels)
+select d.doc_id, case a.v when 3 then 'rejected' when 2 then 'pending' when 1 then 'approved' else 'unseen' end as decision, coalesce(a.v, 0) as version
+from documents d left join a using (doc_id)""")
+def decision_log(spark, sf_dir):
+    """Approved first, then taken back, then rejected, compacted in between; a writer that started too early is refused."""
+    labels, log = table(spark, sf_dir, "labels"), versions.DecisionLog(spark, _folder(spark), "doc_id")
+    one = lambda where, what: labels.where(where).select("doc_id", F.lit(what).alias("decision"))
+    early = log.append(one("true", "approved"))
+    log.append(one("quality = 0", "pending"))
+    try:
+        log.append(one("true", "late"), early)
+    except versions.Conflict:
+        log.append(one("toxic = 1", "rejected"))
+        log.compact()
+        merged = log.merge(table(spark, sf_dir, "documents").select("doc_id"), {"decision": F.lit("unseen")})
+        return merged.select("doc_id", "decision", F.col("_version").alias("version"))
+    raise AssertionError("a late writer was not refused")
