@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .functions import json_schema, nested
 from .operators.dedup import shared_dir
+from .plans import manifest
 from .queries import query
 from .sources import blobs, headers, versions
 from .sources.tables import table
@@ -208,3 +209,54 @@ def decision_log(spark, sf_dir):
         merged = log.merge(table(spark, sf_dir, "documents").select("doc_id"), {"decision": F.lit("unseen")})
         return merged.select("doc_id", "decision", F.col("_version").alias("version"))
     raise AssertionError("a late writer was not refused")
+
+# -- manifests --------------------------------------------------------------------------------------------
+
+_FORMATIONS = ("wide", "medium", "detail")
+
+
+def _manifest(spark, sf_dir):
+    """Customers stand for projects, orders for scenes, lines for shots; suppliers and return flags for concepts."""
+    line = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag")
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    shot = lambda x, i: F.struct(
+        F.concat(F.lit("s"), (i + 1).cast("string")).alias("id"),
+        x["l_quantity"].alias("duration_seconds"),
+        F.array(F.concat(F.lit("supplier"), (x["l_suppkey"] % 10).cast("string")), F.concat(F.lit("flag"), x["l_returnflag"])).alias("active_concepts"),
+        F.transform(F.slice(F.array(*map(F.lit, _FORMATIONS)), 1, x["l_linenumber"] % 3 + 1), lambda f: F.struct(f.alias("id"))).alias("formations"),
+    )
+    scenes = table(spark, sf_dir, "orders").join(lines, "o_orderkey").select("o_custkey", F.col("o_orderkey").alias("ord"), F.col("o_orderkey").cast("string").alias("id"), F.transform("lines", shot).alias("shots"))
+    k = F.col("s_suppkey") % 10
+    concepts = table(spark, sf_dir, "supplier").select(F.concat(F.lit("supplier"), k.cast("string")).alias("id"), F.when(k % 2 == 0, "lora").otherwise("reference").alias("strategy"), F.when(k % 4 == 0, "ready").otherwise("pending").alias("status"), (k % 3).alias("media")).distinct()
+    flags = spark.createDataFrame([("flagA", "prompt", None, 0), ("flagN", "prompt", None, 0)], "id string, strategy string, status string, media long")
+    return manifest.compile_manifest(scenes, concepts.unionByName(flags), 24.0, "mod8_plus1", by="o_custkey")
+
+
+_LINES = """
+with l as (select o_custkey, l_orderkey, l_quantity, l_linenumber % 3 + 1 as n, l_suppkey % 10 as k, l_returnflag,
+  row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice) as shot from lineitem join orders on l_orderkey = o_orderkey),
+f as (select *, l_quantity / n as seconds, unnest(['wide', 'medium', 'detail'][1:n]) as formation, unnest(range(n)) as nth from l),
+b as (select *, l_orderkey || '__s' || shot || '__' || formation as task, l_orderkey || '/s' || shot || '/' || formation as place,
+  list_filter([case when l_returnflag = 'R' then 'flagR:unknown_concept' end, case when k % 2 = 0 and k % 4 > 0 then 'supplier' || k || ':pending' end, case when k % 2 = 1 and k % 3 = 0 then 'supplier' || k || ':missing_reference_media' end], lambda x: x is not null) as held,
+  greatest(1, round_even(seconds * 24, 0)::bigint) as target,
+  sum(seconds) over (partition by o_custkey order by l_orderkey, shot, nth rows between unbounded preceding and 1 preceding) as before from f)
+"""
+
+
+@query(_LINES + """
+select o_custkey, 'keyframe' as kind, 'keyframe__' || task as id, '' as depends_on, array_to_string(held, '; ') as blockers, '' as inherited, len(held) = 0 as ready,
+  'outputs/keyframes/' || place || '.png' as output, null::bigint as frames, round(seconds, 6) as seconds, null::double as start_seconds from b
+union all select o_custkey, 'video', 'video__' || task, 'keyframe__' || task, 'approved key frame; approved motion direction', array_to_string(held, '; '), false, 'outputs/clips/' || place || '.mp4',
+  target - (target - 1) % 8 + case when (target - 1) % 8 > 4 then 8 else 0 end, round(seconds, 6), null from b
+union all select o_custkey, 'assembly', 'assembly__' || task, 'video__' || task, '', array_to_string(list_concat(['approved key frame', 'approved motion direction'], held), '; '), false, 'outputs/clips/' || place || '.mp4',
+  null, round(seconds, 6), round(coalesce(before, 0), 6) from b""")
+def compiled_manifest(spark, sf_dir):
+    text = lambda c: F.array_join(c, "; ").alias(c)
+    return _manifest(spark, sf_dir).select("o_custkey", "kind", "id", text("depends_on"), text("blockers"), text("inherited"), "ready", "output", "frames", "seconds", "start_seconds")
+
+
+@query(_LINES + """
+select o_custkey, l_orderkey::varchar as scene_id, count(*) as keyframes, count(*) as videos, count(*) filter (len(held) = 0) as ready, count(distinct shot) filter (len(held) > 0) as blocked_shots, round(sum(round(seconds, 6)), 3) as seconds
+from b group by 1, 2""")
+def manifest_counts(spark, sf_dir):
+    return manifest.manifest_counts(_manifest(spark, sf_dir), "o_custkey").withColumn("seconds", F.round("seconds", 3))
