@@ -86,15 +86,24 @@ def shingle_set(text: str | None, size: int = WORDS, cache: dict[bytes, int] | N
     n = min(size, len(h))
     count = len(h) - n + 1
     total = h[:count].copy()
-    for i in range(1, n):
-        total = total * _P + h[i : count + i]
-    total = (total ^ (total >> np.uint64(31))) * _M + np.uint64(n)
-    return np.unique(total ^ (total >> np.uint64(29)))
+    for i in range(1, n):  # in place: this runs for every text, three times
+        total *= _P
+        total += h[i : count + i]
+    total ^= total >> np.uint64(31)
+    total *= _M
+    total += np.uint64(n)
+    total ^= total >> np.uint64(29)
+    total.sort()
+    fresh = np.empty(count, bool)
+    fresh[0] = True
+    np.not_equal(total[1:], total[:-1], out=fresh[1:])
+    return total if fresh.all() else total[fresh]
 
 
 def set_key(shingles: np.ndarray) -> int:
     """64-bit hash of a set, signed as Spark's long."""
-    return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).astype(np.int64)))
+    key = xxhash.xxh3_64_intdigest(shingles.tobytes())
+    return key - (1 << 64) if key >> 63 else key
 
 
 def needed(n, percent: int = PERCENT):
