@@ -67,7 +67,7 @@ def interpolate_at(keyframes: DataFrame, times: DataFrame, by: str, at: str, val
     return both.where("not mark").select(by, F.col("t").alias(time), F.coalesce(F.when(F.col("a.t") == F.col("t"), F.col("a.v")), lerp, F.col("a.v"), F.col("b.v")).alias(value))
 
 
-def _each_series(rows: DataFrame, keys: list[str], order: Sequence[str | Column], drop: Sequence[str], fold: Callable[[tuple, Iterator[tuple]], Iterator[tuple]], schema: StructType) -> DataFrame:
+def each_series(rows: DataFrame, keys: list[str], order: Sequence[str | Column], drop: Sequence[str], fold: Callable[[tuple, Iterator[tuple]], Iterator[tuple]], schema: StructType) -> DataFrame:
     """What ``fold`` yields for every series: rows of equal keys, in order, without the dropped columns.
 
     A series streams through one task, sorted by Spark, and is never held as a whole: memory is that
@@ -267,7 +267,7 @@ def assign_tracks(detections: DataFrame, by: str, frame: str, index: str, x: str
                 yield *key, f, p[1], track_of[i]
 
     schema = StructType([*(StructField(c, detections.schema[c].dataType) for c in (by, frame, index)), StructField("track", LongType())])
-    return _each_series(rows, ["g"], ["f", F.col("i").asc_nulls_last(), "x", "y"], [], follow, schema)
+    return each_series(rows, ["g"], ["f", F.col("i").asc_nulls_last(), "x", "y"], [], follow, schema)
 
 
 def root_relative(df: DataFrame, by: Sequence[str], x: str, y: str, is_root: Column) -> DataFrame:

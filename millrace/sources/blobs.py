@@ -78,9 +78,11 @@ def _put(chunks: Iterable[bytes], target: str, expected: str | None) -> tuple[in
             store.delete_file(part)
 
 
-def _copy(source: str, target: str, expected: str | None) -> tuple[int | None, str | None, str]:
-    if not _there(source):
+def _copy(source: str | None, target: str | None, expected: str | None) -> tuple[int | None, str | None, str]:
+    if source is None or not _there(source):
         return None, None, "missing"
+    if target is None:
+        return None, None, "no target"
     if _there(target):  # no temporary copy where nothing will be written
         size, sha = _digest(_chunks(source))
         if expected is not None and sha != expected:
@@ -113,9 +115,9 @@ def _single_targets(rows: DataFrame, target: str) -> tuple[DataFrame, DataFrame]
 
 
 def write_blobs(rows: DataFrame, target: str = "target", content: str = "content") -> DataFrame:
-    """(target, bytes, sha256, state) of binary contents written as files; null contents are empty files."""
+    """(target, bytes, sha256, state) of binary contents written as files; null contents are empty files, null targets are not written."""
     alone, shared = _single_targets(rows.select(target, content), target)
-    done = _each(alone, lambda t, c: _put([c or b""], t, None), [target], [target, content])
+    done = _each(alone, lambda t, c: (None, None, "no target") if t is None else _put([c or b""], t, None), [target], [target, content])
     return done.unionByName(shared.select(target, F.lit(None).cast("long").alias("bytes"), F.lit(None).cast("string").alias("sha256"), F.lit("ambiguous").alias("state")))
 
 
@@ -123,7 +125,7 @@ def copy_files(plan: DataFrame, source: str = "source", target: str = "target",
     """(source, target, bytes, sha256, state) of a plan's copies; ``expected`` is a SHA-256 or null.
 
     States are those of a write, with missing for a source that isn't there, and ambiguous for targets
-    that several rows of the plan name, none of which is written.  A file that was written counts once:
+    that several rows of the plan name, none of which is written, and no target for a null one.  A file that was written counts once:
     a second run finds it identical.
     """
     alone, shared = _single_targets(plan.select(source, target, expected), target)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.types import ArrayType, DoubleType, LongType, Row, StringType, StructField, StructType
 
-from ..operators.ordered import _each_series
+from ..operators.ordered import each_series
 
 _POINT = [StructField(c, DoubleType()) for c in ("x", "y")]
 _JOINT = StructType([StructField("name", StringType()), *_POINT, StructField("confidence", DoubleType())])
@@ -101,7 +101,7 @@ def follow_performer(poses: DataFrame, by: str, at: str, index: str, confidence:
         for t, found in itertools.groupby(series, lambda r: r[0]):
             yield *key, t, *_result(*performer.follow(_seconds(t), [r[1:] for r in found]))
 
-    return _each_series(rows, ["g"], ["t", "i", "c"], [], fold, schema)
+    return each_series(rows, ["g"], ["t", "i", "c"], [], fold, schema)
 
 
 def _seconds(t: dt.datetime) -> float:

@@ -112,6 +112,9 @@ def test_writes_and_copies(spark, tmp_path):
     (tmp_path / "t").mkdir()
     (tmp_path / "t" / "2").write_bytes(b"already")
     wrong, plan = "0" * 64, [(f"{root}/s/{i}", f"{root}/t/{i}", None) for i in range(4)]
+    nowhere = spark.createDataFrame([(None, None, None), (f"{root}/s/1", None, None), (None, f"{root}/t/z", None)], "source string, target string, expected string")
+    assert sorted(r.state for r in blobs.copy_files(nowhere).collect()) == ["missing", "missing", "no target"]
+    assert blobs.write_blobs(spark.createDataFrame([(None, b"a"), (None, b"b")], "target string, content binary")).select("state").distinct().collect() == [("no target",)]
     plan += [(f"{root}/s/4", f"{root}/t/4", wrong), (f"{root}/s/9", f"{root}/t/9", None), (f"{root}/s/1", f"{root}/t/x", None), (f"{root}/s/2", f"{root}/t/x", None)]
     df = spark.createDataFrame(plan, "source string, target string, expected string")
     report = blobs.copy_files(df)
