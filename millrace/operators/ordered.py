@@ -212,12 +212,16 @@ def drop_quiet(chunks: DataFrame, blocks: DataFrame, by: str, start: str, end: s
     """The chunks with their level in dB, without those below least_db.
 
     blocks: (by, at, energy), mean squares of equally long stretches that begin at ``at``.  Chunks meet
-    their blocks by whole seconds, so there is no range join.  A chunk without blocks has a null level and stays.
+    their blocks in bins of the first power of two seconds that is as long as the chunk, of which it touches
+    two or three, so there is no range join and a long chunk makes no more rows than a short one.  Blocks are
+    dealt to bins once for each such width.  A chunk without blocks has a null level and stays.
     """
-    spans = chunks.select(by, start, end).distinct()
-    seconds = spans.withColumn("_second", F.explode(F.sequence(F.floor(start), F.floor(end))))
-    heard = blocks.select(by, F.floor(at).alias("_second"), F.col(at).alias("_at"), F.col(energy).alias("_energy"))
-    inside = seconds.join(heard, [by, "_second"]).where((F.col("_at") >= F.col(start)) & (F.col("_at") < F.col(end)))
+    width = F.pow(F.lit(2.0), F.greatest(F.lit(0), F.ceil(F.log2(F.col(end) - F.col(start)))))
+    spans = chunks.where(F.col(end) > F.col(start)).select(by, start, end, width.alias("_width"))
+    bins = spans.distinct().withColumn("_bin", F.explode(F.sequence(F.floor(F.col(start) / F.col("_width")), F.floor(F.col(end) / F.col("_width")))))
+    widths = F.broadcast(spans.select("_width").distinct())  # powers of two: a few rows
+    heard = blocks.crossJoin(widths).select(by, "_width", F.floor(F.col(at) / F.col("_width")).alias("_bin"), F.col(at).alias("_at"), F.col(energy).alias("_energy"))
+    inside = bins.join(heard, [by, "_width", "_bin"]).where((F.col("_at") >= F.col(start)) & (F.col("_at") < F.col(end)))
     levels = inside.groupBy(by, start, end).agg((20 * F.log10(F.sqrt(F.avg("_energy") + 1e-12))).alias("level"))
     return chunks.join(levels, [by, start, end], "left").where(F.coalesce(F.col("level") >= least_db, F.lit(True)))
 
