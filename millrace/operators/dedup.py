@@ -88,16 +88,18 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """(node, root) of every node whose component holds a smaller one.
 
     Smallest labels travel along edges and jump along labels, so rounds grow with the logarithm of
-    a component's width; each round is checkpointed, which cuts lineage and survives lost executors.
+    a component's width; each round is written and read back, which cuts lineage and survives lost
+    executors.  A checkpoint would keep what the plan knows of its columns, which doubles from round to
+    round in the driver's memory.  Joins are merged, so no round's rows pass through the driver.
     """
     both = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x <> y")
-    both = reliable(both.union(both.select("y", "x")).distinct())
-    labels = reliable(both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("root")).select(F.col("x").alias("node"), "root"))
+    both = stored(both.union(both.select("y", "x")).distinct())
+    labels = stored(both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("root")).select(F.col("x").alias("node"), "root"))
     while True:
-        seen = both.join(labels.select(F.col("node").alias("y"), F.col("root").alias("r")), "y").groupBy("x").agg(F.min("r").alias("r"))
-        near = labels.join(seen.withColumnRenamed("x", "node"), "node").select("node", F.least("root", "r").alias("new"), "root")
-        jump = labels.select(F.col("node").alias("new"), F.col("root").alias("top"))
-        after = reliable(near.join(jump, "new", "left").select("node", F.least("new", F.coalesce("top", "new")).alias("new"), "root"))
+        seen = both.join(labels.select(F.col("node").alias("y"), F.col("root").alias("r")).hint("merge"), "y").groupBy("x").agg(F.min("r").alias("r"))
+        near = labels.join(seen.withColumnRenamed("x", "node").hint("merge"), "node").select("node", F.least("root", "r").alias("new"), "root")
+        jump = labels.select(F.col("node").alias("new"), F.col("root").alias("top")).hint("merge")
+        after = stored(near.join(jump, "new", "left").select("node", F.least("new", F.coalesce("top", "new")).alias("new"), "root"))
         labels = after.select("node", F.col("new").alias("root"))
         if after.where("new <> root").isEmpty():
             return labels.where("node <> root")
