@@ -8,7 +8,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .dedup import reliable
+from .dedup import stored as reliable  # a checkpoint keeps what plans know of its columns, which grows from round to round
 
 
 class _Seen:
@@ -39,9 +39,9 @@ def reachable(edges: DataFrame, seeds: DataFrame, src: str = "src", dst: str = "
     deep contracts unbranched chains and rings in logarithmic rounds and goes on over the rest, so
     rounds follow the branchings on the longest way, not its nodes.
     """
-    step = edges.select(F.col(src).alias(node), F.col(dst).alias("_next")).where("_next is not null").distinct()
+    step = edges.select(F.col(src).alias(node), F.col(dst).alias("_next")).where("_next is not null")
     seen, going = _search(step, reliable(seeds.select(node).distinct()), node, SHALLOW)
-    return _deep(step, seen.rows(), node) if going else seen.rows()
+    return _deep(reliable(step.distinct()), seen.rows(), node) if going else seen.rows()
 
 
 def _search(step: DataFrame, frontier: DataFrame, node: str, most: int | None) -> tuple[_Seen, bool]:
@@ -97,15 +97,15 @@ def _deep(step: DataFrame, seeds: DataFrame, node: str) -> DataFrame:
 def invalidated(current: DataFrame, previous: DataFrame, edges: DataFrame, key: str = "id", fingerprint: str = "fingerprint") -> DataFrame:
     """(id, changed): current nodes whose fingerprint changed, and all that depend on a changed or removed one.
 
-    edges: (parent, child).  Removed nodes start the search but are not in the result.
+    edges: (parent, child), read again in each round of the search.  Removed nodes start the search but are not
+    in the result.  Both states meet once.
     """
-    old = previous.select(key, F.col(fingerprint).alias("_old"))
-    changed = current.join(old, key, "left").where(~F.col(fingerprint).eqNullSafe(F.col("_old"))).select(F.col(key).alias("node"))
-    removed = previous.join(current, key, "left_anti").select(F.col(key).alias("node"))
-    changed = reliable(changed)
-    hit = reachable(edges, changed.unionByName(removed), "parent", "child").withColumnRenamed("node", key)
-    known = current.select(key).distinct()
-    return hit.join(known, key, "left_semi").join(changed.select(F.col("node").alias(key), F.lit(True).alias("changed")), key, "left").select(key, F.coalesce("changed", F.lit(False)).alias("changed"))
+    now = current.select(F.col(key).alias("node"), F.col(fingerprint).alias("_new"), F.lit(True).alias("_now"))
+    old = previous.select(F.col(key).alias("node"), F.col(fingerprint).alias("_old"))
+    there = F.col("_now").isNotNull()
+    nodes = reliable(now.join(old, "node", "full").select("node", there.alias("_now"), (there & ~F.col("_new").eqNullSafe(F.col("_old"))).alias("changed")))
+    hit = reachable(edges, nodes.where(~F.col("_now") | F.col("changed")).select("node"), "parent", "child")
+    return nodes.where("_now").join(hit, "node", "left_semi").groupBy(F.col("node").alias(key)).agg(F.bool_or("changed").alias("changed"))
 
 
 def removed(current: DataFrame, previous: DataFrame, key: str = "id") -> DataFrame:

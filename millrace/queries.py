@@ -674,7 +674,9 @@ def _graph(spark, sf_dir):
 with recursive {_GRAPH}, hit as (select id from seeds union select id from gone union select child from hit join edges on parent = hit.id)
 select id, id in (select id from seeds) as changed from hit where id not in (select id from gone)""")
 def invalidation(spark, sf_dir):
-    edges, nodes = _graph(spark, sf_dir)
+    edges, _ = _graph(spark, sf_dir)
+    edges = dedup.stored(edges)  # each round of the search reads them
+    nodes = dedup.stored(edges.select(F.col("parent").alias("id")).union(edges.select("child")).distinct())
     now = nodes.where("not id like 'o%93'").withColumn("fingerprint", F.when(F.col("id").like("o%7"), "new").otherwise("same"))
     return graph.invalidated(now, nodes.withColumn("fingerprint", F.lit("same")), edges)
 

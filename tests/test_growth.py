@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from millrace.operators import dedup, ordered
+from millrace.operators import dedup, graph, ordered
 
 
 def test_rounds_of_components_leave_no_constraints_in_the_plan(spark):
@@ -15,6 +15,20 @@ def test_rounds_of_components_leave_no_constraints_in_the_plan(spark):
     assert roots._jdf.queryExecution().optimizedPlan().constraints().size() < 8
 
 
+def test_invalidation_reads_each_state_once(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(row):
+        reads.add(1)
+        return row
+
+    now = spark.createDataFrame(spark.sparkContext.parallelize([("a", "2"), ("b", "1"), ("c", "1"), ("e", "1")], 1).map(counted), "id string, fingerprint string")
+    old = spark.createDataFrame([("a", "1"), ("b", "1"), ("c", "1"), ("d", "1")], "id string, fingerprint string")
+    edges = spark.createDataFrame([("a", "b"), ("d", "c"), ("x", "e"), ("b", "d")], "parent string, child string")
+    got = sorted(map(tuple, graph.invalidated(now, old, edges).collect()))
+    assert got == [("a", True), ("b", False), ("c", False), ("e", True)] and reads.value == 4
+
+
 def test_levels_of_short_and_very_long_chunks(spark):
     rng = random.Random(5)
     spans = [("g", 0.0, 3e9), ("g", -5.5, 0.25), ("g", 7.0, 7.0), ("g", 9.0, 8.0), ("h", 0.0, 1.0), ("g", None, 4.0)]
