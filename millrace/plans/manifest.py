@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import snap_frames
+from ..operators.dedup import stored
 
 #: What a video waits for besides its keyframe's blockers, and strategies that need reference media.
 VIDEO_GATES = ("approved key frame", "approved motion direction")
@@ -47,8 +48,10 @@ def compile_manifest(scenes: DataFrame, concepts: DataFrame, fps: float, rule: s
 
     scenes: (by, ord, id, shots), where a shot has id, duration_seconds, active_concepts and formations with an
     id.  A shot's time is shared by its formations alike; starts run along a project.  ``blockers`` are a
-    task's own, ``inherited`` those of the tasks it waits for; only what has neither is ready.
+    task's own, ``inherited`` those of the tasks it waits for; only what has neither is ready.  Scenes are
+    written once, as blockers, starts and tasks each read them.
     """
+    scenes = stored(scenes)
     shots = scenes.select(F.col(by).alias("project"), "ord", F.col("id").alias("scene_id"), F.posexplode("shots").alias("shot_at", "shot"))
     shots = shots.where(F.size("shot.formations") > 0)
     keys = ["project", "ord", "scene_id", "shot_at"]

@@ -32,3 +32,19 @@ def test_blockers_are_carried_and_times_run_on(spark):
 def test_frames(spark):
     frames = lambda s, rule: spark.range(1).select(manifest.video_frames(F.lit(s), 24.0, rule).alias("n")).first().n
     assert [frames(s, "none") for s in (0.0, 0.0625, 1.0)] == [1, 2, 24] and [frames(s, "mod8_plus1") for s in (0.0, 1.0, 13 / 24, 14 / 24)] == [1, 25, 9, 17]
+
+
+def test_scenes_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(row):
+        made.add(1)
+        return row
+
+    kind = "project string, ord int, id string, shots array<struct<id string, duration_seconds double, active_concepts array<string>, formations array<struct<id string>>>>"
+    rows = [("p", i, f"scene{i}", [("s1", 2.0, ["c"], [("wide",), ("detail",)])]) for i in range(3)]
+    scenes = spark.createDataFrame(spark.sparkContext.parallelize(rows, 1).map(counted), kind)
+    concepts = spark.createDataFrame([("c", "lora", "pending", 0)], "id string, strategy string, status string, media long")
+    got = manifest.compile_manifest(scenes, concepts, 24.0).where("kind = 'assembly'").collect()
+    assert sorted((r.scene_id, r.start_seconds) for r in got) == [(f"scene{i}", 2.0 * i + j) for i in range(3) for j in range(2)]
+    assert made.value == 3
