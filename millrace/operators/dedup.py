@@ -89,8 +89,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
     Smallest labels travel along edges and jump along labels, so rounds grow with the logarithm of
     a component's width; each round is written and read back, which cuts lineage and survives lost
-    executors.  A checkpoint would keep what the plan knows of its columns, which doubles from round to
-    round in the driver's memory.  Joins are merged, so no round's rows pass through the driver.
+    executors.  A checkpoint would keep the plan's estimated size, a product over joins whose digits
+    multiply from round to round in the driver's memory.  Joins are merged, so no round's rows pass through the driver.
     """
     both = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x <> y")
     both = stored(both.union(both.select("y", "x")).distinct())

@@ -8,7 +8,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .dedup import stored as reliable  # a checkpoint keeps what plans know of its columns, which grows from round to round
+from .dedup import stored as reliable  # a checkpoint keeps the plan's estimated size, whose digits grow from round to round
 
 
 class _Seen:
