@@ -18,6 +18,9 @@ from ..operators.dedup import stored
 VIDEO_GATES = ("approved key frame", "approved motion direction")
 BY_REFERENCE = ("reference", "prompt_reference")
 
+#: So many distinct lists of concepts are broadcast with their blockers; beyond, shots are dealt by their lists.
+MOST_LISTS = 100_000
+
 
 def video_frames(seconds: Column, fps: float, rule: str = "none") -> Column:
     """Frames of a clip, one at least; ``mod8_plus1`` takes the nearest 8n + 1, the lower one at a tie."""
@@ -43,30 +46,48 @@ def concept_blockers(shots: DataFrame, concepts: DataFrame, keys: list[str], act
     return bad.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["text"]).alias("blockers"))  # of one shot's concepts
 
 
+def sums_before(values: Column) -> Column:
+    """For each entry the sum of those before it, nulls as 0.  In blocks, as each appending of a fold copies its array."""
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / 256).cast("int")), lambda b: F.slice(values, b * 256 + 1, 256))
+    no = lambda kind: F.array().cast(f"array<{kind}>")
+
+    def block(done: Column, entries: Column) -> Column:
+        sums = F.aggregate(entries, F.struct(done["total"].alias("total"), no("double").alias("sums")), lambda a, v: F.struct((a["total"] + F.coalesce(v, F.lit(0.0))).alias("total"), F.concat(a["sums"], F.array(a["total"])).alias("sums")))
+        return F.struct(sums["total"].alias("total"), F.concat(done["sums"], F.array(sums["sums"])).alias("sums"))
+
+    return F.flatten(F.aggregate(blocks, F.struct(F.lit(0.0).alias("total"), no("array<double>").alias("sums")), block)["sums"])
+
+
 def compile_manifest(scenes: DataFrame, concepts: DataFrame, fps: float, rule: str = "none", root: str = "outputs", by: str = "project") -> DataFrame:
     """(by, kind, id, scene_id, shot_id, formation_id, depends_on, blockers, inherited, ready, output, frames, seconds, start_seconds).
 
     scenes: (by, ord, id, shots), where a shot has id, duration_seconds, active_concepts and formations with an
     id.  A shot's time is shared by its formations alike; starts run along a project.  ``blockers`` are a
-    task's own, ``inherited`` those of the tasks it waits for; only what has neither is ready.  Scenes are
-    written once, as blockers, starts and tasks each read them.
+    task's own, ``inherited`` those of the tasks it waits for; only what has neither is ready.
+
+    Scenes are written once, numbered and without shots that make no task.  Each is dealt once, whole, to meet its
+    start; shots, concepts and tasks are opened after that and not dealt again, unless distinct lists of concepts are
+    too many to broadcast.
     """
-    scenes = stored(scenes)
-    shots = scenes.select(F.col(by).alias("project"), "ord", F.col("id").alias("scene_id"), F.posexplode("shots").alias("shot_at", "shot"))
-    shots = shots.where(F.size("shot.formations") > 0)
-    keys = ["project", "ord", "scene_id", "shot_at"]
-    held = concept_blockers(shots.select(*keys, F.col("shot.active_concepts").alias("active_concepts")), concepts, keys)
-    shots = shots.join(held, keys, "left").withColumn("held", F.coalesce("blockers", F.array().cast("array<string>"))).drop("blockers")
+    used = F.filter("shots", lambda s: F.size(s["formations"]) > 0)
+    slim = F.transform(used, lambda s: F.struct(s["id"].alias("shot_id"), s["duration_seconds"].cast("double").alias("length"), s["active_concepts"].alias("concepts"), s["formations"]["id"].alias("formations")))
+    scenes = stored(scenes.select(F.col(by).alias("project"), "ord", F.col("id").alias("scene_id"), F.monotonically_increasing_id().alias("scene"), slim.alias("shots"))).where("size(shots) > 0")
+
+    # what holds up a shot depends on its list of concepts alone
+    lists = scenes.select(F.explode("shots.concepts").alias("concepts")).distinct()
+    held = stored(concept_blockers(lists, concepts, ["concepts"], "concepts").withColumnRenamed("blockers", "held"))
+    held = F.broadcast(held) if held.count() <= MOST_LISTS else held
 
     # a scene's start is a sum over scenes, a shot's a sum within its scene, a formation's a product
-    length = F.col("shot.duration_seconds").cast("double")
-    totals = scenes.select(F.col(by).alias("project"), "ord", F.col("id").alias("scene_id"), F.aggregate(F.filter("shots", lambda s: F.size(s["formations"]) > 0), F.lit(0.0), lambda t, s: t + s["duration_seconds"].cast("double")).alias("whole"))
-    before = lambda keys, order: Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select("project", "ord", "scene_id", F.coalesce(F.sum("whole").over(before(["project"], ["ord", "scene_id"])), F.lit(0.0)).alias("scene_start"))
-    placed = shots.join(starts, ["project", "ord", "scene_id"]).withColumn("shot_start", F.col("scene_start") + F.coalesce(F.sum(length).over(before(["project", "ord", "scene_id"], ["shot_at"])), F.lit(0.0)))
-
-    each = placed.select("project", "scene_id", "held", "shot_start", F.col("shot.id").alias("shot_id"), (length / F.size("shot.formations")).alias("seconds"), F.posexplode("shot.formations").alias("at", "formation"))
-    each = each.withColumn("formation_id", F.col("formation.id")).withColumn("task", F.concat_ws("__", "scene_id", "shot_id", "formation_id"))
+    totals = scenes.select("project", "ord", "scene_id", "scene", F.aggregate("shots", F.lit(0.0), lambda t, s: t + s["length"]).alias("whole"))
+    before = Window.partitionBy("project").orderBy("ord", "scene_id", "scene").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("scene", F.coalesce(F.sum("whole").over(before), F.lit(0.0)).alias("scene_start"))
+    placed = scenes.drop("ord").join(starts.hint("shuffle_hash"), "scene").withColumn("before", sums_before(F.col("shots.length")))
+
+    shots = placed.select("project", "scene_id", "scene_start", F.explode(F.arrays_zip("shots", "before")).alias("s")).select("project", "scene_id", (F.col("scene_start") + F.col("s.before")).alias("shot_start"), "s.shots.*")
+    shots = shots.join(held, "concepts", "left").withColumn("held", F.coalesce("held", F.array().cast("array<string>")))
+    each = shots.select("project", "scene_id", "held", "shot_start", "shot_id", (F.col("length") / F.size("formations")).alias("seconds"), F.posexplode("formations").alias("at", "formation_id"))
+    each = each.withColumn("task", F.concat_ws("__", "scene_id", "shot_id", "formation_id"))
     place = lambda kind, suffix: F.concat(F.concat_ws("/", F.lit(f"{root}/{kind}"), "scene_id", "shot_id", "formation_id"), F.lit(suffix))
     name = lambda kind: F.concat(F.lit(f"{kind}__"), "task")
     none, gates = F.array().cast("array<string>"), F.array(*map(F.lit, VIDEO_GATES))

@@ -217,8 +217,9 @@ _FORMATIONS = ("wide", "medium", "detail")
 
 def _manifest(spark, sf_dir):
     """Customers stand for projects, orders for scenes, lines for shots; suppliers and return flags for concepts."""
-    line = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag")
-    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    fields = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag"]
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), *fields).repartition("o_orderkey")  # dealt as they are: lists begun before would only be sorted, and spilled
+    lines = lines.groupBy("o_orderkey").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("lines"))
     shot = lambda x, i: F.struct(
         F.concat(F.lit("s"), (i + 1).cast("string")).alias("id"),
         x["l_quantity"].alias("duration_seconds"),

@@ -48,3 +48,44 @@ def test_scenes_are_made_once(spark):
     got = manifest.compile_manifest(scenes, concepts, 24.0).where("kind = 'assembly'").collect()
     assert sorted((r.scene_id, r.start_seconds) for r in got) == [(f"scene{i}", 2.0 * i + j) for i in range(3) for j in range(2)]
     assert made.value == 3
+
+
+def _sample(spark):
+    rows = [(f"p{i % 3}", i, f"scene{i}", [(f"s{j}", 1.0 + j, [["c", "d"], ["d"], None, [], ["new", None]][(i + j) % 5], [("wide",), ("detail",)][: j % 3]) for j in range(i % 4)]) for i in range(24)]
+    concepts = [("c", "lora", "pending", 0), ("d", "reference", "ready", 0)]
+    return spark.createDataFrame(rows, f"project string, ord int, id string, shots array<{SHOT}>"), spark.createDataFrame(concepts, "id string, strategy string, status string, media long")
+
+
+def test_opened_shots_are_not_dealt(spark):
+    lines = manifest.compile_manifest(*_sample(spark), 24.0)._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = [next(i for i, c in enumerate(line + "x") if c.isalnum()) for line in lines]
+    dealt = 0
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            below = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+            assert not any("Generate" in x for x in lines[i:below]), line
+            dealt += 1
+    assert dealt == 3  # scenes, their sums by project, their starts
+
+
+def test_many_lists_of_concepts_give_the_same_tasks(spark, monkeypatch):
+    few = sorted(map(repr, manifest.compile_manifest(*_sample(spark), 24.0).collect()))
+    monkeypatch.setattr(manifest, "MOST_LISTS", 0)
+    assert sorted(map(repr, manifest.compile_manifest(*_sample(spark), 24.0).collect())) == few
+    assert len(few) == 72 and sum("new:unknown_concept" in x for x in few) > 0
+
+
+def test_scenes_alike_and_scenes_without_project_keep_their_tasks(spark):
+    shots = [("s1", 2.0, ["c"], [("wide",)]), ("s2", 3.0, [], [("wide",)])]
+    rows = [("p", 0, "a", shots), ("p", 0, "a", shots), (None, 0, "a", shots), (None, None, "z", shots)]
+    concepts = spark.createDataFrame([("c", "lora", "pending", 0)], "id string, strategy string, status string, media long")
+    got = manifest.compile_manifest(spark.createDataFrame(rows, f"project string, ord int, id string, shots array<{SHOT}>"), concepts, 24.0).where("kind = 'assembly'").collect()
+    assert sorted(r.start_seconds for r in got if r.project == "p") == [0.0, 2.0, 5.0, 7.0]
+    assert sorted((r.scene_id, r.start_seconds) for r in got if r.project is None) == [("a", 5.0), ("a", 7.0), ("z", 0.0), ("z", 2.0)]
+
+
+def test_sums_before_entries_of_long_scenes(spark):
+    values = [None if i % 7 == 0 else i / 8 for i in range(600)]
+    ask = lambda xs: spark.createDataFrame([(xs,)], "x array<double>").select(manifest.sums_before(F.col("x")).alias("s")).first().s
+    assert ask(values) == [sum(v or 0.0 for v in values[:i]) for i in range(600)]
+    assert [ask(values[:n]) for n in (0, 1, 256, 257)] == [ask(values)[:n] for n in (0, 1, 256, 257)]
