@@ -18,7 +18,7 @@ from ..operators.dedup import stored
 VIDEO_GATES = ("approved key frame", "approved motion direction")
 BY_REFERENCE = ("reference", "prompt_reference")
 
-#: So many distinct lists of concepts are broadcast with their blockers; beyond, shots are dealt by their lists.
+#: So many distinct kinds of shots, or lists of concepts, are broadcast with their blockers; beyond, scenes carry all lists, and shots are dealt by theirs.
 MOST_LISTS = 100_000
 
 
@@ -46,6 +46,11 @@ def concept_blockers(shots: DataFrame, concepts: DataFrame, keys: list[str], act
     return bad.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["text"]).alias("blockers"))  # of one shot's concepts
 
 
+def kind_number(concepts: Column, formations: Column) -> Column:
+    """Number of a kind of shots, with sizes, as hashes of lists run on and pass over nulls; kinds that share one are looked for before use."""
+    return F.xxhash64(F.coalesce(F.size(concepts), F.lit(-1)), concepts, F.size(formations), formations)
+
+
 def sums_before(values: Column) -> Column:
     """For each entry the sum of those before it, nulls as 0.  In blocks, as each appending of a fold copies its array."""
     blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / 256).cast("int")), lambda b: F.slice(values, b * 256 + 1, 256))
@@ -67,25 +72,32 @@ def compile_manifest(scenes: DataFrame, concepts: DataFrame, fps: float, rule: s
 
     Scenes are written once, numbered and without shots that make no task.  Each is dealt once, whole, to meet its
     start; shots, concepts and tasks are opened after that and not dealt again, unless distinct lists of concepts are
-    too many to broadcast.
+    too many to broadcast.  Lists are left behind where shots are of few kinds (lists of concepts and of formations).
     """
     used = F.filter("shots", lambda s: F.size(s["formations"]) > 0)
     slim = F.transform(used, lambda s: F.struct(s["id"].alias("shot_id"), s["duration_seconds"].cast("double").alias("length"), s["active_concepts"].alias("concepts"), s["formations"]["id"].alias("formations")))
     scenes = stored(scenes.select(F.col(by).alias("project"), "ord", F.col("id").alias("scene_id"), F.monotonically_increasing_id().alias("scene"), slim.alias("shots"))).where("size(shots) > 0")
 
-    # what holds up a shot depends on its list of concepts alone
-    lists = scenes.select(F.explode("shots.concepts").alias("concepts")).distinct()
-    held = stored(concept_blockers(lists, concepts, ["concepts"], "concepts").withColumnRenamed("blockers", "held"))
+    # what holds up a shot depends on its list of concepts alone; where kinds of shots are few, scenes are dealt with their numbers
+    kinds = scenes.select(F.explode("shots").alias("s")).select("s.concepts", "s.formations")
+    kinds = kinds.select(kind_number(F.col("concepts"), F.col("formations")).alias("kind"), "concepts", "formations")
+    few = kinds.agg(F.approx_count_distinct("kind")).first()[0] <= MOST_LISTS
+    if few:
+        kinds = stored(kinds.distinct())
+        few = kinds.count() == kinds.select("kind").distinct().count()  # each number stands for one kind
+    held = stored(concept_blockers(kinds.select("concepts").distinct(), concepts, ["concepts"], "concepts").withColumnRenamed("blockers", "held"))
     held = F.broadcast(held) if held.count() <= MOST_LISTS else held
+    numbered = F.transform("shots", lambda s: F.struct(s["shot_id"].alias("shot_id"), s["length"].alias("length"), kind_number(s["concepts"], s["formations"]).alias("kind")))
 
     # a scene's start is a sum over scenes, a shot's a sum within its scene, a formation's a product
     totals = scenes.select("project", "ord", "scene_id", "scene", F.aggregate("shots", F.lit(0.0), lambda t, s: t + s["length"]).alias("whole"))
     before = Window.partitionBy("project").orderBy("ord", "scene_id", "scene").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("scene", F.coalesce(F.sum("whole").over(before), F.lit(0.0)).alias("scene_start"))
-    placed = scenes.drop("ord").join(starts.hint("shuffle_hash"), "scene").withColumn("before", sums_before(F.col("shots.length")))
+    placed = scenes.select("project", "scene_id", "scene", (numbered if few else F.col("shots")).alias("shots")).join(starts.hint("shuffle_hash"), "scene").withColumn("before", sums_before(F.col("shots.length")))
 
     shots = placed.select("project", "scene_id", "scene_start", F.explode(F.arrays_zip("shots", "before")).alias("s")).select("project", "scene_id", (F.col("scene_start") + F.col("s.before")).alias("shot_start"), "s.shots.*")
-    shots = shots.join(held, "concepts", "left").withColumn("held", F.coalesce("held", F.array().cast("array<string>")))
+    shots = shots.join(F.broadcast(kinds.join(held, "concepts", "left")), "kind") if few else shots.join(held, "concepts", "left")
+    shots = shots.withColumn("held", F.coalesce("held", F.array().cast("array<string>")))
     each = shots.select("project", "scene_id", "held", "shot_start", "shot_id", (F.col("length") / F.size("formations")).alias("seconds"), F.posexplode("formations").alias("at", "formation_id"))
     each = each.withColumn("task", F.concat_ws("__", "scene_id", "shot_id", "formation_id"))
     place = lambda kind, suffix: F.concat(F.concat_ws("/", F.lit(f"{root}/{kind}"), "scene_id", "shot_id", "formation_id"), F.lit(suffix))

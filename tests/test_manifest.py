@@ -89,3 +89,12 @@ def test_sums_before_entries_of_long_scenes(spark):
     ask = lambda xs: spark.createDataFrame([(xs,)], "x array<double>").select(manifest.sums_before(F.col("x")).alias("s")).first().s
     assert ask(values) == [sum(v or 0.0 for v in values[:i]) for i in range(600)]
     assert [ask(values[:n]) for n in (0, 1, 256, 257)] == [ask(values)[:n] for n in (0, 1, 256, 257)]
+
+
+def test_scenes_of_few_kinds_are_dealt_without_lists(spark, monkeypatch):
+    few = manifest.compile_manifest(*_sample(spark), 24.0)
+    assert "struct<kind:bigint" in few._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(manifest, "kind_number", lambda concepts, formations: F.xxhash64(F.size(formations)))  # shared by kinds
+    shared = manifest.compile_manifest(*_sample(spark), 24.0)
+    assert "struct<kind:bigint" not in shared._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(repr, shared.collect())) == sorted(map(repr, few.collect()))
